@@ -18,12 +18,17 @@ WORD = r"\p{L}\p{N}_"
 SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 EDGE = rf"(?:(?<=[{WORD}])(?![{WORD}])|(?<![{WORD}])(?=[{WORD}]))"
 
-EMAIL_PATTERN = rf"{EDGE}[{WORD}.+-]+@[{WORD}.-]+\.[A-Za-z]{{2,}}{EDGE}"
-URL_PATTERN = rf"(?iu)https?://[^{SPACE}]+|www\.[^{SPACE}]+"
+# Each pattern tests something cheap and rare first, since it is tried at every character.
+EMAIL_PATTERN = rf"{EDGE}[{WORD}.+-]++@[{WORD}.-]+\.[A-Za-z]{{2,}}{EDGE}"
+URL_PATTERN = rf"[hH][tT][tT][pP][sS\u017f]?://[^{SPACE}]+|[wW]{{3}}\.[^{SPACE}]+"
 HANDLE_PATTERN = rf"@(?<![{WORD}]@)[A-Za-z0-9_]+"
-NUMBER_PATTERN = rf"(?<![{WORD}])\p{{Nd}}{{5,}}(?![{WORD}])"
+NUMBER_PATTERN = rf"\p{{Nd}}(?<![{WORD}]\p{{Nd}})\p{{Nd}}{{4,}}+(?![{WORD}])"
+SPACE_RUN = rf" [{SPACE}]+|[{SPACE}&&[^ ]][{SPACE}]*"
 PLACEHOLDER_PATTERN = r"(?iu)<(?:EMAIL|URL|HANDLE|NUMBER)>"
 
+# Western letters that fold like lower case; tested first because most text is just these.
+NEVER_RARE = r"\x00-\xb4\xb6-\u0148"
+
 REPLY_MAX_CHARS = 500
 MESSAGE_MAX_CHARS = 4000
 BLANK_MESSAGE = "Enter a customer message with usable text."
@@ -65,7 +70,7 @@ def _bind(value: Column, body) -> Column:
 
 
 def collapse_space(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, rf"[{SPACE}]+", " "))
+    return F.trim(F.regexp_replace(c, SPACE_RUN, " "))
 
 
 def strip(c: Column | str) -> Column:
@@ -85,6 +90,17 @@ def _fold_table() -> dict[str, str]:
     return {ch: ch.casefold() for ch in lowered if ch.casefold() != ch}
 
 
+def _char_class(chars: list[str]) -> str:
+    """A regex class with runs of neighbouring characters written as ranges."""
+    runs: list[list[int]] = []
+    for code in sorted(map(ord, chars)):
+        if runs and runs[-1][1] == code - 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    return "".join(rf"\x{{{low:x}}}-\x{{{high:x}}}" for low, high in runs)
+
+
 def casefold(c: Column | str) -> Column:
     """Full Unicode case folding.
 
@@ -95,14 +111,15 @@ def casefold(c: Column | str) -> Column:
     rare = [ch for ch in table if ch != "ß"]
 
     def fold(text: Column) -> Column:
-        mapping = F.create_map(*[F.lit(part) for pair in table.items() for part in pair])
+        entries = ";".join(f"{ch}={folded}" for ch, folded in table.items())
+        mapping = F.str_to_map(F.lit(entries), F.lit(";"), F.lit("="))
         by_character = F.array_join(
             F.transform(
                 F.split(text, ""), lambda ch: F.coalesce(F.try_element_at(mapping, ch), ch)
             ),
             "",
         )
-        is_rare = F.rlike(text, F.lit("[" + "".join(rare) + "]"))
+        is_rare = F.rlike(text, F.lit(f"[[^{NEVER_RARE}]&&[{_char_class(rare)}]]"))
         return F.when(is_rare, by_character).otherwise(F.replace(text, F.lit("ß"), F.lit("ss")))
 
     return _bind(F.lower(_col(c)), fold)
@@ -111,7 +128,12 @@ def casefold(c: Column | str) -> Column:
 def normalize_text(c: Column | str) -> Column:
     """Redact e-mails, URLs, handles and long numbers, then collapse spaces."""
     text = F.coalesce(_col(c).cast("string"), F.lit(""))
-    text = F.regexp_replace(text, EMAIL_PATTERN, "<EMAIL>")
+    text = _bind(
+        text,
+        lambda t: F.when(
+            F.contains(t, F.lit("@")), F.regexp_replace(t, EMAIL_PATTERN, "<EMAIL>")
+        ).otherwise(t),
+    )
     text = F.regexp_replace(text, URL_PATTERN, "<URL>")
     text = F.regexp_replace(text, HANDLE_PATTERN, "<HANDLE>")
     text = F.regexp_replace(text, NUMBER_PATTERN, "<NUMBER>")

@@ -13,6 +13,7 @@ from replyloom.functions.text import is_blank, normalize_for_matching, safe_guid
 from replyloom.functions.values import fingerprint
 from replyloom.operators.checks import require_columns
 from replyloom.operators.heldout import exclude_held_out
+from replyloom.operators.joins import BROADCAST_ROWS
 from replyloom.operators.sampling import dedupe_first, sample_n
 from replyloom.operators.tfidf import SpaceSpec, Vocabulary, fit_vocabulary, term_counts, weigh
 
@@ -141,7 +142,7 @@ def hybrid_retrieve(
         prepared = prepared.limit(0)
     spark = messages.sparkSession
     n_shards = max(1, math.ceil(index.n_postings / POSTINGS_PER_SHARD))
-    sums = prepared.count() * math.ceil(index.vocabulary.n_docs / n_shards)
+    sums = messages.count() * math.ceil(index.vocabulary.n_docs / n_shards)
     partitions = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(sums / SUMS_PER_TASK)
     )
@@ -151,7 +152,9 @@ def hybrid_retrieve(
     cases = index.postings.select(
         "term_id", "customer_tweet_id", F.col("weight").alias("_case_weight")
     )
-    threads = F.broadcast(index.corpus.select("customer_tweet_id", "thread_id"))
+    threads = index.corpus.select("customer_tweet_id", "thread_id")
+    if index.vocabulary.n_docs <= BROADCAST_ROWS:
+        threads = F.broadcast(threads)
     best = None
     for shard in range(n_shards):
         part = cases
