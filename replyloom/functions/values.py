@@ -51,14 +51,19 @@ def parse_json_strict(c: Column | str) -> Column:
     """Parsed JSON, or null for malformed text, duplicate keys, NaN or overflow.
 
     The engine's own JSON parser rejects duplicate keys and non-finite literals;
-    numbers written outside of strings are checked for overflow separately.
+    numbers written outside of strings are checked for overflow separately.  It
+    stops after the first value, so the text must also parse inside of both an
+    array and an object: nothing but a single value does.
     """
 
     def parse(text: Column) -> Column:
         bare = F.regexp_replace(text, JSON_STRING, '""')
         numbers = F.regexp_extract_all(bare, F.lit(JSON_FLOAT), 0)
         overflow = F.exists(numbers, lambda n: F.abs(n.try_cast("double")) == float("inf"))
-        return F.when(~overflow, F.try_parse_json(text))
+        in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+        in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+        single = in_array.isNotNull() & in_object.isNotNull()
+        return F.when(single & ~overflow, F.try_parse_json(text))
 
     return _bind(_col(c), parse)
 

@@ -808,12 +808,12 @@ def make_label_queue(spark, sf):
     return labels.make_label_queue(inputs.document_pairs(spark, sf), 800, 42)
 
 
-@query("triage")
-def triage(spark, sf):
+def run_triage(spark: SparkSession, sf: str, training: DataFrame | None = None) -> DataFrame:
+    """Triage the unanswered messages against the answered ones."""
     cases = _pairs(spark, sf).persist()
     answers, _ = responses.triage(
         inputs.unanswered(spark, sf),
-        _weak_model(spark, cases),
+        _weak_model(spark, cases if training is None else training),
         retrieval.build_retrieval_corpus(cases, DESK_CONFIG),
         DESK_CONFIG,
     )
@@ -830,6 +830,11 @@ def triage(spark, sf):
     )
 
 
+@query("triage")
+def triage(spark, sf):
+    return run_triage(spark, sf)
+
+
 @query("evaluate_all")
 def evaluate_all(spark, sf):
     cases = _direct_pairs(spark, sf).persist()
