@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from replyloom.functions.rules import matched_terms
 from replyloom.functions.text import EDGE, WORD
 from replyloom.functions.values import RUBRIC_FIELDS, cache_key
+from replyloom.session import spread
 
 DESK = "assistant"
 FIRST_SECOND = 1_509_487_847
@@ -36,6 +37,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "documents"), "doc_id")
+
+
 def messages(spark: SparkSession, sf: str) -> DataFrame:
     """Conversation turns as reply-linked messages."""
     tweet = F.col("conv_id") * 1000 + F.col("turn")
@@ -72,7 +77,7 @@ def benchmark_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 def document_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Documents in the layout of message/reply pairs, ten neighbours to a thread."""
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         F.col("doc_id").alias("customer_tweet_id"),
         F.floor(F.col("doc_id") / 10).alias("thread_id"),
         F.col("text").alias("customer_text"),
@@ -82,7 +87,7 @@ def document_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
     """Reviewed labels: language as intent, toxic documents must be escalated."""
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    docs = documents(spark, sf).select("doc_id", "text", "lang", "source", "n_chars")
     return table(spark, sf, "labels").join(docs, "doc_id").select(
         F.format_string("doc-%07d", "doc_id").alias("example_id"),
         F.col("doc_id").cast("string").alias("tweet_id"),
@@ -194,7 +199,7 @@ def double_annotations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def policy_inputs(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id",
         "text",
         F.col("lang").alias("intent"),

@@ -63,7 +63,7 @@ def _new_folder(spark: SparkSession, name: str) -> str:
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents")
+    return inputs.documents(spark, sf)
 
 
 def _pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -733,6 +733,7 @@ def _weak_model(spark: SparkSession, cases: DataFrame) -> model.IntentModel:
         weak.select("customer_tweet_id", "customer_text", "intent"),
         "customer_tweet_id",
         allow_weak_labels=True,
+        max_iter=100,
     )
 
 

@@ -41,3 +41,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder so that a lost executor costs nothing."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores when a scan has fewer splits than there are cores.
+
+    Text work costs far more than reading, so a small file read as one split
+    would leave the cluster idle.  Scans with enough splits are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
