@@ -23,6 +23,7 @@ def salted_join(
     how: str,
     spread: Sequence[str],
     rows_per_task: int = ROWS_PER_TASK,
+    left_rows: int | None = None,
 ) -> DataFrame:
     """Join ``left`` to a ``right`` that has one row per key, splitting hot keys.
 
@@ -32,8 +33,11 @@ def salted_join(
     rows of hot keys are repeated per salt.  There are at most
     ``rows(left) / rows_per_task`` hot keys, so their table is small by
     construction.  Keys are compared as hashes when counting: a collision only
-    salts one key too many.
+    salts one key too many.  A ``left`` known to hold no more than
+    ``rows_per_task`` rows cannot have a hot key and is joined as it is.
     """
+    if left_rows is not None and left_rows <= rows_per_task:
+        return left.join(right, list(on), how)
     key = F.xxhash64(*on)
     hot = (
         left.groupBy(key.alias("_hot_key"))
@@ -59,15 +63,13 @@ def salted_join(
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
-def keep_known(df: DataFrame, keys: DataFrame, on: Sequence[str], spread: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is in ``keys`` (one row per key)."""
-    if fits_broadcast(keys):
-        return df.join(F.broadcast(keys), list(on), "left_semi")
-    return salted_join(df, keys, on, "left_semi", spread)
-
+def drop_known(
+    df: DataFrame, keys: DataFrame, on: Sequence[str], spread: Sequence[str], small: bool | None = None
+) -> DataFrame:
+    """Rows of ``df`` whose key is not in ``keys`` (one row per key).
 
-def drop_known(df: DataFrame, keys: DataFrame, on: Sequence[str], spread: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is not in ``keys`` (one row per key)."""
-    if fits_broadcast(keys):
+    ``small`` tells that the caller has already checked the size of ``keys``.
+    """
+    if fits_broadcast(keys) if small is None else small:
         return df.join(F.broadcast(keys), list(on), "left_anti")
     return salted_join(df, keys, on, "left_anti", spread)

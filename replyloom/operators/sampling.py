@@ -32,13 +32,15 @@ def sample_rank(seed: int, *ids: str) -> Column:
 def sample_n(df: DataFrame, n: int, seed: int, id_col: str) -> DataFrame:
     """``n`` rows without replacement, the same ones on every run.
 
-    ``id_col`` must be unique.  Small samples are a distributed top-n.  Large
-    ones use a histogram of the first 16 bits of the rank: whole buckets below
+    ``id_col`` must be unique.  Small samples are a distributed top-n, spread
+    out again because the last step of a top-n is one task.  Large ones use a histogram of the first 16 bits of the rank: whole buckets below
     the cut are kept as they are and only the bucket at the cut is ordered.
     """
     ranked = df.withColumn("_rank", sample_rank(seed, id_col))
     if n <= TOP_N_LIMIT:
-        return ranked.orderBy("_rank", id_col).limit(n).drop("_rank")
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        top = ranked.orderBy("_rank", id_col).limit(n).drop("_rank")
+        return top.repartition(partitions, id_col)
     bucketed = ranked.withColumn("_bucket", F.substring("_rank", 1, 4))
     running = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # 16 bits: at most 65,536 buckets whatever the table size.
@@ -121,7 +123,7 @@ def stratified_split(
         },
         "Reviewed labels",
     )
-    usable = usable_labels(reviewed, order)
+    usable = usable_labels(reviewed, order).persist()
     counts = usable.groupBy("intent").agg(F.count(F.lit(1)).alias("n"))
     size, rare = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") < 2)
