@@ -879,19 +879,28 @@ def triage_stream_query(spark, sf):
 # -- judging -----------------------------------------------------------------
 
 
-def length_scorer(batch: pd.DataFrame) -> pd.DataFrame:
-    """A stand-in judge: scores from the lengths of the draft and the message."""
-    out = batch[["cache_key"]].copy()
-    size = batch["customer_text"].str.len() + batch["draft_reply"].str.len()
-    for i, field in enumerate(values.RUBRIC_FIELDS):
-        out[field] = (size + i) % 5 + 1
-    return out.assign(rationale="by length")
+def length_scorer() -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """A stand-in judge: scores from the lengths of the draft and the message.
+
+    A local function, so that it reaches the workers by value and they need not
+    have this package installed.
+    """
+    fields = values.RUBRIC_FIELDS
+
+    def score(batch: pd.DataFrame) -> pd.DataFrame:
+        out = batch[["cache_key"]].copy()
+        size = batch["customer_text"].str.len() + batch["draft_reply"].str.len()
+        for i, field in enumerate(fields):
+            out[field] = (size + i) % 5 + 1
+        return out.assign(rationale="by length")
+
+    return score
 
 
 @query("judge_table")
 def judge_table(spark, sf):
     run, _ = judging.judge_table(
-        inputs.predictions(spark, sf), inputs.labelled(spark, sf), length_scorer, "judge-a", 50, 42
+        inputs.predictions(spark, sf), inputs.labelled(spark, sf), length_scorer(), "judge-a", 50, 42
     )
     return run
 
