@@ -175,6 +175,16 @@ def safe_guidance(
     return _bind(sanitize_reply(c), pick)
 
 
+def with_matching_text(df, column: str, name: str):
+    """Add the matching text of ``column`` and drop the rows where it is empty.
+
+    Generating from a filtered one-element array evaluates the text once; a
+    filter on the new column would be pushed down and evaluate it again.
+    """
+    found = F.filter(F.array(normalize_for_matching(column)), lambda t: t != "")
+    return df.select("*", F.explode(found).alias(name))
+
+
 def is_reviewed(c: Column | str) -> Column:
     return casefold(strip(c)) == "yes"
 

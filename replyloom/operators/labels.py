@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from replyloom.config import GENERIC_REPLY, WEAK_LABEL_SOURCE
 from replyloom.functions.rules import DEFAULT_RULES, FALLBACK_LABEL, rule_label
-from replyloom.functions.text import humanize, normalize_for_matching
+from replyloom.functions.text import humanize, with_matching_text
 from replyloom.operators.sampling import dedupe_first, number_examples, sample_n
 
 BLANK_ANNOTATIONS = (
@@ -53,9 +53,7 @@ def create_weak_labels(
     id_col: str = "customer_tweet_id",
 ) -> DataFrame:
     """Rule labels for distinct, non-empty messages, at most ``max_examples`` of them."""
-    usable = pairs.withColumn("_normalized", normalize_for_matching("customer_text")).filter(
-        F.col("_normalized") != ""
-    )
+    usable = with_matching_text(pairs, "customer_text", "_normalized")
     distinct = dedupe_first(usable, ["_normalized"], [id_col]).drop("_normalized")
     sampled = sample_n(distinct, max_examples, seed, id_col)
     found = rule_label("customer_text", rules)

@@ -31,11 +31,14 @@ def brand_direct_replies(messages: DataFrame, brand: str) -> DataFrame:
     )
 
 
-def is_usable_pair() -> Column:
+def is_usable_pair(
+    customer_text: Column | str = "customer_text", brand_reply: Column | str = "brand_reply"
+) -> Column:
+    """Both texts are long enough and the message is not a copied one."""
     return (
-        (F.length("customer_text") >= MIN_CHARS)
-        & (F.length("brand_reply") >= MIN_CHARS)
-        & ~F.startswith("customer_text", F.lit(RETWEET_PREFIX))
+        (F.length(customer_text) >= MIN_CHARS)
+        & (F.length(brand_reply) >= MIN_CHARS)
+        & ~F.startswith(customer_text, F.lit(RETWEET_PREFIX))
     )
 
 
@@ -74,11 +77,22 @@ def reply_pairs(
     customers = dedupe_first(
         customers, ["customer_tweet_id"], ["customer_created_at", "customer_author_id", "customer_text"]
     )
-    cleaned = (
-        customers.join(replies, "customer_tweet_id")
-        .withColumn("customer_text", normalize_text("customer_text"))
-        .withColumn("brand_reply", sanitize_reply("brand_reply"))
-        .filter(is_usable_pair())
+    # Generated from a filtered array, both texts are cleaned once; a filter on
+    # cleaned columns would be pushed down and clean them again.
+    texts = F.struct(
+        normalize_text("customer_text").alias("customer_text"),
+        sanitize_reply("brand_reply").alias("brand_reply"),
+    )
+    usable = F.filter(
+        F.array(texts), lambda p: is_usable_pair(p["customer_text"], p["brand_reply"])
+    )
+    cleaned = customers.join(replies, "customer_tweet_id").select(
+        "customer_tweet_id",
+        "customer_author_id",
+        "customer_created_at",
+        "reply_tweet_id",
+        "reply_created_at",
+        F.inline(usable),
     )
     pairs = dedupe_first(cleaned, ["customer_text"], ["customer_tweet_id"])
     if roots is None:

@@ -9,18 +9,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from replyloom.config import TriageConfig
-from replyloom.functions.text import is_blank, normalize_for_matching, safe_guidance
+from replyloom.functions.text import (
+    is_blank,
+    normalize_for_matching,
+    safe_guidance,
+    with_matching_text,
+)
 from replyloom.functions.values import fingerprint
 from replyloom.operators.checks import require_columns
 from replyloom.operators.heldout import exclude_held_out
-from replyloom.operators.joins import BROADCAST_ROWS
+from replyloom.operators.joins import salted_join
 from replyloom.operators.sampling import dedupe_first, sample_n
 from replyloom.operators.tfidf import SpaceSpec, Vocabulary, fit_vocabulary, term_counts, weigh
+from replyloom.session import cut_lineage
 
 INDEX_VERSION = 2
 WORD_WEIGHT = 0.65
 # Rows of the inverted index sent to the executors at a time.
 POSTINGS_PER_SHARD = 4_000_000
+# Case texts up to this size are broadcast to the winners.
+BROADCAST_BYTES = 256 * 1024 * 1024
 # (message, case) sums held by one scoring task.
 SUMS_PER_TASK = 20_000_000
 SCORE_DIGITS = 9
@@ -28,12 +36,13 @@ SCORE_DIGITS = 9
 
 @dataclass(frozen=True)
 class RetrievalIndex:
-    """Corpus, vocabulary and postings; ``n_postings`` sizes the shards."""
+    """Corpus, vocabulary and postings; the sizes decide what may be broadcast."""
 
     corpus: DataFrame
     vocabulary: Vocabulary
     postings: DataFrame
     n_postings: int
+    corpus_bytes: int
     excluded_rows: int = 0
     excluded_digest: str | None = None
     word_weight: float = WORD_WEIGHT
@@ -48,9 +57,7 @@ def select_corpus(
     if max_corpus_size < 1:
         raise ValueError("Retrieval corpus size must be positive.")
     allowed = pairs if held_out is None else exclude_held_out(pairs, held_out)
-    usable = allowed.withColumn("normalized", normalize_for_matching("customer_text")).filter(
-        (F.col("normalized") != "") & ~is_blank("brand_reply")
-    )
+    usable = with_matching_text(allowed.filter(~is_blank("brand_reply")), "customer_text", "normalized")
     distinct = dedupe_first(usable, ["normalized"], ["customer_tweet_id"])
     capped = sample_n(distinct, max_corpus_size, seed, "customer_tweet_id")
     return capped.select(
@@ -72,7 +79,9 @@ def build_retrieval_corpus(
     if config.max_features < 1:
         raise ValueError("Retrieval feature limit must be positive.")
     corpus = select_corpus(pairs, held_out, config.max_corpus_size, config.seed).persist()
-    n_docs = corpus.count()
+    texts = ("customer_text", "brand_reply", "safe_guidance")
+    sizes = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in texts]
+    n_docs, *text_bytes = corpus.agg(F.count(F.lit(1)), *sizes).first()
     if n_docs == 0:
         raise ValueError("No retrieval examples remain after cleaning and held-out exclusion.")
     excluded, digest = 0, None
@@ -86,7 +95,9 @@ def build_retrieval_corpus(
     postings = weigh(counts, vocabulary, "customer_tweet_id").persist()
     n_postings = postings.count()
     counts.unpersist()
-    return RetrievalIndex(corpus, vocabulary, postings, n_postings, excluded, digest)
+    return RetrievalIndex(
+        corpus, vocabulary, postings, n_postings, sum(text_bytes), excluded, digest
+    )
 
 
 def diverse_topk(scored: DataFrame, k: int, query: str = "message_id") -> DataFrame:
@@ -135,9 +146,8 @@ def hybrid_retrieve(
     """
     if index.version != INDEX_VERSION:
         raise ValueError("Old retrieval index: rebuild it.")
-    prepared = messages.select(
-        "message_id", normalize_for_matching(text).alias("normalized")
-    ).filter(F.col("normalized") != "")
+    # A message without usable text has no terms and so finds nothing.
+    prepared = messages.select("message_id", normalize_for_matching(text).alias("normalized"))
     if k < 1:
         prepared = prepared.limit(0)
     spark = messages.sparkSession
@@ -153,23 +163,18 @@ def hybrid_retrieve(
         "term_id", "customer_tweet_id", F.col("weight").alias("_case_weight")
     )
     threads = index.corpus.select("customer_tweet_id", "thread_id")
-    if index.vocabulary.n_docs <= BROADCAST_ROWS:
-        threads = F.broadcast(threads)
     best = None
     for shard in range(n_shards):
-        part = cases
-        if n_shards > 1:
-            part = cases.filter(F.pmod(F.xxhash64("customer_tweet_id"), F.lit(n_shards)) == shard)
-        scored = similarity_sums(query_terms, F.broadcast(part), index.word_weight)
-        top = diverse_topk(scored.join(threads, "customer_tweet_id"), max(k, 0))
+        # A case has at least one posting, so both sides of a shard are bounded by its postings.
+        in_shard = F.pmod(F.xxhash64("customer_tweet_id"), F.lit(n_shards)) == shard
+        part = F.broadcast(cases.filter(in_shard) if n_shards > 1 else cases)
+        homes = F.broadcast(threads.filter(in_shard) if n_shards > 1 else threads)
+        scored = similarity_sums(query_terms, part, index.word_weight)
+        top = diverse_topk(scored.join(homes, "customer_tweet_id"), max(k, 0))
         best = top if best is None else best.unionByName(top)
     if n_shards > 1:
         best = diverse_topk(best.drop("rank"), max(k, 0))
-    # At most k rows per message and a corpus bounded by its cap.
-    details = index.corpus.select(
-        "customer_tweet_id", "customer_text", "brand_reply", "safe_guidance"
-    )
-    return best.join(details, "customer_tweet_id").select(
+    return with_case_texts(best, index).select(
         "message_id",
         "rank",
         "customer_tweet_id",
@@ -181,3 +186,18 @@ def hybrid_retrieve(
         "word_similarity",
         "char_similarity",
     )
+
+
+def with_case_texts(best: DataFrame, index: RetrievalIndex) -> DataFrame:
+    """Add the texts of the winning cases.
+
+    One case may win for very many messages.  A corpus of checked size is
+    broadcast; a larger one meets the stored winners in a salted join.
+    """
+    details = index.corpus.select(
+        "customer_tweet_id", "customer_text", "brand_reply", "safe_guidance"
+    )
+    if index.corpus_bytes <= BROADCAST_BYTES:
+        return best.join(F.broadcast(details), "customer_tweet_id")
+    stored = cut_lineage(best)
+    return salted_join(stored, details, ["customer_tweet_id"], "inner", ["message_id"])

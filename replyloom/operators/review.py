@@ -22,6 +22,7 @@ from replyloom.operators.checks import (
     violations,
     worksheet_rules,
 )
+from replyloom.operators.joins import salted_join
 from replyloom.operators.judging import PAIR, keyed_content
 from replyloom.operators.sampling import dedupe_first
 
@@ -157,10 +158,16 @@ def merge_worksheet(fresh: DataFrame, existing: DataFrame) -> DataFrame:
     )
 
 
-def _single(records: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Tag records whose key occurs more than once in the batch."""
+def _judged(records: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Records with the row they address and whether their key is repeated in the batch.
+
+    ``known`` has one row per key, and so has the count, so one salted join
+    copes with a key that holds a large share of the records.
+    """
     repeated = records.groupBy(*keys).agg((F.count(F.lit(1)) > 1).alias("_repeated"))
-    return records.join(repeated, list(keys), "left")
+    targets = known.join(repeated, list(keys), "full_outer")
+    spread = [c for c in records.columns if c not in keys]
+    return salted_join(records, targets, keys, "left", spread)
 
 
 def apply_scores(worksheet: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -180,7 +187,7 @@ def apply_scores(worksheet: DataFrame, records: DataFrame) -> tuple[DataFrame, D
         .when(F.col("_known").isNull(), "unknown row or stale cache_key")
         .when(F.col("_repeated"), "more than one record for the row")
     )
-    judged = _single(records, keys).join(known, keys, "left").withColumn("reason", reason)
+    judged = _judged(records, known, keys).withColumn("reason", reason)
     good = judged.filter(F.col("reason").isNull()).select(
         *keys,
         *[F.col(f).cast("string").alias(f"_new_{f}") for f in RUBRIC_FIELDS],
@@ -239,10 +246,8 @@ def apply_annotations(
     queued = queue.select(
         "example_id", F.col("text").alias("_queued_text"), F.col("thread_id").alias("_queued_thread")
     )
-    judged = (
-        _single(records, ["example_id"])
-        .join(queued, "example_id", "left")
-        .withColumn("reason", annotation_rejection(intents))
+    judged = _judged(records, queued, ["example_id"]).withColumn(
+        "reason", annotation_rejection(intents)
     )
     new = {c: F.col(c) for c in ANNOTATION_FIELDS[:-1]}
     new["annotator"] = strip("annotator")

@@ -125,8 +125,8 @@ def stratified_split(
     )
     usable = usable_labels(reviewed, order).persist()
     counts = usable.groupBy("intent").agg(F.count(F.lit(1)).alias("n"))
-    size, rare = counts.agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") < 2)
+    size, rare, n_labels = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") < 2), F.count(F.lit(1))
     ).first()
     if size < golden_n + min_train:
         raise ValueError(
@@ -134,6 +134,8 @@ def stratified_split(
         )
     if rare:
         raise ValueError("Every intent needs at least two reviewed examples before a split.")
+    if n_labels > golden_n:
+        raise ValueError("The golden set must have room for every intent.")
     in_label = Window.partitionBy("intent").orderBy(sample_rank(seed, order), F.col(order))
     candidates = (
         usable.withColumn("_rn", F.row_number().over(in_label))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from replyloom.functions.text import WORD
-from replyloom.operators.joins import BROADCAST_ROWS
+from replyloom.operators.joins import BROADCAST_ROWS, salted_join
 
 WORD_TOKEN = rf"[{WORD}]{{2,}}"
 CHAR_NGRAMS = (3, 5)
@@ -31,9 +31,15 @@ class Vocabulary:
     n_docs: int
     max_rows: int
 
-    def side(self) -> DataFrame:
-        """The join side: broadcast only when the vocabulary cap keeps it small."""
-        return F.broadcast(self.terms) if self.max_rows <= BROADCAST_ROWS else self.terms
+    def join_to(self, counts: DataFrame, id_col: str) -> DataFrame:
+        """Counts of known terms.
+
+        A vocabulary whose cap keeps it small is broadcast; with a larger one, a
+        term that most documents hold is salted.
+        """
+        if self.max_rows <= BROADCAST_ROWS:
+            return counts.join(F.broadcast(self.terms), ["space", "term"])
+        return salted_join(counts, self.terms, ["space", "term"], "inner", [id_col])
 
 
 def word_terms(normalized: Column) -> Column:
@@ -142,7 +148,7 @@ def weigh(counts: DataFrame, vocabulary: Vocabulary, id_col: str) -> DataFrame:
 
     Terms outside the vocabulary are gone before the length is taken.
     """
-    raw = counts.join(vocabulary.side(), ["space", "term"]).withColumn(
+    raw = vocabulary.join_to(counts, id_col).withColumn(
         "_w", (F.log(F.col("n").cast("double")) + 1.0) * F.col("idf")
     )
     length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col, "space")))

@@ -281,6 +281,34 @@ ASKED = f"asked AS (SELECT item_id AS message_id, {matching('text')} AS x FROM b
 TURNS = f"""turns AS (SELECT tweet_id, {matching('text')} AS x FROM msgs WHERE inbound)"""
 
 
+def cases_cte() -> str:
+    return f"""{pairs_cte()},
+cases AS (SELECT * FROM (
+  SELECT customer_tweet_id, customer_tweet_id // 1000 * 1000 AS thread_id, x,
+    row_number() OVER (PARTITION BY x ORDER BY customer_tweet_id) AS rn
+  FROM (SELECT *, {matching('customer_text')} AS x FROM pairs0) WHERE x <> '' AND trim(brand_reply) <> '') WHERE rn = 1
+  ORDER BY md5('42:' || customer_tweet_id), customer_tweet_id LIMIT 30000),
+counts AS ({term_rows('cases', 'customer_tweet_id')}),
+{vocabulary_cte('counts', 'customer_tweet_id', 'cases', 1, 1.0, 40_000)},
+{weights_cte('case_weights', 'counts', 'customer_tweet_id')}"""
+
+
+def retrieval_cte() -> str:
+    return f"""{cases_cte()}, {ASKED},
+asked_counts AS ({term_rows('asked', 'message_id')}), {weights_cte('asked_weights', 'asked_counts', 'message_id')},
+sums AS (
+  SELECT q.message_id, c.customer_tweet_id,
+    round(sum(CASE WHEN q.space = 'word' THEN q.weight * c.weight ELSE 0 END), 9) AS word_similarity,
+    round(sum(CASE WHEN q.space = 'char' THEN q.weight * c.weight ELSE 0 END), 9) AS char_similarity
+  FROM asked_weights q JOIN case_weights c USING (term_id) GROUP BY ALL),
+blended AS (
+  SELECT s.*, k.thread_id, round(0.65 * word_similarity + 0.35 * char_similarity, 9) AS similarity
+  FROM sums s JOIN cases k USING (customer_tweet_id)),
+best AS (SELECT *, row_number() OVER (PARTITION BY message_id, thread_id ORDER BY similarity DESC, customer_tweet_id) AS rn
+  FROM blended WHERE similarity > 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY similarity DESC, customer_tweet_id) AS rank FROM best WHERE rn = 1)"""
+
+
 def check_union(rows: list[tuple[str, str]]) -> str:
     return " UNION ALL ".join(f"SELECT {quoted(name)} AS check, ({count}) AS violations" for name, count in rows)
 
@@ -603,30 +631,42 @@ usable AS (SELECT * FROM (
   WHERE {matching('customer_text')} <> '' AND trim(brand_reply) <> '') WHERE rn = 1)
 SELECT customer_tweet_id, thread_id::VARCHAR AS thread_id, brand_reply, '' AS safe_guidance
 FROM usable ORDER BY md5('42:' || customer_tweet_id), customer_tweet_id LIMIT 30000"""
-    sql["hybrid_retrieve"] = f"""WITH {MESSAGES}, {pairs_cte()},
-cases AS (SELECT * FROM (
-  SELECT customer_tweet_id, customer_tweet_id // 1000 * 1000 AS thread_id, x,
-    row_number() OVER (PARTITION BY x ORDER BY customer_tweet_id) AS rn
-  FROM (SELECT *, {matching('customer_text')} AS x FROM pairs0) WHERE x <> '' AND trim(brand_reply) <> '') WHERE rn = 1
-  ORDER BY md5('42:' || customer_tweet_id), customer_tweet_id LIMIT 30000),
-counts AS ({term_rows('cases', 'customer_tweet_id')}),
-{vocabulary_cte('counts', 'customer_tweet_id', 'cases', 1, 1.0, 40_000)},
-{weights_cte('case_weights', 'counts', 'customer_tweet_id')}, {ASKED},
-asked_counts AS ({term_rows('asked', 'message_id')}), {weights_cte('asked_weights', 'asked_counts', 'message_id')},
-sums AS (
-  SELECT q.message_id, c.customer_tweet_id,
-    round(sum(CASE WHEN q.space = 'word' THEN q.weight * c.weight ELSE 0 END), 9) AS word_similarity,
-    round(sum(CASE WHEN q.space = 'char' THEN q.weight * c.weight ELSE 0 END), 9) AS char_similarity
-  FROM asked_weights q JOIN case_weights c USING (term_id) GROUP BY ALL),
-blended AS (
-  SELECT s.*, k.thread_id, round(0.65 * word_similarity + 0.35 * char_similarity, 9) AS similarity
-  FROM sums s JOIN cases k USING (customer_tweet_id)),
-best AS (SELECT *, row_number() OVER (PARTITION BY message_id, thread_id ORDER BY similarity DESC, customer_tweet_id) AS rn
-  FROM blended WHERE similarity > 0),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY similarity DESC, customer_tweet_id) AS rank FROM best WHERE rn = 1)
+    sql["hybrid_retrieve"] = f"""WITH {MESSAGES}, {retrieval_cte()}
 SELECT message_id, rank::INTEGER AS rank, customer_tweet_id, thread_id::VARCHAR AS thread_id, round(similarity, 6) AS similarity,
   round(word_similarity, 6) AS word_similarity, round(char_similarity, 6) AS char_similarity
 FROM ranked WHERE rank <= 3"""
+    sql["save_load_index"] = f"""WITH {MESSAGES}, {cases_cte()}
+SELECT space, count(*) AS n, count(DISTINCT customer_tweet_id) AS cases, count(DISTINCT term_id) AS terms
+FROM case_weights GROUP BY space"""
+    sql["respond"] = f"""WITH {MESSAGES}, {retrieval_cte()},
+scored AS (
+  SELECT *, {rule_case('text', 'intent')} AS intent, (length(text) % 100) / 100.0::DOUBLE AS p,
+    (length(text) % 37) / 100.0::DOUBLE AS q, {terms_in(folded('text'), ('thnd', 'erheb'))} AS risks
+  FROM (SELECT item_id AS message_id, {normalized('text')} AS text FROM benchmark WHERE {matching('text')} <> '' AND length(text) <= 4000)),
+found AS (SELECT message_id, count(*) AS cases_found, max(similarity) AS best FROM ranked WHERE rank <= 3 GROUP BY message_id),
+gated AS (
+  SELECT s.*, coalesce(cases_found, 0) AS cases_found, CASE WHEN risks <> '' THEN 'risk term requires human review'
+    WHEN intent = 'es' THEN intent || ' is configured for human review'
+    WHEN intent NOT IN ('en', 'fr', 'de') THEN 'intent is not approved for automatic handling'
+    WHEN p < 0.4 THEN 'intent confidence is below threshold'
+    WHEN p - q < 0.1 THEN 'top intent predictions are too close'
+    WHEN coalesce(best, 0) < 0.05 THEN 'no sufficiently similar historical resolution' END AS gate
+  FROM scored s LEFT JOIN found USING (message_id))
+SELECT message_id, intent, round(p, 4) AS confidence, 'escalate' AS decision,
+  coalesce(gate, 'no safe applicable historical guidance') AS reason, risks,
+  {template_case('intent')} || {quoted(ESCALATION_SUFFIX)} AS draft_reply,
+  CASE WHEN gate IS NULL THEN 'no_safe_evidence' ELSE 'not_used_for_escalation' END AS rag_mode,
+  cases_found::INTEGER AS cases_found FROM gated"""
+    sql["train_intent_model"] = f"""WITH {MESSAGES}, {pairs_cte()},
+texts AS (SELECT * FROM (
+  SELECT customer_tweet_id, customer_text, x, row_number() OVER (PARTITION BY x ORDER BY customer_tweet_id) AS rn
+  FROM (SELECT *, {matching('customer_text')} AS x FROM pairs0) WHERE x <> '') WHERE rn = 1
+  ORDER BY md5('42:' || customer_tweet_id), customer_tweet_id LIMIT 12000),
+counts AS ({term_rows('texts', 'customer_tweet_id')}),
+{vocabulary_cte('counts', 'customer_tweet_id', 'texts', 2, 0.98, 50_000)}
+SELECT (SELECT count(*) FROM msgs WHERE inbound) AS messages, (SELECT count(*) FROM texts) AS training_examples,
+  (SELECT string_agg(DISTINCT {rule_case('customer_text', 'intent')}, ',' ORDER BY {rule_case('customer_text', 'intent')}) FROM texts) AS classes,
+  (SELECT count(*) FROM vocabulary) AS n_features, 'weak_provisional' AS label_source"""
 
     sql["decide"] = f"""
 SELECT doc_id, CASE WHEN reason = 'low-risk case with confident intent and supporting evidence' THEN 'auto_handle' ELSE 'escalate' END AS action,

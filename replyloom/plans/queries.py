@@ -712,6 +712,33 @@ def hybrid_retrieve(spark, sf):
     )
 
 
+@query("respond")
+def respond(spark, sf):
+    """Gates, evidence and drafts with rule labels in place of the classifier."""
+    index = retrieval.build_retrieval_corpus(_direct_pairs(spark, sf))
+    accepted, _ = text.validate_message(inputs.benchmark_messages(spark, sf))
+    cleaned = accepted.withColumn("text", text.normalize_text("text"))
+    scored = cleaned.select(
+        "message_id",
+        "text",
+        rules.rule_label("text", LANGUAGE_RULES)["intent"].alias("intent"),
+        (F.pmod(F.length("text"), F.lit(100)) / 100.0).alias("confidence"),
+        (F.pmod(F.length("text"), F.lit(37)) / 100.0).alias("second_confidence"),
+    )
+    cases = responses.collect_evidence(retrieval.hybrid_retrieve(cleaned, index, DESK_CONFIG.top_k))
+    return responses.respond(scored, cases, DESK_CONFIG).select(
+        "message_id",
+        "intent",
+        "confidence",
+        "decision",
+        "reason",
+        F.array_join("triggered_risks", ",").alias("risks"),
+        "draft_reply",
+        "rag_mode",
+        F.size("evidence").alias("cases_found"),
+    )
+
+
 @query("save_load_index")
 def save_load_index(spark, sf):
     path = _new_folder(spark, "index")
