@@ -69,6 +69,15 @@ def _bind(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def _never_null(text: Column) -> Column:
+    """Tell the optimiser that a text cannot be null.
+
+    Otherwise a join on it adds an ``is not null`` filter, which is pushed to the
+    scan and cleans every text there a second time.
+    """
+    return F.coalesce(text, F.lit(""))
+
+
 def collapse_space(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, SPACE_RUN, " "))
 
@@ -128,11 +137,13 @@ def casefold(c: Column | str) -> Column:
 def normalize_text(c: Column | str) -> Column:
     """Redact e-mails, URLs, handles and long numbers, then collapse spaces."""
     text = F.coalesce(_col(c).cast("string"), F.lit(""))
-    text = _bind(
-        text,
-        lambda t: F.when(
-            F.contains(t, F.lit("@")), F.regexp_replace(t, EMAIL_PATTERN, "<EMAIL>")
-        ).otherwise(t),
+    text = _never_null(
+        _bind(
+            text,
+            lambda t: F.when(
+                F.contains(t, F.lit("@")), F.regexp_replace(t, EMAIL_PATTERN, "<EMAIL>")
+            ).otherwise(t),
+        )
     )
     text = F.regexp_replace(text, URL_PATTERN, "<URL>")
     text = F.regexp_replace(text, HANDLE_PATTERN, "<HANDLE>")
@@ -153,7 +164,7 @@ def sanitize_reply(c: Column | str) -> Column:
 def normalize_for_matching(c: Column | str) -> Column:
     """Identifier-free, case-folded text for training, retrieval and dedupe."""
     text = F.regexp_replace(normalize_text(c), PLACEHOLDER_PATTERN, " ")
-    return casefold(collapse_space(text))
+    return _never_null(casefold(collapse_space(text)))
 
 
 def safe_guidance(

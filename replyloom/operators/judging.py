@@ -156,7 +156,8 @@ def judge_table(
     if cache is None:
         text = [f"{c} int" if c in RUBRIC_FIELDS else f"{c} string" for c in SCORE_COLUMNS]
         cache = predictions.sparkSession.createDataFrame([], ", ".join(text))
-    content = keyed_content(paired_sample(predictions, sample_size, seed), golden, model)
+    # The sample is read for the misses and again for the answers.
+    content = keyed_content(paired_sample(predictions, sample_size, seed), golden, model).persist()
     known = usable_cache(cache, model)
     fresh = score_content(cache_misses(content, known), scorer)
     scores = known.unionByName(fresh)

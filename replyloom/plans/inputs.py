@@ -63,7 +63,7 @@ def unanswered(spark: SparkSession, sf: str) -> DataFrame:
     everything = messages(spark, sf)
     answered = everything.filter(F.col("author_id") == DESK).select(
         F.col("in_response_to_tweet_id").alias("tweet_id")
-    )
+    ).distinct()
     return (
         everything.filter("inbound")
         .join(answered, "tweet_id", "left_anti")

@@ -213,7 +213,7 @@ CONTENT = f"""content AS (
 REPORT = """joint AS (
   SELECT system, actual_intent, predicted_intent, count(*) AS n FROM predictions GROUP BY ALL),
 totals AS (
-  SELECT system, label, sum(support) AS support, sum(predicted) AS predicted, sum(correct) AS correct
+  SELECT system, label, sum(support)::BIGINT AS support, sum(predicted)::BIGINT AS predicted, sum(correct)::BIGINT AS correct
   FROM (SELECT system, actual_intent AS label, n AS support, 0 AS predicted,
                CASE WHEN actual_intent = predicted_intent THEN n ELSE 0 END AS correct FROM joint
         UNION ALL SELECT system, predicted_intent, 0, n, 0 FROM joint)
@@ -318,7 +318,7 @@ def count_if(source: str, condition: str) -> str:
 
 
 def surplus(source: str, key: str) -> str:
-    return f"SELECT coalesce(sum(k - 1), 0) FROM (SELECT count(*) AS k FROM {source} GROUP BY {key})"
+    return f"SELECT coalesce(sum(k - 1), 0)::BIGINT FROM (SELECT count(*) AS k FROM {source} GROUP BY {key})"
 
 
 def shared(left: str, right: str, a: str, b: str) -> str:
@@ -507,7 +507,7 @@ SELECT system, label, round(precision, 9) AS precision, round(recall, 9) AS reca
         f"round(sum({c} * support) / sum(support), 9) AS weighted_{c}" for c in ("precision", "recall", "f1")
     )
     sql["report_averages"] = f"""WITH {LABELLED}, {PREDICTIONS}, {REPORT}
-SELECT system, {means}, {weighted}, sum(support) AS support FROM report GROUP BY system"""
+SELECT system, {means}, {weighted}, sum(support)::BIGINT AS support FROM report GROUP BY system"""
     sql["confusion"] = f"""WITH {LABELLED}, {PREDICTIONS}, {REPORT},
 names AS (SELECT DISTINCT system, label FROM totals)
 SELECT a.system, a.label AS actual_intent, b.label AS predicted_intent, coalesce(j.n, 0) AS n
@@ -784,5 +784,10 @@ FROM content JOIN chosen USING (example_id)"""
             ("duplicate prediction", "SELECT count(*) FROM predictions WHERE system = 'main'"),
         ]
     )
-    sql["provenance_checks"] = "SELECT 'same rows' AS check, 0 AS violations UNION ALL SELECT 'more rows', 1"
+    sql["provenance_checks"] = check_union(
+        [
+            ("same rows", "0"),
+            ("more rows", "SELECT CASE WHEN count(*) > 0 THEN 1 ELSE 0 END FROM documents"),
+        ]
+    )
     return sql

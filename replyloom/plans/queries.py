@@ -297,7 +297,7 @@ def wanted_messages(spark, sf):
     turns = inputs.messages(spark, sf)
     wanted = pairs.brand_direct_replies(turns, inputs.DESK).select(
         F.col("in_response_to_tweet_id").alias("tweet_id")
-    )
+    ).distinct()
     return turns.join(wanted, "tweet_id", "left_semi").select("tweet_id", "author_id", "text")
 
 
