@@ -315,3 +315,14 @@ def test_triage_batch_and_stream_agree(spark, fitted, tmp_path):
     rows = spark.read.parquet(str(tmp_path / "out/responses")).collect()
     assert {r["message_id"]: (r["decision"], r["reason"], r["draft_reply"]) for r in rows} == batch
     assert spark.read.parquet(str(tmp_path / "out/rejected")).count() == 2
+
+
+def test_large_corpus_and_vocabulary_paths_give_the_same_cases(spark, monkeypatch):
+    index = retrieval.build_retrieval_corpus(pairs(spark))
+    whole = found(retrieval.hybrid_retrieve(messages(spark), index, 3))
+    monkeypatch.setattr(retrieval, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(tfidf, "BROADCAST_ROWS", 0)
+    rows = retrieval.hybrid_retrieve(messages(spark), retrieval.build_retrieval_corpus(pairs(spark)), 3)
+    assert found(rows) == whole
+    texts = {c[0]: c[3] for c in CASES}
+    assert all(r["brand_reply"] == texts[r["customer_tweet_id"]] for r in rows.collect())
