@@ -2,7 +2,23 @@
 
 from __future__ import annotations
 
-WORD = r"[^\x20\x09-\x0D]+"
+from replyloom.llm.packing import BUCKETS, MAX_LENGTH, TOKEN_BUDGET, WORD
+from replyloom.llm.secret_scan import (
+    ACCESS,
+    ALLOWED,
+    ALNUM_BITS,
+    ASSIGN,
+    CANDIDATE,
+    HEX_BITS,
+    MIN_ACCESS,
+    MIN_ASSIGNED,
+    MIN_HEX,
+    MIXED_BITS,
+    WINDOW,
+    most_weight,
+    weight,
+)
+from replyloom.llm.url_filter import RULES
 
 OP1 = rf"""
 WITH d AS (
@@ -55,7 +71,136 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
+
+def _positions(name: str, pattern: str, group: int, keep: str, number: int) -> str:
+    """(doc_id, b, e, k, value) of one pattern's matches: pieces and matches add up to the text."""
+    return rf"""
+{name}0 AS (
+  SELECT doc_id, regexp_extract_all(text, '{pattern}', 0) AS f, regexp_extract_all(text, '{pattern}', {group}) AS v,
+         regexp_split_to_array(text, '{pattern}') AS p
+  FROM d WHERE regexp_matches(text, '{pattern}')),
+{name}1 AS (SELECT doc_id, i, length(p[i]) AS gap, length(f[i]) AS size, v[i] AS value
+  FROM (SELECT doc_id, f, v, p, unnest(range(1, len(f) + 1)) AS i FROM {name}0)),
+{name} AS (
+  SELECT doc_id, sum(gap) OVER w + coalesce(sum(size) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b,
+         sum(gap + size) OVER w AS e, {number} AS k, value
+  FROM {name}1 WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+  QUALIFY {keep})"""
+
+
+def _op2() -> str:
+    quoted = ASSIGN.replace("'", "''")
+    allowed = " OR ".join(f"regexp_matches(value, '{x}')" for x in ALLOWED)
+    weights = "[" + ", ".join(str(weight(c)) for c in range(1, WINDOW + 1)) + "]"
+    parts = [
+        _positions("assign", quoted, 2, f"length(value) >= {MIN_ASSIGNED}", 0),
+        _positions("access", ACCESS, 0, f"length(value) >= {MIN_ACCESS}", 1),
+        _positions("hex", f"[0-9a-f]{{{MIN_HEX},}}", 0, "true", 2),
+        _positions("candidate", CANDIDATE, 0, f"regexp_matches(value, '[0-9]') AND NOT ({allowed})", 3),
+    ]
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),{",".join(parts)},
+windows AS (
+  SELECT doc_id, b, e, k, x, substr(value, x, {WINDOW}) AS w
+  FROM (SELECT *, unnest(range(1, length(value) - {WINDOW} + 2)) AS x FROM candidate)),
+chars AS (
+  SELECT doc_id, b, e, k, x, c, count(*) AS n
+  FROM (SELECT *, unnest(string_split(w, '')) AS c FROM windows) GROUP BY ALL),
+counted AS (
+  SELECT doc_id, b, e, k, x, sum(({weights})[n]) AS t,
+         coalesce(sum(n) FILTER (regexp_matches(c, '[0-9a-fA-F]')), 0) AS hexes, coalesce(sum(n) FILTER (regexp_matches(c, '[0-9]')), 0) AS digits,
+         coalesce(sum(n) FILTER (regexp_matches(c, '[a-z]')), 0) AS lowers, coalesce(sum(n) FILTER (regexp_matches(c, '[A-Z]')), 0) AS uppers
+  FROM chars GROUP BY doc_id, b, e, k, x),
+entropy AS (
+  SELECT DISTINCT doc_id, b, e, k FROM counted
+  WHERE hexes = {WINDOW} AND digits BETWEEN 1 AND {WINDOW - 1} AND t <= {most_weight(HEX_BITS)}
+     OR lowers + digits = {WINDOW} AND digits BETWEEN 4 AND {WINDOW - 4} AND t <= {most_weight(ALNUM_BITS)}
+     OR lowers > 0 AND uppers > 0 AND digits > 0 AND t <= {most_weight(MIXED_BITS)}),
+s AS (
+  SELECT doc_id, b, e, k, ['assign', 'access', 'hex', 'entropy'][k + 1] || ':' || b::BIGINT || ':' || e::BIGINT AS span
+  FROM (SELECT doc_id, b, e, k FROM assign UNION ALL SELECT doc_id, b, e, k FROM access
+        UNION ALL SELECT doc_id, b, e, k FROM hex UNION ALL SELECT doc_id, b, e, k FROM entropy)),
+t AS (
+  SELECT doc_id, count(*) FILTER (k = 0) AS n0, count(*) FILTER (k = 1) AS n1, count(*) FILTER (k = 2) AS n2, count(*) FILTER (k = 3) AS n3,
+         string_agg(span, ',' ORDER BY b, k) FILTER (k < 3) AS base, string_agg(span, ',' ORDER BY b, k) AS spans
+  FROM s GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n0, 0)::BIGINT AS n_assign, coalesce(n1, 0)::BIGINT AS n_access, coalesce(n2, 0)::BIGINT AS n_hex,
+       coalesce(n3, 0)::BIGINT AS n_entropy, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN t USING (doc_id)
+"""
+
+
+def _op5() -> str:
+    """One step per bucket: the least padding of the first j lengths, and where the last bucket begins."""
+    steps = ["k1 AS MATERIALIZED (SELECT j, v * c - s AS cost, 0 AS origin FROM h)"]
+    for k in range(2, BUCKETS + 1):
+        steps.append(
+            f"k{k} AS MATERIALIZED (SELECT j, min(cost) AS cost, arg_min(i, (cost, i)) AS origin FROM ("
+            f"SELECT h.j, p.j AS i, p.cost + h.v * (h.c - g.c) - (h.s - g.s) AS cost FROM h JOIN k{k - 1} p ON p.j < h.j JOIN h g ON g.j = p.j"
+            " UNION ALL SELECT j, 0, v * c - s FROM h) GROUP BY j)"
+        )
+    steps.append(f"b{BUCKETS} AS MATERIALIZED (SELECT max(j) AS j FROM h)")
+    for k in range(BUCKETS - 1, 0, -1):
+        steps.append(f"b{k} AS MATERIALIZED (SELECT origin AS j FROM k{k + 1} JOIN b{k + 1} USING (j))")
+    bounds = " UNION ".join(f"SELECT j FROM b{k}" for k in range(1, BUCKETS + 1))
+    return rf"""
+WITH n AS (SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS n FROM documents),
+q AS (
+  SELECT doc_id, chunk, chunk * {MAX_LENGTH} AS start, least({MAX_LENGTH}, n - chunk * {MAX_LENGTH}) AS n_tokens
+  FROM (SELECT doc_id, n, unnest(range(0, greatest(1, (n + {MAX_LENGTH - 1}) // {MAX_LENGTH}))) AS chunk FROM n)),
+h AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY n_tokens) AS j, n_tokens::HUGEINT AS v, sum(count(*)) OVER (ORDER BY n_tokens) AS c,
+         sum(count(*) * n_tokens) OVER (ORDER BY n_tokens) AS s
+  FROM q GROUP BY n_tokens),
+{", ".join(steps)},
+bounds AS (SELECT v::BIGINT AS pad_to, coalesce(lag(v) OVER (ORDER BY v), -1) AS low FROM h WHERE j IN ({bounds})),
+r AS (
+  SELECT q.*, pad_to, row_number() OVER (PARTITION BY pad_to ORDER BY doc_id, chunk) - 1 AS r,
+         greatest(1, {TOKEN_BUDGET} // greatest(pad_to, 1)) AS capacity
+  FROM q JOIN bounds ON n_tokens > low AND n_tokens <= pad_to)
+SELECT doc_id, chunk::BIGINT AS chunk, start::BIGINT AS start, n_tokens::BIGINT AS n_tokens, pad_to,
+       (r // capacity)::BIGINT AS batch, (r % capacity)::BIGINT AS slot
+FROM r
+"""
+
+
+def _op6() -> str:
+    rules = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in RULES)
+    return rf"""
+WITH RECURSIVE rules(verdict, host, path) AS (VALUES {rules}),
+tags AS (
+  SELECT url, unnest(list_concat(
+    list_transform(list_filter(regexp_extract_all(html, '<[Ll][Ii][Nn][Kk][^>]*>'), lambda t: regexp_matches(t, '(?i)rel\s*=\s*["'']?canonical')),
+      lambda t: regexp_extract(t, '(?i)href\s*=\s*["'']?([^"''\s>]+)', 1)),
+    list_transform(list_filter(regexp_extract_all(html, '<[Mm][Ee][Tt][Aa][^>]*>'), lambda t: regexp_matches(t, '(?i)http-equiv\s*=\s*["'']?refresh')),
+      lambda t: regexp_extract(t, '(?i)url\s*=\s*["'']?([^"''\s>]+)', 1)))) AS t
+  FROM pages WHERE contains(url, '://')),
+links AS (
+  SELECT DISTINCT url, target FROM (
+    SELECT url, CASE WHEN contains(t, '://') THEN t WHEN starts_with(t, '//') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || t
+                     WHEN starts_with(t, '/') THEN regexp_extract(url, '(?s)^.*?://[^/?#]*') || t END AS target FROM tags)
+  WHERE target IS NOT NULL AND target <> url),
+both_ways AS (SELECT url AS a, target AS b FROM links UNION SELECT target, url FROM links),
+reach(a, b) AS (SELECT a, a FROM both_ways UNION SELECT r.a, w.b FROM reach r JOIN both_ways w ON r.b = w.a),
+urls AS (SELECT url FROM pages WHERE url IS NOT NULL UNION SELECT a FROM both_ways),
+parts AS (
+  SELECT url, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM urls),
+hits AS (
+  SELECT url, r.host || r.path AS rule, r.verdict
+  FROM parts p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+  QUALIFY row_number() OVER (PARTITION BY url ORDER BY length(r.host || r.path) DESC, r.verdict, r.host || r.path DESC) = 1),
+classes AS (SELECT a AS url, min(verdict) AS class_verdict FROM reach JOIN hits ON hits.url = reach.b GROUP BY a)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(verdict, class_verdict, 'allow') AS verdict
+FROM pages LEFT JOIN parts USING (url) LEFT JOIN hits USING (url) LEFT JOIN classes USING (url)
+"""
+
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": OP1,
+    "op2_secret_scan": _op2(),
+    "op5_length_buckets": _op5(),
+    "op6_url_filter": _op6(),
     "op7_benchmark_decontamination": OP7,
 }

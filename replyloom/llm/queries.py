@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replyloom.llm import decontamination, near_dedup, quality_rules
+from replyloom.llm import decontamination, near_dedup, packing, quality_rules, secret_scan, url_filter
 from replyloom.llm.common import read, spread_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,25 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.secret_scan(read(spark, folder, "documents").select("doc_id", "text"))
+    spans = F.col("secrets")
+    return found.select(
+        "doc_id",
+        *[secret_scan.of_kind(spans, i).alias(f"n_{kind}") for i, kind in enumerate(secret_scan.KINDS)],
+        F.sha2(secret_scan.as_text(spans, (0, 1, 2)), 256).alias("base_sha256"),
+        secret_scan.as_text(spans).alias("spans"),
+    )
+
+
+def op5_length_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read(spark, folder, "documents"))
+
+
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge_urls(read(spark, folder, "pages"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.contamination(_documents(spark, folder), read(spark, folder, "benchmark"))
     return found.select(
