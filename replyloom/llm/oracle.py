@@ -197,10 +197,23 @@ FROM pages LEFT JOIN parts USING (url) LEFT JOIN hits USING (url) LEFT JOIN clas
 """
 
 
+OP9 = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, strlen(html) AS n, upper(sha1(html)) AS x, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda s:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(x, i * 5 + 1, 5))::BIGINT) >> s) & 31)::INT + 1, 1)), '')), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM h
+"""
+
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": OP1,
     "op2_secret_scan": _op2(),
     "op5_length_buckets": _op5(),
     "op6_url_filter": _op6(),
     "op7_benchmark_decontamination": OP7,
+    "op9_warc": OP9,
 }

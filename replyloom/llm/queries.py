@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replyloom.llm import decontamination, near_dedup, packing, quality_rules, secret_scan, url_filter
+from replyloom.llm import decontamination, near_dedup, packing, quality_rules, secret_scan, url_filter, warc
 from replyloom.llm.common import read, spread_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,11 @@ def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.warc_round_trip(spread_rows(read(spark, folder, "pages")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(_documents(spark, folder))
 
