@@ -55,7 +55,7 @@ POLICIES = (
 )
 
 
-def _covered(digests: np.ndarray, of_text: np.ndarray) -> np.ndarray:
+def repeated_window_words(digests: np.ndarray, of_text: np.ndarray) -> np.ndarray:
     """Words inside a window of three that occurs twice or more in the same text."""
     n_words = len(digests)
     flags = np.zeros(n_words, dtype=bool)
@@ -88,7 +88,7 @@ def _measure_chunk(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
         per_text(_SYMBOL[data], bounds),
         np.array(lines),
         np.array(repeated),
-        per_text(_covered(word_digests(data, words), words.of_text), words.of_text),
+        per_text(repeated_window_words(word_digests(data, words), words.of_text), words.of_text),
     ]
 
 

@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replyloom.llm import decontamination, near_dedup, packing, quality_rules, secret_scan, url_filter, warc
-from replyloom.llm.common import read, spread_rows
+from replyloom.llm import (
+    decontamination,
+    language,
+    near_dedup,
+    packing,
+    quality_model,
+    quality_rules,
+    secret_scan,
+    toxicity,
+    url_filter,
+    warc,
+)
+from replyloom.llm.common import held_out, read, spread_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +54,23 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _scored(scores: DataFrame, threshold: float) -> DataFrame:
+    return scores.select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+    )
+
+
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scores = toxicity.score_toxicity(_documents(spark, folder), read(spark, folder, "labels"))
+    return _scored(scores, toxicity.THRESHOLD)
+
+
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = spread_rows(read(spark, folder, "documents").select("doc_id", "text", "lang"))
+    found = language.identify_languages(documents, with_spans=False)
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op5_length_buckets(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"))
 
@@ -63,6 +91,11 @@ def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+def op8_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    scores = quality_model.score_quality(_documents(spark, folder), read(spark, folder, "labels"))
+    return _scored(scores, quality_model.THRESHOLD)
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     records = warc.warc_round_trip(spread_rows(read(spark, folder, "pages")))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
