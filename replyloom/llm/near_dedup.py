@@ -159,19 +159,19 @@ def one_of_each_group(documents: DataFrame, key: str = "doc_id", text: str = "te
     the smallest fingerprint, and of those any one, since they link to each other.
     """
     own = documents.columns
-    name = F.coalesce(F.col(key).cast("string"), F.lit("")).alias("__id")
-    marked = documents.select("*", F.col(key).isNull().alias("__none"), name, fingerprint(F.col(text)).alias("__fp"))
-    narrow = store(marked.select(F.col(key).alias("id"), F.col("__fp").alias("fp")), "fingerprints")
+    name = F.coalesce(F.col(key).cast("string"), F.lit("")).alias("__near_id")
+    marked = documents.select("*", F.col(key).isNull().alias("__near_none"), name, fingerprint(F.col(text)).alias("__near_fp"))
+    narrow = store(marked.select(F.col(key).alias("id"), F.col("__near_fp").alias("fp")), "fingerprints")
     found = fingerprint_components(narrow.rows)
     winners = (
         narrow.rows.join(found.rows.select("fp", "root"), "fp")
         .groupBy("root")
         .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp")).alias("first"))
         .select(
-            F.col("first.none").alias("__none"),
-            F.coalesce(F.col("first.id").cast("string"), F.lit("")).alias("__id"),
-            F.col("first.fp").alias("__fp"),
+            F.col("first.none").alias("__near_none"),
+            F.coalesce(F.col("first.id").cast("string"), F.lit("")).alias("__near_id"),
+            F.col("first.fp").alias("__near_fp"),
         )
     )
-    where = ["__none", "__id", "__fp"]
+    where = ["__near_none", "__near_id", "__near_fp"]
     return marked.join(winners, where, "left_semi").dropDuplicates(where).select(*own)

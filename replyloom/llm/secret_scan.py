@@ -194,18 +194,18 @@ def with_secrets(df: DataFrame, text: str = "text", spans: str = "secrets") -> D
     plain = "__secret_text"
     df = df.withColumn(plain, F.coalesce(F.col(text), F.lit("")))
     might = lambda pattern: F.col(plain).rlike(pattern)
-    df = _with_matches(df, plain, "__assign", ASSIGN, might(f"({_NAMES})[\"']?\\x20*[:=]"), group=2)
-    df = _with_matches(df, plain, "__access", ACCESS, F.contains(F.col(plain), F.lit("AKIA")))
-    df = _with_matches(df, plain, "__hex", HEX, might(f"[0-9a-f]{{{MIN_HEX}}}"))
-    df = _with_matches(df, plain, "__entropy", CANDIDATE, might("[A-Za-z0-9+/_-]{20}"))
+    df = _with_matches(df, plain, "__secret_assign", ASSIGN, might(f"({_NAMES})[\"']?\\x20*[:=]"), group=2)
+    df = _with_matches(df, plain, "__secret_access", ACCESS, F.contains(F.col(plain), F.lit("AKIA")))
+    df = _with_matches(df, plain, "__secret_hex", HEX, might(f"[0-9a-f]{{{MIN_HEX}}}"))
+    df = _with_matches(df, plain, "__secret_entropy", CANDIDATE, might("[A-Za-z0-9+/_-]{20}"))
     at_least = lambda n: lambda value: F.length(value) >= n
     found = F.concat(
-        _kind("__assign", 0, at_least(MIN_ASSIGNED)),
-        _kind("__access", 1, at_least(MIN_ACCESS)),
-        _kind("__hex", 2, at_least(MIN_HEX)),
-        _kind("__entropy", 3, suspicious),
+        _kind("__secret_assign", 0, at_least(MIN_ASSIGNED)),
+        _kind("__secret_access", 1, at_least(MIN_ACCESS)),
+        _kind("__secret_hex", 2, at_least(MIN_HEX)),
+        _kind("__secret_entropy", 3, suspicious),
     )
-    return df.withColumn(spans, F.array_sort(found)).drop(plain, "__assign", "__access", "__hex", "__entropy")
+    return df.withColumn(spans, F.array_sort(found)).drop(plain, "__secret_assign", "__secret_access", "__secret_hex", "__secret_entropy")
 
 
 def as_text(spans: Column, kinds: Sequence[int] = range(len(KINDS))) -> Column:
@@ -241,10 +241,10 @@ def _merged(spans: Column) -> Column:
 def redact_secrets(df: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
     """``df`` with every secret replaced by ``mark``; other texts, rows and columns as they are."""
     own = df.columns
-    df = with_secrets(df, text, "__secrets").withColumn("__ranges", _merged(F.col("__secrets")))
-    n, old = F.size("__ranges"), F.col(text)
-    begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.element_at("__ranges", i)["end"]).cast("int")
-    end = lambda i: F.when(i == n, F.length(old)).otherwise(F.element_at("__ranges", i + 1)["begin"]).cast("int")
+    df = with_secrets(df, text, "__secret_spans").withColumn("__secret_ranges", _merged(F.col("__secret_spans")))
+    n, old = F.size("__secret_ranges"), F.col(text)
+    begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.element_at("__secret_ranges", i)["end"]).cast("int")
+    end = lambda i: F.when(i == n, F.length(old)).otherwise(F.element_at("__secret_ranges", i + 1)["begin"]).cast("int")
     pieces = F.transform(F.sequence(F.lit(0), n), lambda i: F.substr(old, begin(i) + 1, end(i) - begin(i)))
     return df.withColumn(text, F.when(n > 0, F.array_join(pieces, mark)).otherwise(old)).select(*own)
 
