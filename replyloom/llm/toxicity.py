@@ -25,6 +25,8 @@ BUCKETS = 1 << 20
 #: Buckets that tell the classes apart best; all others have no weight.
 TERMS = 512
 FACTORS = 6
+#: Chi-squared that a bucket must reach to count as a term; rare words get there by chance below it.
+LEAST_GAIN = 30.0
 THRESHOLD = 0.7
 _ROUNDS, _RATE, _L2_WEIGHT, _L2_FACTOR = 500, 0.05, 3e-6, 1e-4
 
@@ -84,9 +86,9 @@ def fit(rows: pa.Table) -> Machine | None:
     with_term, toxic = np.bincount(bucket, minlength=BUCKETS), np.bincount(bucket, y[of], BUCKETS)
     expected = with_term * n1 / len(y)
     spread = expected * (1 - n1 / len(y)) + 1e-9
-    gain = np.where(with_term >= 3, (toxic - expected) ** 2 / spread, 0.0)
+    gain = (toxic - expected) ** 2 / spread
     chosen = np.sort(np.argsort(-gain, kind="stable")[:TERMS])
-    chosen = chosen[gain[chosen] > 0]
+    chosen = chosen[gain[chosen] >= LEAST_GAIN]
     place = np.full(BUCKETS, -1, dtype=np.int16)
     place[chosen] = np.arange(len(chosen))
     term = place[bucket].astype(np.int64)
