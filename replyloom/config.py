@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from replyloom.functions.text import BLOCKED_REPLY_PATTERNS, MESSAGE_MAX_CHARS, SUGGESTION_START
+
 # ---- fixed values ----------------------------------------------------------
 DECISIONS = ("auto_handle", "escalate")
 INTENTS = (
@@ -70,7 +72,12 @@ class TriageConfig:
     seed: int = 42
     intents: tuple[str, ...] = INTENTS
     policy: Policy = field(default_factory=Policy)
-    max_corpus_size: int = 30_000
-    max_features: int = 40_000
+    # None: every usable pair, every term, messages of any length.
+    max_corpus_size: int | None = None
+    max_features: int | None = None
+    max_message_chars: int | None = MESSAGE_MAX_CHARS
     top_k: int = 3
+    # What keeps a reply from being quoted, and how a sentence worth quoting starts.
+    blocked_patterns: tuple[str, ...] = BLOCKED_REPLY_PATTERNS
+    suggestion_start: str = SUGGESTION_START
     reply_templates: dict[str, str] = field(default_factory=lambda: dict(REPLY_TEMPLATES))

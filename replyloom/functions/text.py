@@ -29,10 +29,9 @@ PLACEHOLDER_PATTERN = r"(?iu)<(?:EMAIL|URL|HANDLE|NUMBER)>"
 # Western letters that fold like lower case; tested first because most text is just these.
 NEVER_RARE = r"\x00-\xb4\xb6-\u0148"
 
-REPLY_MAX_CHARS = 500
 MESSAGE_MAX_CHARS = 4000
 BLANK_MESSAGE = "Enter a customer message with usable text."
-LONG_MESSAGE = "Customer message must be 4000 characters or fewer."
+LONG_MESSAGE = "Customer message must be %d characters or fewer."
 
 LEADING_HANDLE = rf"^<HANDLE>[,!.{SPACE}-]*"
 LEADING_GREETING = rf"(?iu)^(hi|hey|hello)([{SPACE}]+there)?[,!.{SPACE}-]*"
@@ -151,14 +150,21 @@ def normalize_text(c: Column | str) -> Column:
     return collapse_space(text)
 
 
-def sanitize_reply(c: Column | str) -> Column:
-    """Normalise a reply and drop its greeting, handles and agent sign-off."""
+def _head(text: Column, max_chars: int | None) -> Column:
+    return text if max_chars is None else F.substring(text, 1, max_chars)
+
+
+def sanitize_reply(c: Column | str, max_chars: int | None = None) -> Column:
+    """Normalise a reply and drop its greeting, handles and agent sign-off.
+
+    The whole reply is kept unless the caller sets ``max_chars``.
+    """
     text = normalize_text(c)
     text = F.regexp_replace(text, LEADING_HANDLE, "")
     text = F.regexp_replace(text, LEADING_GREETING, "")
     text = F.regexp_replace(text, LEADING_HANDLE, "")
     text = F.regexp_replace(text, AGENT_SIGNATURE, "")
-    return F.trim(F.substring(text, 1, REPLY_MAX_CHARS))
+    return F.trim(_head(text, max_chars))
 
 
 def normalize_for_matching(c: Column | str) -> Column:
@@ -171,8 +177,13 @@ def safe_guidance(
     c: Column | str,
     blocked: tuple[str, ...] = BLOCKED_REPLY_PATTERNS,
     suggestion_start: str = SUGGESTION_START,
+    max_chars: int | None = None,
 ) -> Column:
-    """The reusable troubleshooting sentences of a reply, or ``""``."""
+    """The reusable troubleshooting sentences of a reply, or ``""``.
+
+    Blocked words are looked for in the whole reply; ``max_chars`` only shortens
+    what is returned.
+    """
     unsafe = "(?iu)" + "|".join((PLACEHOLDER_PATTERN.removeprefix("(?iu)"), *blocked))
 
     def pick(text: Column) -> Column:
@@ -180,7 +191,7 @@ def safe_guidance(
         kept = F.filter(
             F.transform(sentences, lambda s: F.trim(s)), lambda s: F.rlike(s, F.lit(suggestion_start))
         )
-        joined = F.substring(F.array_join(kept, " "), 1, REPLY_MAX_CHARS)
+        joined = _head(F.array_join(kept, " "), max_chars)
         return F.when(F.rlike(text, F.lit(unsafe)), F.lit("")).otherwise(joined)
 
     return _bind(sanitize_reply(c), pick)
@@ -200,16 +211,17 @@ def is_reviewed(c: Column | str) -> Column:
     return casefold(strip(c)) == "yes"
 
 
-def rejection_reason(c: Column | str) -> Column:
-    """Why a message cannot be triaged; null when it can."""
-    return F.when(normalize_for_matching(c) == "", F.lit(BLANK_MESSAGE)).when(
-        F.length(_col(c)) > MESSAGE_MAX_CHARS, F.lit(LONG_MESSAGE)
-    )
+def rejection_reason(c: Column | str, max_chars: int | None = MESSAGE_MAX_CHARS) -> Column:
+    """Why a message cannot be triaged; null when it can.  ``None`` accepts any length."""
+    reason = F.when(normalize_for_matching(c) == "", F.lit(BLANK_MESSAGE))
+    if max_chars is None:
+        return reason
+    return reason.when(F.length(_col(c)) > max_chars, F.lit(LONG_MESSAGE % max_chars))
 
 
-def validate_message(df, text: str = "text"):
+def validate_message(df, text: str = "text", max_chars: int | None = MESSAGE_MAX_CHARS):
     """Split a batch into ``(accepted, rejected)``; rejected rows carry ``reason``."""
-    tagged = df.withColumn("reason", rejection_reason(text))
+    tagged = df.withColumn("reason", rejection_reason(text, max_chars))
     accepted = tagged.filter(F.col("reason").isNull()).drop("reason")
     return accepted, tagged.filter(F.col("reason").isNotNull())
 

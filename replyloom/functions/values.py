@@ -13,8 +13,7 @@ RUBRIC_VERSION = "support-draft-v2"
 
 JSON_STRING = r'"(?:[^"\\]|\\.)*"'
 JSON_FLOAT = r"-?\d+(?:\.\d+(?:[eE][+-]?\d+)?|[eE][+-]?\d+)"
-SCORE_PLAIN = r"^[+]?0*[1-5](\.0*)?$"
-SCORE_EXPONENT = r"^[+]?(\d+(\.\d*)?|\.\d+)[eE][+-]?\d{1,3}$"
+DECIMAL = r"^[+]?(?=\.?\d)(\d*)\.?(\d*)(?:[eE]([+-]?\d+))?$"
 
 
 def cache_key(model: Column | str, text: Column | str, draft: Column | str, evidence: Column | str,
@@ -31,20 +30,24 @@ def cache_key(model: Column | str, text: Column | str, draft: Column | str, evid
 
 
 def parse_score(c: Column | str) -> Column:
-    """Integer 1..5 from decimal text such as ``4``, ``4.0`` or ``1e0``; else null."""
+    """Integer 1..5 from decimal text such as ``4``, ``4.0``, ``0_4`` or ``40e-1``; else null.
+
+    Exact at any length: with the point removed and leading zeros gone, the
+    digits must be one of 1..5 and zeros, and the exponent must move the point
+    right behind the first of them.
+    """
 
     def parse(text: Column) -> Column:
-        value = text.try_cast("decimal(38,36)")
-        whole = (value == F.floor(value)) & value.between(1, 5)
-        accepted = F.rlike(text, F.lit(SCORE_PLAIN)) | (
-            F.rlike(text, F.lit(SCORE_EXPONENT)) & whole & (F.length(text) <= 36)
-        )
-        plain = F.regexp_extract(text, r"([1-5])", 1)
-        return F.when(F.rlike(text, F.lit(SCORE_PLAIN)), plain.try_cast("int")).when(
-            accepted, value.try_cast("int")
-        )
-
-    return _bind(strip(c), parse)
+        part = lambda group: F.regexp_extract(text, DECIMAL, group)
+        digits = F.concat(part(1), part(2))
+        core = r"^0*([1-5])(0*)$"
+        exponent = F.regexp_replace(part(3), r"^([+-]?)0+(?=\d)", "$1")
+        shift = F.when(exponent == "", F.lit(0)).otherwise(exponent.try_cast("int"))
+        needed = F.length(part(2)) - F.length(F.regexp_extract(digits, core, 2))
+        whole = F.rlike(text, F.lit(DECIMAL)) & F.rlike(digits, F.lit(core)) & (shift == needed)
+        return F.when(whole, F.regexp_extract(digits, core, 1).try_cast("int"))
+
+    return _bind(F.replace(strip(c), F.lit("_"), F.lit("")), parse)
 
 
 def parse_json_strict(c: Column | str) -> Column:

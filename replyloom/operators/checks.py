@@ -62,6 +62,38 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str | Column], check: str) -> D
     )
 
 
+def matching_key(c: str) -> Column:
+    """The normalised text of a column as a key of fixed size."""
+    return F.sha2(normalize_for_matching(c), 256)
+
+
+def missing_keys(
+    left: DataFrame, right: DataFrame, keys: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """``(only in left, only in right)``: distinct keys without a counterpart."""
+    a, b = left.select(*keys).distinct(), right.select(*keys).distinct()
+    return a.join(b, list(keys), "left_anti"), b.join(a, list(keys), "left_anti")
+
+
+def join_one(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], name: str, both: bool = False
+) -> DataFrame:
+    """Inner join that must find exactly one ``right`` row per ``left`` row.
+
+    Repeated keys on the right, keys without a match and, with ``both``, repeated
+    keys on the left or unused keys on the right raise before any row is joined.
+    """
+    require_columns(left, keys, name)
+    require_columns(right, keys, name)
+    lost, unused = missing_keys(left, right, keys)
+    count = lambda df, check: df.agg(F.lit(check).alias("check"), F.count(F.lit(1)).alias("violations"))
+    reports = [duplicate_keys(right, keys, "repeated key on the right"), count(lost, "key without a match")]
+    if both:
+        reports += [duplicate_keys(left, keys, "repeated key on the left"), count(unused, "unused key")]
+    enforce(stack(reports), name)
+    return left.join(right, list(keys))
+
+
 def overlap(left: DataFrame, right: DataFrame, left_field: Column, right_field: Column, check: str) -> DataFrame:
     """Distinct values two tables share, as a ``(check, violations)`` row."""
     a = left.select(left_field.alias("_v")).distinct()
@@ -103,7 +135,7 @@ def golden_checks(golden: DataFrame, intents: Sequence[str], low: int = 150, hig
             violations(golden, rules),
             size_between(golden, low, high, "size"),
             duplicate_keys(golden, [strip("example_id")], "duplicate example_id"),
-            duplicate_keys(golden, [normalized], "duplicate normalized text"),
+            duplicate_keys(golden, [matching_key("text")], "duplicate normalized text"),
         ]
     )
 
@@ -127,16 +159,16 @@ def training_checks(training: DataFrame, intents: Sequence[str], minimum: int =
         [
             violations(training, rules),
             size_between(training, minimum, None, "size"),
-            duplicate_keys(training, [normalized], "duplicate normalized text"),
+            duplicate_keys(training, [matching_key("text")], "duplicate normalized text"),
         ]
     )
 
 
 def leakage_checks(training: DataFrame, golden: DataFrame, corpus: DataFrame | None = None) -> DataFrame:
     """Shared texts, threads and identifiers between training/corpus and golden rows."""
-    golden_text = normalize_for_matching("text")
+    golden_text = matching_key("text")
     reports = [
-        overlap(training, golden, normalize_for_matching("text"), golden_text, "training text"),
+        overlap(training, golden, matching_key("text"), golden_text, "training text"),
         overlap(training, golden, strip("thread_id"), strip("thread_id"), "training thread_id"),
     ]
     if "example_id" in training.columns:
@@ -153,7 +185,7 @@ def leakage_checks(training: DataFrame, golden: DataFrame, corpus: DataFrame | N
         text = lambda c: strip(F.col(c).cast("string"))
         reports += [
             overlap(corpus, golden, text("thread_id"), text("thread_id"), "corpus thread_id"),
-            overlap(corpus, golden, normalize_for_matching("customer_text"), golden_text, "corpus text"),
+            overlap(corpus, golden, matching_key("customer_text"), golden_text, "corpus text"),
         ]
         if "tweet_id" in golden.columns:
             reports.append(

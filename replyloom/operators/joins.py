@@ -8,12 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 1_000_000
-BROADCAST_ROWS = 200_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Count at most ``max_rows + 1`` rows to decide whether a side is small."""
-    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def salted_join(
@@ -61,15 +55,3 @@ def salted_join(
     salted_left = tag(left).withColumn("_salt", salt).drop("_salts")
     salted_right = tag(right).withColumn("_salt", F.explode(repeats)).drop("_salts")
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
-
-
-def drop_known(
-    df: DataFrame, keys: DataFrame, on: Sequence[str], spread: Sequence[str], small: bool | None = None
-) -> DataFrame:
-    """Rows of ``df`` whose key is not in ``keys`` (one row per key).
-
-    ``small`` tells that the caller has already checked the size of ``keys``.
-    """
-    if fits_broadcast(keys) if small is None else small:
-        return df.join(F.broadcast(keys), list(on), "left_anti")
-    return salted_join(df, keys, on, "left_anti", spread)

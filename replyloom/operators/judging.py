@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import numbers
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,12 +25,14 @@ from replyloom.operators.checks import (
     require,
     require_columns,
     required_fields,
+    size_between,
     stack,
     violations,
 )
 from replyloom.operators.joins import salted_join
 from replyloom.operators.metrics import spearman_from_counts
 from replyloom.operators.sampling import sample_n, sample_rank
+from replyloom.session import stored
 
 PAIR = ("example_id", "system")
 SCORE_COLUMNS = (*PAIR, "model", "rubric_version", "cache_key", *RUBRIC_FIELDS, "rationale")
@@ -47,10 +51,10 @@ def evidence_json(prediction: Column | str) -> Column:
     )
 
 
-def paired_sample(predictions: DataFrame, n: int, seed: int) -> DataFrame:
-    """All systems of ``n`` sampled examples, with a reproducible order per example."""
-    if n < 1:
-        raise ValueError("sample_size must be a positive number of paired examples.")
+def paired_sample(predictions: DataFrame, n: int | None, seed: int) -> DataFrame:
+    """All systems of ``n`` sampled examples, or of all, with a reproducible order per example."""
+    if n is not None and n < 1:
+        raise ValueError("The number of sampled examples must be positive.")
     chosen = sample_n(predictions.select("example_id").distinct(), n, seed, "example_id")
     # Few rows per example (one per system), so the order column is local to a row.
     return predictions.join(chosen, "example_id", "left_semi").withColumn(
@@ -81,30 +85,40 @@ def cache_misses(content: DataFrame, cached: DataFrame) -> DataFrame:
     return distinct.join(cached.select("cache_key"), "cache_key", "left_anti")
 
 
-def _apply(scorer: Scorer) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def check_answers(asked: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    """The answers of one batch, or an error: one per asked key, whole scores, a text rationale.
+
+    Types are looked at before anything is converted, so ``True``, ``3.0`` and
+    ``"4"`` are no scores.
+    """
     columns = ["cache_key", *RUBRIC_FIELDS, "rationale"]
+    if absent := sorted(set(columns) - set(answers.columns)):
+        raise ValueError(f"The scorer's answer lacks {absent}")
+    if sorted(asked["cache_key"]) != sorted(answers["cache_key"]):
+        raise ValueError("The scorer must answer every asked key once and no other")
+    for field in RUBRIC_FIELDS:
+        for score in answers[field]:
+            whole = isinstance(score, numbers.Integral) and not isinstance(score, (bool, np.bool_))
+            if not whole or not 1 <= score <= 5:
+                raise ValueError(f"The scorer gave {score!r} for {field}, not an integer from 1 to 5")
+    if not all(isinstance(text, str) for text in answers["rationale"]):
+        raise ValueError("The scorer gave a rationale that is not text")
+    return answers[columns]
+
 
+def _apply(scorer: Scorer) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield scorer(batch)[columns]
+            if len(batch):
+                yield check_answers(batch, scorer(batch))
 
     return run
 
 
 def score_content(content: DataFrame, scorer: Scorer) -> DataFrame:
-    """Call the scorer on batches of content; invalid scores raise."""
+    """Call the scorer on batches of content; what breaks ``check_answers`` raises."""
     fields = ", ".join(f"{f} int" for f in RUBRIC_FIELDS)
-    scored = content.mapInPandas(_apply(scorer), f"cache_key string, {fields}, rationale string")
-    checked = scored
-    for field in RUBRIC_FIELDS:
-        ok = F.col(field).between(1, 5)
-        checked = checked.withColumn(
-            field,
-            F.when(ok, F.col(field)).otherwise(
-                F.raise_error(F.lit(f"Judge returned invalid {field} score")).cast("int")
-            ),
-        )
-    return checked
+    return content.mapInPandas(_apply(scorer), f"cache_key string, {fields}, rationale string")
 
 
 def upsert_scores(cache: DataFrame, fresh: DataFrame) -> DataFrame:
@@ -121,6 +135,7 @@ def judging_checks(predictions: DataFrame, golden: DataFrame) -> DataFrame:
     rules["malformed prediction_json"] = evidence_json("prediction_json").isNull()
     return stack(
         [
+            size_between(predictions, 1, None, "no predictions"),
             violations(predictions, rules),
             violations(golden, required_fields(["example_id", "text"])),
             duplicate_keys(golden, ["example_id"], "duplicate golden example_id"),
@@ -145,22 +160,28 @@ def judge_table(
     golden: DataFrame,
     scorer: Scorer,
     model: str,
-    sample_size: int = 50,
+    sample_size: int | None = 50,
     seed: int = 42,
     cache: DataFrame | None = None,
     check: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(scores of this run, new cache)``; the scorer sees uncached content only."""
+    """``(scores of this run, new cache)``; the scorer sees uncached content only, and once.
+
+    ``sample_size=None`` judges every example.  New scores are written to the
+    shared folder before either result is built from them: an external judge is
+    asked once per content, however often the results are read.  A missing,
+    repeated or unasked answer raises.
+    """
     if check:
         enforce(judging_checks(predictions, golden), "Judging input")
     if cache is None:
         text = [f"{c} int" if c in RUBRIC_FIELDS else f"{c} string" for c in SCORE_COLUMNS]
         cache = predictions.sparkSession.createDataFrame([], ", ".join(text))
-    # The sample is read for the misses and again for the answers.
-    content = keyed_content(paired_sample(predictions, sample_size, seed), golden, model).persist()
+    content = stored(keyed_content(paired_sample(predictions, sample_size, seed), golden, model), "judged-content")
     known = usable_cache(cache, model)
-    fresh = score_content(cache_misses(content, known), scorer)
+    fresh = stored(score_content(cache_misses(content, known), scorer), "fresh-scores")
     scores = known.unionByName(fresh)
+    # Every key has a score: it was cached, or the scorer answered it.
     run = salted_join(content, scores, ["cache_key"], "inner", list(PAIR)).select(
         *PAIR,
         F.lit(model).alias("model"),
@@ -204,7 +225,7 @@ def matched_scores(judge: DataFrame, human: DataFrame, check: bool = True) -> Da
     )
     if check:
         if merged.isEmpty():
-            raise ValueError("No matching human and judge scores were found.")
+            raise ValueError("Human and judge scores have no pair in common.")
         rules = {
             f"invalid {who} {f}": parse_score(f"{who}_{f}").isNull()
             for who in ("judge", "human")

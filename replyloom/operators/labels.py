@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from replyloom.config import GENERIC_REPLY, WEAK_LABEL_SOURCE
 from replyloom.functions.rules import DEFAULT_RULES, FALLBACK_LABEL, rule_label
 from replyloom.functions.text import humanize, with_matching_text
-from replyloom.operators.sampling import dedupe_first, number_examples, sample_n
+from replyloom.operators.sampling import dedupe_first, number_examples, sample_n, text_digest
 
 BLANK_ANNOTATIONS = (
     "intent",
@@ -47,14 +47,18 @@ def majority_label(labels: DataFrame, order: str, label: str = "intent") -> Data
 
 def create_weak_labels(
     pairs: DataFrame,
-    max_examples: int,
+    max_examples: int | None,
     seed: int,
     rules: Sequence[tuple[str, str]] = DEFAULT_RULES,
     id_col: str = "customer_tweet_id",
 ) -> DataFrame:
-    """Rule labels for distinct, non-empty messages, at most ``max_examples`` of them."""
+    """Rule labels for distinct, non-empty messages, at most ``max_examples`` of them.
+
+    The bound is the size of the sample that a classifier is fitted on; ``None``
+    labels every message.
+    """
     usable = with_matching_text(pairs, "customer_text", "_normalized")
-    distinct = dedupe_first(usable, ["_normalized"], [id_col]).drop("_normalized")
+    distinct = dedupe_first(usable, [text_digest("_normalized")], [id_col]).drop("_normalized")
     sampled = sample_n(distinct, max_examples, seed, id_col)
     found = rule_label("customer_text", rules)
     return (
@@ -67,9 +71,9 @@ def create_weak_labels(
 
 
 def make_label_queue(
-    pairs: DataFrame, size: int, seed: int, id_col: str = "customer_tweet_id"
+    pairs: DataFrame, size: int | None, seed: int, id_col: str = "customer_tweet_id"
 ) -> DataFrame:
-    """A numbered sample with empty annotation fields."""
+    """A numbered sample, or with ``None`` all pairs, with empty annotation fields."""
     numbered = number_examples(sample_n(pairs, size, seed, id_col), seed, id_col)
     blanks = [F.lit("").alias(c) for c in BLANK_ANNOTATIONS]
     return numbered.select(

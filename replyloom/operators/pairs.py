@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from replyloom.functions.text import normalize_text, sanitize_reply
 from replyloom.operators.joins import ROWS_PER_TASK
-from replyloom.operators.sampling import dedupe_first
+from replyloom.operators.sampling import dedupe_first, text_digest
 from replyloom.operators.threads import thread_root
 
 MIN_CHARS = 8
@@ -31,6 +31,12 @@ def brand_direct_replies(messages: DataFrame, brand: str) -> DataFrame:
     )
 
 
+def wanted_messages(messages: DataFrame, replies: DataFrame) -> DataFrame:
+    """The messages that some reply answers; ``replies`` has ``in_response_to_tweet_id``."""
+    ids = replies.select(F.col("in_response_to_tweet_id").alias("tweet_id")).distinct()
+    return messages.join(ids, "tweet_id", "left_semi")
+
+
 def is_usable_pair(
     customer_text: Column | str = "customer_text", brand_reply: Column | str = "brand_reply"
 ) -> Column:
@@ -51,15 +57,20 @@ def reply_pairs(
 ) -> DataFrame:
     """Cleaned (customer message, first brand reply) pairs with their thread.
 
+    Messages that nobody answered leave before any text is sorted or cleaned.
     Replies are reduced to the first per message and messages to one per id
     before they meet, so the join is one-to-one and a message with a flood of
     replies does not skew it.  ``order="lexical"`` sorts replies by the raw
-    ``created_at`` text, ``"time"`` by the parsed timestamp.
+    ``created_at`` text, ``"time"`` by the parsed timestamp.  A brand without a
+    direct reply is an error.
     """
     if order not in ("time", "lexical"):
         raise ValueError("order must be 'time' or 'lexical'")
     sort_key = parse_created_at("reply_created_at") if order == "time" else F.col("reply_created_at")
-    replies = brand_direct_replies(messages, brand).select(
+    direct = brand_direct_replies(messages, brand)
+    if direct.isEmpty():
+        raise ValueError(f"{brand!r} has sent no direct reply.")
+    replies = direct.select(
         F.col("in_response_to_tweet_id").alias("customer_tweet_id"),
         F.col("tweet_id").alias("reply_tweet_id"),
         F.col("created_at").alias("reply_created_at"),
@@ -68,7 +79,7 @@ def reply_pairs(
     replies = dedupe_first(
         replies, ["customer_tweet_id"], [sort_key.asc_nulls_last(), F.col("reply_tweet_id")]
     )
-    customers = messages.select(
+    customers = wanted_messages(messages, direct).select(
         F.col("tweet_id").alias("customer_tweet_id"),
         F.col("author_id").alias("customer_author_id"),
         F.col("created_at").alias("customer_created_at"),
@@ -94,7 +105,7 @@ def reply_pairs(
         "reply_created_at",
         F.inline(usable),
     )
-    pairs = dedupe_first(cleaned, ["customer_text"], ["customer_tweet_id"])
+    pairs = dedupe_first(cleaned, [text_digest("customer_text")], ["customer_tweet_id"])
     if roots is None:
         roots = thread_root(messages, rows_per_task=rows_per_task)
     roots = roots.withColumnRenamed("tweet_id", "customer_tweet_id")

@@ -1,11 +1,10 @@
-"""Similar past cases: an inverted index and a batch top-k over it."""
+"""Similar past cases: an inverted index and an exact top-k over it."""
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from replyloom.config import TriageConfig
@@ -17,32 +16,27 @@ from replyloom.functions.text import (
 )
 from replyloom.functions.values import fingerprint
 from replyloom.operators.checks import require_columns
-from replyloom.operators.heldout import exclude_held_out
-from replyloom.operators.joins import salted_join
-from replyloom.operators.sampling import dedupe_first, sample_n
+from replyloom.operators.heldout import exclude_held_out, held_out_ids
+from replyloom.operators.sampling import dedupe_first, sample_n, text_digest
 from replyloom.operators.tfidf import SpaceSpec, Vocabulary, fit_vocabulary, term_counts, weigh
-from replyloom.session import cut_lineage
+from replyloom.session import stored
 
-INDEX_VERSION = 2
+INDEX_VERSION = 3
 WORD_WEIGHT = 0.65
-# Rows of the inverted index sent to the executors at a time.
-POSTINGS_PER_SHARD = 4_000_000
-# Case texts up to this size are broadcast to the winners.
-BROADCAST_BYTES = 256 * 1024 * 1024
-# (message, case) sums held by one scoring task.
-SUMS_PER_TASK = 20_000_000
 SCORE_DIGITS = 9
+# The first look goes on until the terms left cannot add more than this; it only finds a floor.
+FIRST_LOOK = 0.5
+# Rounding moves a score by less than this.
+SLACK = 1e-8
 
 
 @dataclass(frozen=True)
 class RetrievalIndex:
-    """Corpus, vocabulary and postings; the sizes decide what may be broadcast."""
+    """Corpus, vocabulary and postings ``(space, term, customer_tweet_id, weight)``."""
 
     corpus: DataFrame
     vocabulary: Vocabulary
     postings: DataFrame
-    n_postings: int
-    corpus_bytes: int
     excluded_rows: int = 0
     excluded_digest: str | None = None
     word_weight: float = WORD_WEIGHT
@@ -50,22 +44,26 @@ class RetrievalIndex:
 
 
 def select_corpus(
-    pairs: DataFrame, held_out: DataFrame | None, max_corpus_size: int, seed: int
+    pairs: DataFrame, held_out: DataFrame | None = None, config: TriageConfig = TriageConfig()
 ) -> DataFrame:
-    """Pairs fit for the index: not held out, non-empty, one per normalised text, capped."""
+    """Pairs fit for the index: not held out, non-empty, one per normalised text.
+
+    All of them, unless ``config.max_corpus_size`` asks for a sample.
+    """
     require_columns(pairs, ["customer_tweet_id", "customer_text", "brand_reply", "thread_id"], "Pairs")
-    if max_corpus_size < 1:
+    if config.max_corpus_size is not None and config.max_corpus_size < 1:
         raise ValueError("Retrieval corpus size must be positive.")
     allowed = pairs if held_out is None else exclude_held_out(pairs, held_out)
     usable = with_matching_text(allowed.filter(~is_blank("brand_reply")), "customer_text", "normalized")
-    distinct = dedupe_first(usable, ["normalized"], ["customer_tweet_id"])
-    capped = sample_n(distinct, max_corpus_size, seed, "customer_tweet_id")
-    return capped.select(
+    distinct = dedupe_first(usable, [text_digest("normalized")], ["customer_tweet_id"])
+    chosen = sample_n(distinct, config.max_corpus_size, config.seed, "customer_tweet_id")
+    guidance = safe_guidance("brand_reply", config.blocked_patterns, config.suggestion_start)
+    return chosen.select(
         "customer_tweet_id",
         F.col("thread_id").cast("string").alias("thread_id"),
         "customer_text",
         "brand_reply",
-        safe_guidance("brand_reply").alias("safe_guidance"),
+        guidance.alias("safe_guidance"),
         "normalized",
     )
 
@@ -75,29 +73,23 @@ def build_retrieval_corpus(
     config: TriageConfig = TriageConfig(),
     held_out: DataFrame | None = None,
 ) -> RetrievalIndex:
-    """Build the index; held-out rows leave before anything is fitted."""
-    if config.max_features < 1:
+    """Build the index in the shared folder; held-out rows leave before anything is fitted."""
+    if config.max_features is not None and config.max_features < 1:
         raise ValueError("Retrieval feature limit must be positive.")
-    corpus = select_corpus(pairs, held_out, config.max_corpus_size, config.seed).persist()
-    texts = ("customer_text", "brand_reply", "safe_guidance")
-    sizes = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in texts]
-    n_docs, *text_bytes = corpus.agg(F.count(F.lit(1)), *sizes).first()
+    corpus = stored(select_corpus(pairs, held_out, config), "corpus")
+    n_docs = corpus.count()
     if n_docs == 0:
-        raise ValueError("No retrieval examples remain after cleaning and held-out exclusion.")
+        raise ValueError("Cleaning and held-out exclusion left no case to retrieve.")
     excluded, digest = 0, None
     if held_out is not None:
-        excluded = pairs.count() - exclude_held_out(pairs, held_out).count()
+        excluded = held_out_ids(pairs, held_out).count()
         digest = fingerprint(held_out).first()["digest"]
-    counts = term_counts(corpus, "customer_tweet_id", "normalized").persist()
+    counts = stored(term_counts(corpus, "customer_tweet_id", "normalized"), "case-terms")
     spec = SpaceSpec(max_features=config.max_features)
     fitted = fit_vocabulary(counts, n_docs, {"word": spec, "char": spec})
-    vocabulary = Vocabulary(fitted.terms.persist(), n_docs, fitted.max_rows)
-    postings = weigh(counts, vocabulary, "customer_tweet_id").persist()
-    n_postings = postings.count()
-    counts.unpersist()
-    return RetrievalIndex(
-        corpus, vocabulary, postings, n_postings, sum(text_bytes), excluded, digest
-    )
+    vocabulary = Vocabulary(stored(fitted.terms, "vocabulary"), n_docs)
+    postings = stored(weigh(counts, vocabulary, "customer_tweet_id").drop("df"), "postings")
+    return RetrievalIndex(corpus, vocabulary, postings, excluded, digest)
 
 
 def diverse_topk(scored: DataFrame, k: int, query: str = "message_id") -> DataFrame:
@@ -114,22 +106,79 @@ def diverse_topk(scored: DataFrame, k: int, query: str = "message_id") -> DataFr
     )
 
 
-def similarity_sums(query_terms: DataFrame, postings: DataFrame, word_weight: float) -> DataFrame:
-    """Word, char and blended cosine of every (message, case) that shares a term."""
+def _cosine(space: str, product: Column) -> Column:
+    return F.round(F.sum(F.when(F.col("space") == space, product).otherwise(0.0)), SCORE_DIGITS)
+
+
+def _blended(index: RetrievalIndex) -> Column:
+    share = index.word_weight
+    return F.round(share * F.col("word_similarity") + (1 - share) * F.col("char_similarity"), SCORE_DIGITS)
+
+
+def similarities(found: DataFrame, query_terms: DataFrame, index: RetrievalIndex) -> DataFrame:
+    """Word, char and blended cosine of given (message, case) pairs."""
+    cases = index.postings.select(
+        "space", "term", "customer_tweet_id", F.col("weight").alias("_case_weight")
+    )
     product = F.col("weight") * F.col("_case_weight")
+    sums = (
+        found.select("message_id", "customer_tweet_id")
+        .join(cases, "customer_tweet_id")
+        .join(query_terms.select("message_id", "space", "term", "weight"), ["message_id", "space", "term"])
+        .groupBy("message_id", "customer_tweet_id")
+        .agg(_cosine("word", product).alias("word_similarity"), _cosine("char", product).alias("char_similarity"))
+    )
+    return sums.withColumn("similarity", _blended(index)).filter("similarity > 0")
+
+
+def rare_first(query_terms: DataFrame, word_weight: float) -> DataFrame:
+    """Query terms with ``reach``: what a term and those after it can still add to any similarity.
+
+    A message's terms are ordered from rare to common.  A case's weights have
+    unit length per space, so the terms from a place on add at most the length of
+    the query's weights on them, blended like the spaces.
+    """
+    onward = (
+        Window.partitionBy("message_id")
+        .orderBy("df", "space", "term")
+        .rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    )
+
+    def length(space: str) -> Column:
+        square = F.when(F.col("space") == space, F.col("weight") * F.col("weight")).otherwise(0.0)
+        return F.sqrt(F.sum(square).over(onward))
+
+    return query_terms.withColumn(
+        "reach", word_weight * length("word") + (1 - word_weight) * length("char")
+    )
 
-    def cosine(space: str):
-        return F.round(
-            F.sum(F.when(F.col("space") == space, product).otherwise(0.0)), SCORE_DIGITS
-        )
 
+def partial_sums(terms: DataFrame, threads: DataFrame, index: RetrievalIndex) -> DataFrame:
+    """What the given query terms add up to, by (message, case)."""
+    cases = index.postings.select(
+        "space", "term", "customer_tweet_id", F.col("weight").alias("_case_weight")
+    )
+    product = F.col("weight") * F.col("_case_weight")
     sums = (
-        query_terms.join(postings, "term_id")
+        terms.join(cases, ["space", "term"])
         .groupBy("message_id", "customer_tweet_id")
-        .agg(cosine("word").alias("word_similarity"), cosine("char").alias("char_similarity"))
+        .agg(_cosine("word", product).alias("word_similarity"), _cosine("char", product).alias("char_similarity"))
+    )
+    return sums.withColumn("similarity", _blended(index)).join(threads, "customer_tweet_id")
+
+
+def floors(terms: DataFrame, threads: DataFrame, index: RetrievalIndex, k: int) -> DataFrame:
+    """``(message_id, floor)``: a similarity that the k-th best case reaches at least.
+
+    The cases that a message's rarest terms rank first get exact scores; with
+    one case per thread, the least of k of them is a floor.  Fewer give zero.
+    """
+    seen = partial_sums(terms.filter(F.col("reach") > FIRST_LOOK), threads, index)
+    exact = similarities(diverse_topk(seen, k), terms, index)
+    enough = F.count(F.lit(1)) >= k
+    return exact.groupBy("message_id").agg(
+        F.when(enough, F.min("similarity")).otherwise(0.0).alias("floor")
     )
-    blended = word_weight * F.col("word_similarity") + (1 - word_weight) * F.col("char_similarity")
-    return sums.withColumn("similarity", F.round(blended, SCORE_DIGITS)).filter("similarity > 0")
 
 
 def hybrid_retrieve(
@@ -137,12 +186,13 @@ def hybrid_retrieve(
 ) -> DataFrame:
     """The ``k`` most similar cases of each message, at most one per thread.
 
-    ``messages`` needs a unique ``message_id``.  The index is bounded by its
-    corpus and vocabulary caps and is broadcast in shards of a known size;
-    messages keep the partitioning they get in ``term_counts``, so scoring, the
-    per-message sums and both rankings run without another shuffle.  The number
-    of message partitions grows with messages x cases, which bounds the sums one
-    task holds.  With several shards the per-shard winners are ranked again.
+    ``messages`` needs a unique ``message_id``.  The result is that of scoring
+    every pair, but common terms are looked up only where they can matter.  A
+    first look at a message's rarest terms finds a floor under its k-th best
+    case.  Then terms are looked up from rare to common until those left could
+    not lift a case above the floor: a case not found by then cannot win, and of
+    those found only the ones whose sum plus what is left reaches the floor get
+    exact scores.
     """
     if index.version != INDEX_VERSION:
         raise ValueError("Old retrieval index: rebuild it.")
@@ -150,31 +200,29 @@ def hybrid_retrieve(
     prepared = messages.select("message_id", normalize_for_matching(text).alias("normalized"))
     if k < 1:
         prepared = prepared.limit(0)
-    spark = messages.sparkSession
-    n_shards = max(1, math.ceil(index.n_postings / POSTINGS_PER_SHARD))
-    sums = messages.count() * math.ceil(index.vocabulary.n_docs / n_shards)
-    partitions = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(sums / SUMS_PER_TASK)
+    weights = weigh(term_counts(prepared, "message_id", "normalized"), index.vocabulary, "message_id")
+    terms = stored(rare_first(weights, index.word_weight), "query-terms")
+    threads = index.corpus.select("customer_tweet_id", "thread_id")
+    floored = terms.join(stored(floors(terms, threads, index, k), "floors"), "message_id", "left").withColumn(
+        "floor", F.coalesce("floor", F.lit(0.0))
     )
-    query_terms = weigh(
-        term_counts(prepared, "message_id", "normalized", partitions), index.vocabulary, "message_id"
+    needed = F.col("reach") >= F.col("floor") - SLACK
+    left = floored.groupBy("message_id", "floor").agg(
+        F.max(F.when(~needed, F.col("reach")).otherwise(0.0)).alias("left")
     )
-    cases = index.postings.select(
-        "term_id", "customer_tweet_id", F.col("weight").alias("_case_weight")
+    found = stored(
+        partial_sums(floored.filter(needed).drop("floor"), threads, index)
+        .join(left, "message_id")
+        .filter(F.col("similarity") + F.col("left") >= F.col("floor") - SLACK)
+        .drop("floor"),
+        "found-cases",
     )
-    threads = index.corpus.select("customer_tweet_id", "thread_id")
-    best = None
-    for shard in range(n_shards):
-        # A case has at least one posting, so both sides of a shard are bounded by its postings.
-        in_shard = F.pmod(F.xxhash64("customer_tweet_id"), F.lit(n_shards)) == shard
-        part = F.broadcast(cases.filter(in_shard) if n_shards > 1 else cases)
-        homes = F.broadcast(threads.filter(in_shard) if n_shards > 1 else threads)
-        scored = similarity_sums(query_terms, part, index.word_weight)
-        top = diverse_topk(scored.join(homes, "customer_tweet_id"), max(k, 0))
-        best = top if best is None else best.unionByName(top)
-    if n_shards > 1:
-        best = diverse_topk(best.drop("rank"), max(k, 0))
-    return with_case_texts(best, index).select(
+    # With nothing left, the sums are the similarities.
+    whole = found.filter("left = 0 and similarity > 0").drop("left")
+    rest = similarities(found.filter("left > 0"), terms, index).join(threads, "customer_tweet_id")
+    best = stored(diverse_topk(whole.unionByName(rest), k), "best-cases")
+    details = index.corpus.select("customer_tweet_id", "customer_text", "brand_reply", "safe_guidance")
+    return best.join(details, "customer_tweet_id").select(
         "message_id",
         "rank",
         "customer_tweet_id",
@@ -186,18 +234,3 @@ def hybrid_retrieve(
         "word_similarity",
         "char_similarity",
     )
-
-
-def with_case_texts(best: DataFrame, index: RetrievalIndex) -> DataFrame:
-    """Add the texts of the winning cases.
-
-    One case may win for very many messages.  A corpus of checked size is
-    broadcast; a larger one meets the stored winners in a salted join.
-    """
-    details = index.corpus.select(
-        "customer_tweet_id", "customer_text", "brand_reply", "safe_guidance"
-    )
-    if index.corpus_bytes <= BROADCAST_BYTES:
-        return best.join(F.broadcast(details), "customer_tweet_id")
-    stored = cut_lineage(best)
-    return salted_join(stored, details, ["customer_tweet_id"], "inner", ["message_id"])

@@ -9,13 +9,23 @@ from pyspark.sql import functions as F
 
 from replyloom.functions.text import is_blank, is_reviewed, normalize_for_matching
 from replyloom.operators.checks import require, require_columns
+from replyloom.session import stored
 
-# Samples up to this size are taken as a top-n; larger ones are cut by rank bucket.
-TOP_N_LIMIT = 100_000
+# Hex digits of the rank by which one pass narrows the cut: 4,096 counters.
+PREFIX_STEP = 3
+# Ranks that the last pass may bring to the driver to find the cut among them.
+LAST_RANKS = 5_000
 
 
-def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """First row per key in an explicit order.
+def text_digest(column: str) -> Column:
+    """A key of fixed size that stands for a text of any length."""
+    return F.sha2(F.col(column), 256)
+
+
+def dedupe_first(
+    df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column | str]
+) -> DataFrame:
+    """First row per key in an explicit order; use ``text_digest`` for keys that are texts.
 
     ``row_number() = 1`` lets Spark drop all but one row per key and task before
     the shuffle (window group limit), so a key with many copies stays cheap.
@@ -29,47 +39,88 @@ def sample_rank(seed: int, *ids: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(i).cast("string") for i in ids]))
 
 
-def sample_n(df: DataFrame, n: int, seed: int, id_col: str) -> DataFrame:
-    """``n`` rows without replacement, the same ones on every run.
+def _cut(ranks: DataFrame, n: int) -> tuple[str, object] | None:
+    """``(rank, id)`` of the n-th row in rank order; None if there are no more than n.
 
-    ``id_col`` must be unique.  Small samples are a distributed top-n, spread
-    out again because the last step of a top-n is one task.  Large ones use a histogram of the first 16 bits of the rank: whole buckets below
-    the cut are kept as they are and only the bucket at the cut is ordered.
+    Each pass counts the rows under the next hex digits of the rank and goes on
+    inside the one group that holds the cut, so the driver sees a few thousand
+    counters and, in the end, a few thousand ranks, whatever the size.
+    """
+    prefix, left = "", n
+    while True:
+        inside = ranks.filter(F.startswith("_rank", F.lit(prefix)))
+        head = F.substring("_rank", 1, len(prefix) + PREFIX_STEP)
+        sizes = sorted(
+            (r["head"], r["n"])
+            for r in inside.groupBy(head.alias("head")).agg(F.count(F.lit(1)).alias("n")).collect()
+        )
+        if not prefix and sum(size for _, size in sizes) <= n:
+            return None
+        for prefix, size in sizes:  # noqa: B007 - goes on with the group it stops at
+            if size >= left:
+                break
+            left -= size
+        if size <= LAST_RANKS or len(prefix) >= 32:
+            last = ranks.filter(F.startswith("_rank", F.lit(prefix))).orderBy("_rank", "_id").limit(left)
+            row = last.collect()[-1]
+            return row["_rank"], row["_id"]
+
+
+def sample_n(df: DataFrame, n: int | None, seed: int, id_col: str) -> DataFrame:
+    """``n`` rows without replacement, the same ones on every run; ``None`` takes all.
+
+    ``id_col`` must be unique.  Ranks and ids are written once; the exact cut is
+    found on them, and the rows themselves pass a filter, not a sort or a join.
     """
-    ranked = df.withColumn("_rank", sample_rank(seed, id_col))
-    if n <= TOP_N_LIMIT:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        top = ranked.orderBy("_rank", id_col).limit(n).drop("_rank")
-        return top.repartition(partitions, id_col)
-    bucketed = ranked.withColumn("_bucket", F.substring("_rank", 1, 4))
-    running = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # 16 bits: at most 65,536 buckets whatever the table size.
-    cut = (
-        bucketed.groupBy("_bucket")
+    if n is None:
+        return df
+    if n < 1:
+        return df.limit(0)
+    rank = sample_rank(seed, id_col)
+    ranks = stored(df.select(rank.alias("_rank"), F.col(id_col).alias("_id")), "ranks")
+    cut = _cut(ranks, n)
+    if cut is None:
+        return df
+    last_rank, last_id = cut
+    return df.filter((rank < last_rank) | ((rank == last_rank) & (F.col(id_col) <= F.lit(last_id))))
+
+
+def _numbered(ranked: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
+    """Number the rows from zero in the order of ``_rank``, then ``order``.
+
+    Rows are numbered inside 65,536 groups of the rank's first digits, plus the
+    size of the groups before, so no task sees the whole table.
+    """
+    grouped = ranked.withColumn("_group", F.substring("_rank", 1, 4))
+    before = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        grouped.groupBy("_group")
         .agg(F.count(F.lit(1)).alias("_size"))
-        .withColumn("_left", F.lit(n) - (F.sum("_size").over(running) - F.col("_size")))
-        .filter(F.col("_left") > 0)
+        .select("_group", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
     )
-    tagged = bucketed.join(F.broadcast(cut), "_bucket")
-    whole = tagged.filter(F.col("_size") <= F.col("_left"))
-    at_cut = tagged.filter(F.col("_size") > F.col("_left")).withColumn(
-        "_rn", F.row_number().over(Window.partitionBy("_bucket").orderBy("_rank", id_col))
+    inside = Window.partitionBy("_group").orderBy("_rank", *order)
+    return (
+        grouped.join(F.broadcast(offsets), "_group")
+        .withColumn(name, F.col("_before") + F.row_number().over(inside) - 1)
+        .drop("_rank", "_group", "_before")
     )
-    kept = at_cut.filter(F.col("_rn") <= F.col("_left")).drop("_rn")
-    return whole.unionByName(kept).drop("_rank", "_bucket", "_size", "_left")
+
+
+def number_rows(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Consecutive numbers for rows with unique ``keys``, in an order that depends on the keys alone."""
+    return _numbered(df.withColumn("_rank", sample_rank(0, *keys)), keys, name)
 
 
 def number_examples(sample: DataFrame, seed: int, id_col: str, prefix: str = "label-") -> DataFrame:
-    """Number the rows of a bounded sample ``label-0000``, ``label-0001`` … in sample order."""
-    order = Window.orderBy(sample_rank(seed, id_col), F.col(id_col))
-    number = F.row_number().over(order) - 1
-    return sample.withColumn("example_id", F.format_string(prefix + "%04d", number))
+    """Number the rows ``label-0000``, ``label-0001`` … in sample order."""
+    numbered = _numbered(sample.withColumn("_rank", sample_rank(seed, id_col)), [id_col], "_number")
+    return numbered.withColumn("example_id", F.format_string(prefix + "%04d", "_number")).drop("_number")
 
 
 def usable_labels(labels: DataFrame, order: str) -> DataFrame:
     """One row per normalised text, then one per thread."""
     with_text = labels.withColumn("_normalized", normalize_for_matching("text"))
-    by_text = dedupe_first(with_text, ["_normalized"], [order])
+    by_text = dedupe_first(with_text, [text_digest("_normalized")], [order])
     return dedupe_first(by_text, ["thread_id"], [order]).drop("_normalized")
 
 

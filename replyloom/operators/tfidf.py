@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from replyloom.functions.text import WORD
-from replyloom.operators.joins import BROADCAST_ROWS, salted_join
 
 WORD_TOKEN = rf"[{WORD}]{{2,}}"
 CHAR_NGRAMS = (3, 5)
@@ -16,30 +15,19 @@ CHAR_NGRAMS = (3, 5)
 
 @dataclass(frozen=True)
 class SpaceSpec:
-    """Document-frequency limits and vocabulary cap of one feature space."""
+    """Document-frequency limits of one feature space; all terms unless ``max_features`` is set."""
 
     min_df: int = 1
     max_df: float = 1.0
-    max_features: int = 40_000
+    max_features: int | None = None
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """``terms(space, term, term_id, df, idf)``, at most ``max_rows`` rows."""
+    """``terms(space, term, df, idf)`` of ``n_docs`` documents."""
 
     terms: DataFrame
     n_docs: int
-    max_rows: int
-
-    def join_to(self, counts: DataFrame, id_col: str) -> DataFrame:
-        """Counts of known terms.
-
-        A vocabulary whose cap keeps it small is broadcast; with a larger one, a
-        term that most documents hold is salted.
-        """
-        if self.max_rows <= BROADCAST_ROWS:
-            return counts.join(F.broadcast(self.terms), ["space", "term"])
-        return salted_join(counts, self.terms, ["space", "term"], "inner", [id_col])
 
 
 def word_terms(normalized: Column) -> Column:
@@ -83,31 +71,34 @@ def char_terms(normalized: Column) -> Column:
     return F.flatten(F.transform(padded, grams))
 
 
-def term_counts(docs: DataFrame, id_col: str, normalized: str, partitions: int | None = None) -> DataFrame:
+def term_counts(docs: DataFrame, id_col: str, normalized: str) -> DataFrame:
     """``(id_col, space, term, n)`` for every document.
 
-    The raw text is shuffled once by document and everything after that is
-    local to the partition: the n-grams of a text are some forty times larger
-    than the text and never cross the network.
+    Words are counted per document first, so character n-grams are made once per
+    distinct word and weighed with its count.  The only exchange is of the text,
+    by document: the n-grams, some forty times larger, are counted where they
+    are made.
     """
     spark = docs.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    terms = F.concat(
-        F.transform(
-            word_terms(F.col(normalized)),
-            lambda t: F.struct(F.lit("word").alias("space"), t.alias("term")),
-        ),
-        F.transform(
-            char_terms(F.col(normalized)),
-            lambda t: F.struct(F.lit("char").alias("space"), t.alias("term")),
-        ),
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    here = docs.select(id_col, normalized).repartition(partitions, id_col)
+    words = F.filter(F.split(normalized, " "), lambda w: w != "")
+    distinct = (
+        here.select(id_col, F.explode(words).alias("_word"))
+        .groupBy(id_col, "_word")
+        .agg(F.count(F.lit(1)).alias("_times"))
+    )
+    grams = distinct.select(
+        id_col, F.lit("char").alias("space"), F.explode(char_terms(F.col("_word"))).alias("term"), "_times"
+    )
+    spoken = here.select(
+        id_col,
+        F.lit("word").alias("space"),
+        F.explode(word_terms(F.col(normalized))).alias("term"),
+        F.lit(1).cast("long").alias("_times"),
     )
     return (
-        docs.select(id_col, normalized)
-        .repartition(partitions, id_col)
-        .select(id_col, F.inline(terms))
-        .groupBy(id_col, "space", "term")
-        .agg(F.count(F.lit(1)).alias("n"))
+        grams.unionByName(spoken).groupBy(id_col, "space", "term").agg(F.sum("_times").alias("n"))
     )
 
 
@@ -116,9 +107,10 @@ def smooth_idf(df: Column, n_docs: int) -> Column:
 
 
 def fit_vocabulary(counts: DataFrame, n_docs: int, specs: dict[str, SpaceSpec]) -> Vocabulary:
-    """Pick the terms of each space and give them consecutive ids.
+    """The terms of each space within its document-frequency limits.
 
-    The cap keeps the terms with the most occurrences, then alphabetical order.
+    A caller's ``max_features`` keeps the terms with the most occurrences, then
+    alphabetical order.
     """
     chosen = None
     for space, spec in specs.items():
@@ -127,29 +119,31 @@ def fit_vocabulary(counts: DataFrame, n_docs: int, specs: dict[str, SpaceSpec])
             .groupBy("space", "term")
             .agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("tf"))
             .filter((F.col("df") >= spec.min_df) & (F.col("df") <= spec.max_df * n_docs))
-            .orderBy(F.desc("tf"), "term")
-            .limit(spec.max_features)
         )
+        if spec.max_features is not None:
+            stats = stats.orderBy(F.desc("tf"), "term").limit(spec.max_features)
         chosen = stats if chosen is None else chosen.unionByName(stats)
-    # Bounded by the sum of the caps, so one task may number the terms.
-    order = Window.orderBy("space", "term")
-    terms = chosen.select(
-        "space",
-        "term",
-        (F.row_number().over(order) - 1).alias("term_id"),
-        "df",
-        smooth_idf(F.col("df"), n_docs).alias("idf"),
+    terms = chosen.select("space", "term", "df", smooth_idf(F.col("df"), n_docs).alias("idf"))
+    return Vocabulary(terms, n_docs)
+
+
+def raw_weights(counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Counts of known terms with ``raw``, sublinear tf x idf, and ``df``.
+
+    The join is left to the engine: it broadcasts a small vocabulary and splits
+    the partitions of terms that most documents hold.
+    """
+    return counts.join(vocabulary.terms, ["space", "term"]).withColumn(
+        "raw", (F.log(F.col("n").cast("double")) + 1.0) * F.col("idf")
     )
-    return Vocabulary(terms, n_docs, sum(spec.max_features for spec in specs.values()))
 
 
 def weigh(counts: DataFrame, vocabulary: Vocabulary, id_col: str) -> DataFrame:
-    """``(id_col, space, term_id, weight)``: sublinear tf x idf, unit length per space.
+    """``(id_col, space, term, df, weight)``: sublinear tf x idf, unit length per space.
 
     Terms outside the vocabulary are gone before the length is taken.
     """
-    raw = vocabulary.join_to(counts, id_col).withColumn(
-        "_w", (F.log(F.col("n").cast("double")) + 1.0) * F.col("idf")
+    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id_col, "space")))
+    return raw_weights(counts, vocabulary).select(
+        id_col, "space", "term", "df", (F.col("raw") / length).alias("weight")
     )
-    length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col, "space")))
-    return raw.select(id_col, "space", "term_id", (F.col("_w") / length).alias("weight"))

@@ -58,6 +58,55 @@ def messages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def flooded_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages with several replies each, out of time order, and with repeated ids.
+
+    Every second assistant turn answers the user turn before the last one; some
+    of these replies are dated back, others three days ahead, so that time and
+    text order differ.  Some user turns appear again, edited, under the same id.
+    """
+    late = (F.col("author_id") == DESK) & (F.pmod(F.floor(F.col("turn") / 2), F.lit(2)) == 1) & (F.col("turn") >= 3)
+    shift = F.when(late & (F.pmod("conv_id", F.lit(3)) == 0), 3 * 86_400).when(
+        late & (F.pmod("conv_id", F.lit(3)) == 1), -400
+    )
+    tweet = F.col("conv_id") * 1000 + F.col("turn")
+    at = F.timestamp_seconds(
+        F.lit(FIRST_SECOND) + F.col("conv_id") * 3600 + F.col("turn") * 60 + F.coalesce(shift, F.lit(0))
+    )
+    turns = table(spark, sf, "conversations").withColumn(
+        "author_id",
+        F.when(F.col("role") == "user", F.concat(F.lit("user-"), F.col("conv_id"))).otherwise(F.col("role")),
+    )
+    rows = turns.select(
+        tweet.alias("tweet_id"),
+        "author_id",
+        (F.col("role") == "user").alias("inbound"),
+        F.date_format(at, "EEE MMM dd HH:mm:ss Z yyyy").alias("created_at"),
+        "text",
+        F.lit(None).cast("string").alias("response_tweet_id"),
+        F.when(F.col("turn") > 0, F.when(late, tweet - 3).otherwise(tweet - 1)).alias("in_response_to_tweet_id"),
+    )
+    edited = rows.filter(F.col("inbound") & (F.pmod(F.floor(F.col("tweet_id") / 1000), F.lit(5)) == 0))
+    return rows.unionByName(edited.withColumn("text", F.concat(F.lit("edited "), "text")))
+
+
+def forest(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as replies: branches, chains of 300, loops of 50 and parents that are not there."""
+    e = F.col("event_id")
+    block = F.floor(e / 300)
+    kind = F.pmod(block, F.lit(4))
+    parent = (
+        F.when((kind == 0) & (F.pmod(e, F.lit(300)) > 0), F.floor((F.pmod(e, F.lit(300)) - 1) / 3) + 300 * block)
+        .when((kind == 1) & (F.pmod(e, F.lit(300)) > 0), e - 1)
+        .when(kind == 2, F.when(F.pmod(e, F.lit(50)) > 0, e - 1).otherwise(e + 49 - F.pmod(block, F.lit(2))))
+        .when((kind == 3) & (F.pmod(e, F.lit(7)) == 0), -e - 1)
+        .when((kind == 3) & (F.pmod(e, F.lit(300)) > 0), e - 1)
+    )
+    return table(spark, sf, "events").select(
+        e.alias("tweet_id"), parent.cast("long").alias("in_response_to_tweet_id")
+    )
+
+
 def unanswered(spark: SparkSession, sf: str) -> DataFrame:
     """Customer messages that nobody has replied to: the work of a triage run."""
     everything = messages(spark, sf)

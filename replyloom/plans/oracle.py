@@ -13,9 +13,10 @@ from replyloom.config import (
     GUIDANCE_PREFIX,
     WEAK_LABEL_SOURCE,
 )
-from replyloom.functions.text import BLANK_MESSAGE, LONG_MESSAGE
+from replyloom.functions.text import BLANK_MESSAGE, LONG_MESSAGE, MESSAGE_MAX_CHARS
 from replyloom.functions.values import RUBRIC_FIELDS
-from replyloom.operators.labels import BLANK_ANNOTATIONS
+from replyloom.functions.rules import FALLBACK_LABEL
+from replyloom.operators.labels import BLANK_ANNOTATIONS, SENSITIVE_LABELS
 from replyloom.plans import inputs
 from replyloom.plans.inputs import FIRST_SECOND, LANGUAGE_RULES, TEMPLATES, TERMS
 
@@ -47,7 +48,7 @@ def sanitized(x: str) -> str:
     x = swap(x, r"(?i)^(hi|hey|hello)(\s+there)?[,!.\s-]*", "")
     x = swap(x, r"^<HANDLE>[,!.\s-]*", "")
     x = swap(x, r"\s*/[A-Z]{2}\s*(<URL>)?\s*$", "")
-    return f"trim(substr({x}, 1, 500))"
+    return f"trim({x})"
 
 
 def folded(x: str) -> str:
@@ -79,7 +80,7 @@ def guidance(x: str) -> str:
         f"list_filter(list_transform({sentences}, lambda s: trim(s)), "
         f"lambda s: regexp_matches(s, {quoted(start)}))"
     )
-    joined = f"substr(array_to_string({kept}, ' '), 1, 500)"
+    joined = f"array_to_string({kept}, ' ')"
     return f"CASE WHEN regexp_matches({x}, {quoted(blocked)}) THEN '' ELSE {joined} END"
 
 
@@ -127,6 +128,38 @@ ROOTS = """walk AS (
   WHERE m.in_response_to_tweet_id IS NOT NULL AND w.hops < 100),
 roots AS (SELECT start AS tweet_id, arg_max(node, hops) AS thread_id FROM walk GROUP BY start)"""
 
+FLOODED = f"""turns0 AS (
+  SELECT *, conv_id * 1000 + turn AS tweet_id, role = 'assistant' AND (turn // 2) % 2 = 1 AND turn >= 3 AS late FROM conversations),
+turns1 AS (
+  SELECT *, {FIRST_SECOND} + conv_id * 3600 + turn * 60 + CASE WHEN late AND conv_id % 3 = 0 THEN 3 * 86400
+    WHEN late AND conv_id % 3 = 1 THEN -400 ELSE 0 END AS secs FROM turns0),
+msgs0 AS (
+  SELECT tweet_id, CASE WHEN role = 'user' THEN 'user-' || conv_id ELSE role END AS author_id, role = 'user' AS inbound,
+    strftime(make_timestamp(secs * 1000000), '%a %b %d %H:%M:%S +0000 %Y') AS created_at, secs, text,
+    CASE WHEN turn > 0 THEN CASE WHEN late THEN tweet_id - 3 ELSE tweet_id - 1 END END AS in_response_to_tweet_id
+  FROM turns1),
+flood AS (
+  SELECT * FROM msgs0
+  UNION ALL SELECT * REPLACE ('edited ' || text AS text) FROM msgs0 WHERE inbound AND (tweet_id // 1000) % 5 = 0),
+msgs AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY tweet_id ORDER BY created_at, author_id, text) AS rn FROM flood) WHERE rn = 1)"""
+
+FOREST = """msgs AS (
+  SELECT e AS tweet_id, CASE
+    WHEN b % 4 = 0 AND e % 300 > 0 THEN (e % 300 - 1) // 3 + 300 * b
+    WHEN b % 4 = 1 AND e % 300 > 0 THEN e - 1
+    WHEN b % 4 = 2 THEN CASE WHEN e % 50 > 0 THEN e - 1 ELSE e + 49 - b % 2 END
+    WHEN b % 4 = 3 AND e % 7 = 0 THEN -e - 1
+    WHEN b % 4 = 3 AND e % 300 > 0 THEN e - 1 END AS parent
+  FROM (SELECT event_id AS e, event_id // 300 AS b FROM events)),
+walk AS (
+  SELECT tweet_id AS start, parent AS node, [tweet_id] AS seen FROM msgs WHERE parent IS NOT NULL
+  UNION ALL
+  SELECT w.start, m.parent, list_append(w.seen, w.node) FROM walk w JOIN msgs m ON m.tweet_id = w.node
+  WHERE m.parent IS NOT NULL AND len(w.seen) < 100 AND NOT list_contains(w.seen, w.node)),
+roots AS (SELECT start AS tweet_id, arg_max(node, len(seen)) AS thread_id FROM walk GROUP BY start)"""
+
 REPLIES = """firsts AS (
   SELECT * FROM (
     SELECT in_response_to_tweet_id AS customer_tweet_id, tweet_id AS reply_tweet_id,
@@ -224,15 +257,30 @@ report AS (
          CASE WHEN support = 0 THEN 0.0 ELSE correct::DOUBLE / support END AS recall,
          2.0 * correct / (predicted + support) AS f1, support FROM totals)"""
 
-SAMPLE_800 = """ranked AS (
-  SELECT *, md5('{seed}:' || {id}) AS rank_key FROM {source}),
-sampled AS (SELECT * FROM ranked ORDER BY rank_key, {id} LIMIT 800)"""
+METRICS = """macro AS (SELECT system, avg(f1) AS macro_f1 FROM report GROUP BY system),
+c AS (
+  SELECT system, count(*) AS k, count(*) FILTER (actual_intent = predicted_intent) AS hit,
+    count(*) FILTER (actual_decision = 'escalate' AND predicted_decision = 'escalate') AS caught,
+    count(*) FILTER (predicted_decision = 'escalate') AS sent,
+    count(*) FILTER (actual_decision = 'escalate' AND predicted_decision <> 'escalate') AS missed,
+    count(*) FILTER (actual_decision = 'escalate') AS must,
+    count(*) FILTER (predicted_decision <> 'escalate') AS auto FROM predictions GROUP BY system),
+measured AS (SELECT system, round(hit::DOUBLE / k, 9) AS accuracy, round(macro_f1, 9) AS macro_f1,
+  round(CASE WHEN sent = 0 THEN 0 ELSE caught::DOUBLE / sent END, 9) AS escalation_precision,
+  round(CASE WHEN must = 0 THEN 0 ELSE caught::DOUBLE / must END, 9) AS must_escalate_recall,
+  round(CASE WHEN sent + must = 0 THEN 0 ELSE 2.0 * caught / (sent + must) END, 9) AS escalation_f1,
+  missed AS false_auto_handle_count, must AS must_escalate_count, auto AS auto_handle_count,
+  round(CASE WHEN must = 0 THEN 0 ELSE missed::DOUBLE / must END, 9) AS false_auto_handle_rate,
+  round(CASE WHEN auto = 0 THEN 0 ELSE missed::DOUBLE / auto END, 9) AS false_auto_handle_fraction_among_auto_handled,
+  round(auto::DOUBLE / k, 9) AS auto_handle_coverage
+FROM c JOIN macro USING (system))"""
 
 
-def queue_cte() -> str:
+def queue_cte(limit: str = "") -> str:
     blanks = ", ".join(f"'' AS {c}" for c in BLANK_ANNOTATIONS)
-    sample = SAMPLE_800.format(seed=42, id="customer_tweet_id", source="doc_pairs")
-    return f"""{DOC_PAIRS}, {sample},
+    return f"""{DOC_PAIRS},
+sampled AS (
+  SELECT *, md5('42:' || customer_tweet_id) AS rank_key FROM doc_pairs ORDER BY rank_key, customer_tweet_id {limit}),
 queue AS (
   SELECT 'label-' || lpad((row_number() OVER (ORDER BY rank_key, customer_tweet_id) - 1)::VARCHAR, 4, '0') AS example_id,
          customer_tweet_id::VARCHAR AS tweet_id, thread_id::VARCHAR AS thread_id,
@@ -255,52 +303,44 @@ def term_rows(source: str, ident: str) -> str:
   GROUP BY {ident}, space, term"""
 
 
-def vocabulary_cte(counts: str, ident: str, docs: str, min_df: int, word_max: float, cap: int) -> str:
-    return f"""stats AS (
-  SELECT space, term, count(*) AS df, sum(n) AS tf FROM {counts} GROUP BY space, term),
-limits AS (
-  SELECT space, term, df, row_number() OVER (PARTITION BY space ORDER BY tf DESC, term) AS rn
-  FROM stats, (SELECT count(*) AS docs FROM {docs}) WHERE df >= {min_df}
-    AND df <= (CASE WHEN space = 'word' THEN {word_max} ELSE 1.0 END) * docs),
-vocabulary AS (
-  SELECT space, term, row_number() OVER (ORDER BY space, term) - 1 AS term_id, df,
-         ln((1.0 + docs) / (1.0 + df)) + 1.0 AS idf
-  FROM limits, (SELECT count(*) AS docs FROM {docs}) WHERE rn <= {cap})"""
+def vocabulary_cte(counts: str, docs: str, min_df: int, word_max: float, name: str = "vocabulary") -> str:
+    return f"""{name} AS (
+  SELECT space, term, count(*) AS df, ln((1.0 + docs) / (1.0 + count(*))) + 1.0 AS idf
+  FROM {counts}, (SELECT count(*) AS docs FROM {docs}) GROUP BY space, term, docs
+  HAVING count(*) >= {min_df} AND count(*) <= (CASE WHEN space = 'word' THEN {word_max} ELSE 1.0 END) * docs)"""
 
 
 def weights_cte(name: str, counts: str, ident: str) -> str:
-    return f"""{name}_raw AS (
-  SELECT c.{ident}, v.space, v.term_id, (1 + ln(c.n)) * v.idf AS w
-  FROM {counts} c JOIN vocabulary v ON v.space = c.space AND v.term = c.term),
-{name} AS (
-  SELECT {ident}, space, term_id, w / sqrt(sum(w * w) OVER (PARTITION BY {ident}, space)) AS weight
-  FROM {name}_raw)"""
+    return f"""{name} AS (
+  SELECT {ident}, space, term, w / sqrt(sum(w * w) OVER (PARTITION BY {ident}, space)) AS weight
+  FROM (SELECT c.{ident}, v.space, v.term, (1 + ln(c.n)) * v.idf AS w
+        FROM {counts} c JOIN vocabulary v ON v.space = c.space AND v.term = c.term))"""
 
 
 ASKED = f"asked AS (SELECT item_id AS message_id, {matching('text')} AS x FROM benchmark)"
 TURNS = f"""turns AS (SELECT tweet_id, {matching('text')} AS x FROM msgs WHERE inbound)"""
+PAIR_CASES = "(SELECT customer_tweet_id, customer_tweet_id // 1000 * 1000 AS thread_id, customer_text, brand_reply FROM pairs0)"
 
 
-def cases_cte() -> str:
-    return f"""{pairs_cte()},
-cases AS (SELECT * FROM (
-  SELECT customer_tweet_id, customer_tweet_id // 1000 * 1000 AS thread_id, x,
-    row_number() OVER (PARTITION BY x ORDER BY customer_tweet_id) AS rn
-  FROM (SELECT *, {matching('customer_text')} AS x FROM pairs0) WHERE x <> '' AND trim(brand_reply) <> '') WHERE rn = 1
-  ORDER BY md5('42:' || customer_tweet_id), customer_tweet_id LIMIT 30000),
+def cases_cte(source: str = PAIR_CASES, where: str = "true") -> str:
+    """Cases of an index with their terms; ``source`` is in the layout of pairs."""
+    return f"""cases AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY x ORDER BY customer_tweet_id) AS rn
+  FROM (SELECT *, {matching('customer_text')} AS x FROM {source})
+  WHERE x <> '' AND trim(brand_reply) <> '' AND {where}) WHERE rn = 1),
 counts AS ({term_rows('cases', 'customer_tweet_id')}),
-{vocabulary_cte('counts', 'customer_tweet_id', 'cases', 1, 1.0, 40_000)},
+{vocabulary_cte('counts', 'cases', 1, 1.0)},
 {weights_cte('case_weights', 'counts', 'customer_tweet_id')}"""
 
 
-def retrieval_cte() -> str:
-    return f"""{cases_cte()}, {ASKED},
-asked_counts AS ({term_rows('asked', 'message_id')}), {weights_cte('asked_weights', 'asked_counts', 'message_id')},
+def ranked_cte() -> str:
+    """Cases ranked for ``asked(message_id, x)``, every pair scored."""
+    return f"""asked_counts AS ({term_rows('asked', 'message_id')}), {weights_cte('asked_weights', 'asked_counts', 'message_id')},
 sums AS (
   SELECT q.message_id, c.customer_tweet_id,
     round(sum(CASE WHEN q.space = 'word' THEN q.weight * c.weight ELSE 0 END), 9) AS word_similarity,
     round(sum(CASE WHEN q.space = 'char' THEN q.weight * c.weight ELSE 0 END), 9) AS char_similarity
-  FROM asked_weights q JOIN case_weights c USING (term_id) GROUP BY ALL),
+  FROM asked_weights q JOIN case_weights c USING (space, term) GROUP BY ALL),
 blended AS (
   SELECT s.*, k.thread_id, round(0.65 * word_similarity + 0.35 * char_similarity, 9) AS similarity
   FROM sums s JOIN cases k USING (customer_tweet_id)),
@@ -309,6 +349,85 @@ best AS (SELECT *, row_number() OVER (PARTITION BY message_id, thread_id ORDER B
 ranked AS (SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY similarity DESC, customer_tweet_id) AS rank FROM best WHERE rn = 1)"""
 
 
+FOUND = """SELECT message_id, rank::INTEGER AS rank, customer_tweet_id, thread_id::VARCHAR AS thread_id, round(similarity, 6) AS similarity,
+  round(word_similarity, 6) AS word_similarity, round(char_similarity, 6) AS char_similarity
+FROM ranked WHERE rank <= 3"""
+
+
+def predicted_cte() -> str:
+    """``predicted(message_id, intent, p, q)`` of the formula classifier for ``asked_counts``."""
+    classes = ", ".join(quoted(c) for c in (*inputs.LANGUAGES, "other_unclear"))
+    return f"""model_counts AS ({term_rows('turns', 'tweet_id')}),
+{vocabulary_cte('model_counts', 'turns', 2, 0.98, 'model_terms')},
+raw AS (
+  SELECT a.message_id, v.space, v.term, (1 + ln(a.n)) * v.idf AS w
+  FROM asked_counts a JOIN model_terms v ON v.space = a.space AND v.term = a.term),
+unit AS (SELECT message_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY message_id, space)) AS w FROM raw),
+classes AS (SELECT unnest([{classes}]) AS class, unnest(range(5)) AS i),
+margins AS (
+  SELECT a.message_id, class, i, i / 10.0::DOUBLE + coalesce(sum(w * ((('0x' || substr(md5(term || '|' || class), 1, 4))::INTEGER % 2001 - 1000) / 100.0::DOUBLE)), 0) AS m
+  FROM asked a CROSS JOIN classes LEFT JOIN unit u ON u.message_id = a.message_id GROUP BY a.message_id, class, i),
+shares AS (
+  SELECT message_id, class, i, exp(m - top) / sum(exp(m - top)) OVER w AS p
+  FROM (SELECT *, max(m) OVER (PARTITION BY message_id) AS top FROM margins) WINDOW w AS (PARTITION BY message_id)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY p DESC, i DESC) AS place FROM shares),
+predicted AS (
+  SELECT message_id, max(CASE WHEN place = 1 THEN class END) AS intent, max(CASE WHEN place = 1 THEN p END) AS p,
+         max(CASE WHEN place = 2 THEN p END) AS q FROM placed GROUP BY message_id)"""
+
+
+def answers_cte() -> str:
+    """``answers`` to ``scored(message_id, text, intent, p, q)`` with the cases in ``ranked``."""
+    return f"""found AS (SELECT message_id, count(*) AS cases_found, max(similarity) AS best FROM ranked WHERE rank <= 3 GROUP BY message_id),
+quotes AS (
+  SELECT message_id, arg_min(g, rank) AS quote, arg_min(customer_tweet_id, rank) AS quoted_id FROM (
+    SELECT r.message_id, r.rank, r.customer_tweet_id, {guidance('x')} AS g
+    FROM (SELECT r.*, {sanitized('c.brand_reply')} AS x FROM ranked r JOIN cases c USING (customer_tweet_id)
+          WHERE rank <= 3 AND r.similarity >= 0.05) r)
+  WHERE g <> '' GROUP BY message_id),
+gated AS (
+  SELECT s.*, coalesce(cases_found, 0) AS cases_found, quote, quoted_id, CASE WHEN risks <> '' THEN 'risk term requires human review'
+    WHEN intent = 'es' THEN intent || ' is configured for human review'
+    WHEN intent NOT IN ('en', 'fr', 'de') THEN 'intent is not approved for automatic handling'
+    WHEN p < 0.4 THEN 'intent confidence is below threshold'
+    WHEN p - q < 0.1 THEN 'top intent predictions are too close'
+    WHEN coalesce(best, 0) < 0.05 THEN 'no sufficiently similar historical resolution' END AS gate
+  FROM (SELECT *, {terms_in(folded('text'), ('thnd', 'erheb'))} AS risks FROM scored) s
+  LEFT JOIN found USING (message_id) LEFT JOIN quotes USING (message_id)),
+answers AS (
+  SELECT message_id, intent, round(p, 4) AS confidence, risks,
+    CASE WHEN gate IS NULL AND quote IS NOT NULL THEN 'auto_handle' ELSE 'escalate' END AS decision,
+    CASE WHEN gate IS NOT NULL THEN gate WHEN quote IS NULL THEN 'no safe applicable historical guidance'
+         ELSE 'low-risk case with confident intent and supporting evidence' END AS reason,
+    {template_case('intent')} || CASE WHEN gate IS NULL AND quote IS NOT NULL THEN {quoted(GUIDANCE_PREFIX)} || quote
+         ELSE {quoted(ESCALATION_SUFFIX)} END AS draft_reply,
+    CASE WHEN gate IS NULL THEN coalesce(quoted_id::VARCHAR, '') ELSE '' END AS evidence_tweet_ids,
+    CASE WHEN gate IS NOT NULL THEN 'not_used_for_escalation' WHEN quote IS NULL THEN 'no_safe_evidence' ELSE 'extractive' END AS rag_mode,
+    cases_found::INTEGER AS cases_found FROM gated)"""
+
+
+INCOMING = f"""incoming AS (
+  SELECT message_id, CASE WHEN (message_id % 17 + 17) % 17 = 0 THEN '@someone 1234567'
+    WHEN (message_id % 13 + 13) % 13 = 0 THEN repeat(text, 60) ELSE text END AS text
+  FROM (SELECT tweet_id AS message_id, text FROM msgs WHERE inbound AND tweet_id NOT IN (
+          SELECT in_response_to_tweet_id FROM msgs WHERE author_id = 'assistant' AND in_response_to_tweet_id IS NOT NULL)
+        UNION ALL SELECT -1 - item_id, text FROM benchmark)),
+checked AS (
+  SELECT *, CASE WHEN {matching('text')} = '' THEN {quoted(BLANK_MESSAGE)}
+    WHEN length(text) > {MESSAGE_MAX_CHARS} THEN {quoted(LONG_MESSAGE % MESSAGE_MAX_CHARS)} END AS refused FROM incoming),
+accepted AS (SELECT message_id, {normalized('text')} AS text FROM checked WHERE refused IS NULL),
+asked AS (SELECT message_id, {matching('text')} AS x FROM accepted)"""
+
+
+def triage_cte() -> str:
+    return f"""{MESSAGES}, {TURNS}, {pairs_cte()}, {cases_cte()}, {INCOMING}, {ranked_cte()}, {predicted_cte()},
+scored AS (SELECT a.message_id, a.text, intent, p, q FROM accepted a JOIN predicted USING (message_id)),
+{answers_cte()},
+everything AS (
+  SELECT message_id, intent, confidence, decision, reason, draft_reply, evidence_tweet_ids, rag_mode, cases_found FROM answers
+  UNION ALL SELECT message_id, NULL, NULL, 'rejected', refused, NULL, NULL, NULL, NULL FROM checked WHERE refused IS NOT NULL)"""
+
+
 def check_union(rows: list[tuple[str, str]]) -> str:
     return " UNION ALL ".join(f"SELECT {quoted(name)} AS check, ({count}) AS violations" for name, count in rows)
 
@@ -331,13 +450,14 @@ def blank(c: str) -> str:
 
 def build() -> dict[str, str]:
     sql: dict[str, str] = {}
+    keyword_sensitive = ", ".join(quoted(x) for x in (*SENSITIVE_LABELS, FALLBACK_LABEL))
     doc = lambda e, name: f"SELECT doc_id, {e} AS {name} FROM documents"
 
     sql["read_messages"] = f"WITH {MESSAGES} SELECT * EXCLUDE (secs) FROM msgs"
     sql["read_table"] = "SELECT doc_id::VARCHAR AS doc_id, text, lang, source FROM documents"
     sql["write_table"] = "SELECT * FROM documents"
     sql["write_if_empty"] = (
-        "SELECT least(count(*), 800) AS queue_rows, true AS refused_second_write FROM documents"
+        "SELECT count(*) AS queue_rows, true AS refused_second_write FROM documents"
     )
     part = lambda s: f"sum(('0x' || substr(h, {s}, 8))::UBIGINT)::HUGEINT::VARCHAR"
     digest_parts = " || chr(31) || ".join(
@@ -364,7 +484,7 @@ FROM (SELECT md5({digest_parts}) AS h FROM documents)"""
 SELECT example_id, {template_case('intent')} || CASE WHEN decision = 'escalate' THEN {quoted(ESCALATION_SUFFIX)}
   WHEN quality = 1 THEN {quoted(GUIDANCE_PREFIX)} || source ELSE '' END AS draft_reply FROM labelled"""
     sql["validate_message"] = f"""
-SELECT doc_id, CASE WHEN x = '' THEN {quoted(BLANK_MESSAGE)} WHEN length(text) > 4000 THEN {quoted(LONG_MESSAGE)} ELSE '' END AS reason
+SELECT doc_id, CASE WHEN x = '' THEN {quoted(BLANK_MESSAGE)} WHEN length(text) > {MESSAGE_MAX_CHARS} THEN {quoted(LONG_MESSAGE % MESSAGE_MAX_CHARS)} ELSE '' END AS reason
 FROM (SELECT doc_id, text, {matching('text')} AS x FROM documents)"""
     sql["parse_json_strict"] = """
 SELECT event_id, variant, CASE WHEN variant = 0 THEN json(props)::VARCHAR END AS parsed
@@ -396,14 +516,15 @@ WHERE actual_intent <> predicted_intent OR actual_decision <> predicted_decision
     sql["error_rows"] = f"""WITH {LABELLED}, {PREDICTIONS}
 SELECT example_id, system, intent_error, decision_error, false_auto FROM ({errors})"""
 
-    sql["reply_pairs"] = f"""WITH RECURSIVE {MESSAGES}, {ROOTS}, {pairs_cte()}
+    sql["reply_pairs"] = f"""WITH RECURSIVE {FLOODED}, {ROOTS}, {pairs_cte()}
 SELECT p.*, coalesce(r.thread_id, p.customer_tweet_id) AS thread_id, 'assistant' AS brand
 FROM pairs0 p LEFT JOIN roots r ON r.tweet_id = p.customer_tweet_id"""
-    sql["reply_pairs_lexical"] = f"""WITH {MESSAGES}, {pairs_cte('created_at')}
+    sql["reply_pairs_lexical"] = f"""WITH {FLOODED}, {pairs_cte('created_at')}
 SELECT customer_tweet_id, reply_tweet_id, customer_tweet_id // 1000 * 1000 AS thread_id FROM pairs0"""
     sql["wanted_messages"] = f"""WITH {MESSAGES} SELECT tweet_id, author_id, text FROM msgs WHERE tweet_id IN (
   SELECT in_response_to_tweet_id FROM msgs WHERE author_id = 'assistant' AND NOT inbound)"""
     sql["thread_root"] = f"WITH RECURSIVE {MESSAGES}, {ROOTS} SELECT * FROM roots"
+    sql["thread_root_forest"] = f"WITH RECURSIVE {FOREST} SELECT * FROM roots"
     kept = f"""kept AS (
   SELECT * FROM doc_pairs p WHERE thread_id NOT IN (SELECT thread_id FROM held)
     AND {matching('customer_text')} NOT IN (SELECT {matching('text')} FROM held)
@@ -482,24 +603,7 @@ SELECT *, {entries.format(where='true')} AS intent_counts, 150 AS golden_size, 2
   usable_unique_thread_rows >= 250 AND invalid_reviewed_rows = 0
     AND NOT EXISTS (SELECT 1 FROM per_intent WHERE n < 2) AS split_precheck_passed
 FROM totals"""
-    sql["system_metrics"] = f"""WITH {LABELLED}, {PREDICTIONS}, {REPORT},
-macro AS (SELECT system, avg(f1) AS macro_f1 FROM report GROUP BY system),
-c AS (
-  SELECT system, count(*) AS k, count(*) FILTER (actual_intent = predicted_intent) AS hit,
-    count(*) FILTER (actual_decision = 'escalate' AND predicted_decision = 'escalate') AS caught,
-    count(*) FILTER (predicted_decision = 'escalate') AS sent,
-    count(*) FILTER (actual_decision = 'escalate' AND predicted_decision <> 'escalate') AS missed,
-    count(*) FILTER (actual_decision = 'escalate') AS must,
-    count(*) FILTER (predicted_decision <> 'escalate') AS auto FROM predictions GROUP BY system)
-SELECT system, round(hit::DOUBLE / k, 9) AS accuracy, round(macro_f1, 9) AS macro_f1,
-  round(CASE WHEN sent = 0 THEN 0 ELSE caught::DOUBLE / sent END, 9) AS escalation_precision,
-  round(CASE WHEN must = 0 THEN 0 ELSE caught::DOUBLE / must END, 9) AS must_escalate_recall,
-  round(CASE WHEN sent + must = 0 THEN 0 ELSE 2.0 * caught / (sent + must) END, 9) AS escalation_f1,
-  missed AS false_auto_handle_count, must AS must_escalate_count, auto AS auto_handle_count,
-  round(CASE WHEN must = 0 THEN 0 ELSE missed::DOUBLE / must END, 9) AS false_auto_handle_rate,
-  round(CASE WHEN auto = 0 THEN 0 ELSE missed::DOUBLE / auto END, 9) AS false_auto_handle_fraction_among_auto_handled,
-  round(auto::DOUBLE / k, 9) AS auto_handle_coverage
-FROM c JOIN macro USING (system)"""
+    sql["system_metrics"] = f"WITH {LABELLED}, {PREDICTIONS}, {REPORT}, {METRICS} SELECT * FROM measured"
     sql["per_label_report"] = f"""WITH {LABELLED}, {PREDICTIONS}, {REPORT}
 SELECT system, label, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1, support FROM report"""
     means = ", ".join(f"round(avg({c}), 9) AS macro_{c}" for c in ("precision", "recall", "f1"))
@@ -599,7 +703,8 @@ SELECT example_id, system, predicted_intent, predicted_decision, draft_reply FRO
         ]
     )
     sql["missing_pairs"] = f"""WITH {LABELLED}, {PREDICTIONS}
-SELECT example_id, system FROM predictions WHERE predicted_decision <> 'escalate'"""
+SELECT example_id, system, 'lost' AS side FROM predictions WHERE predicted_decision <> 'escalate'
+UNION ALL SELECT example_id, 'unknown', 'unknown' FROM labelled"""
     texts = ", ".join(f"{f}::VARCHAR AS {f}" for f in RUBRIC_FIELDS)
     sql["upsert_scores"] = f"""WITH {LABELLED}, {JUDGE}
 SELECT example_id, system, model, rubric_version, cache_key, {texts},
@@ -619,54 +724,65 @@ g AS (SELECT doc_id, substr(p, i, k) AS term FROM (
 SELECT doc_id, count(term)::INTEGER AS n_terms, md5(coalesce(string_agg(term, '|' ORDER BY term), '')) AS digest
 FROM d LEFT JOIN g USING (doc_id) GROUP BY doc_id"""
     turn_counts = f"{MESSAGES}, {TURNS}, counts AS ({term_rows('turns', 'tweet_id')})"
-    model_vocabulary = vocabulary_cte("counts", "tweet_id", "turns", 2, 0.98, 50_000)
+    model_vocabulary = vocabulary_cte("counts", "turns", 2, 0.98)
     sql["tfidf_fit"] = f"""WITH {turn_counts}, {model_vocabulary}
-SELECT space, term, term_id::INTEGER AS term_id, df, round(idf, 9) AS idf FROM vocabulary"""
+SELECT space, term, df, round(idf, 9) AS idf FROM vocabulary"""
+    sql["tfidf_fit_documents"] = f"""WITH texts AS {normalized_docs}, counts AS ({term_rows('texts', 'doc_id')}),
+{vocabulary_cte('counts', 'texts', 2, 0.98)}
+SELECT space, substr(term, 1, 1) AS first, count(*) AS terms, sum(df)::BIGINT AS df, round(sum(idf), 4) AS idf FROM vocabulary GROUP BY ALL"""
     sql["tfidf_transform"] = f"""WITH {turn_counts}, {model_vocabulary}, {ASKED},
 asked_counts AS ({term_rows('asked', 'message_id')}), {weights_cte('asked_weights', 'asked_counts', 'message_id')}
-SELECT message_id, space, term_id::INTEGER AS term_id, round(weight, 7) AS weight FROM asked_weights"""
+SELECT message_id, space, term, round(weight, 7) AS weight FROM asked_weights"""
     sql["build_retrieval_corpus"] = f"""WITH {LABELLED}, {HELD_OUT}, {DOC_PAIRS}, {kept},
 usable AS (SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY {matching('customer_text')} ORDER BY customer_tweet_id) AS rn FROM kept
-  WHERE {matching('customer_text')} <> '' AND trim(brand_reply) <> '') WHERE rn = 1)
-SELECT customer_tweet_id, thread_id::VARCHAR AS thread_id, brand_reply, '' AS safe_guidance
-FROM usable ORDER BY md5('42:' || customer_tweet_id), customer_tweet_id LIMIT 30000"""
-    sql["hybrid_retrieve"] = f"""WITH {MESSAGES}, {retrieval_cte()}
-SELECT message_id, rank::INTEGER AS rank, customer_tweet_id, thread_id::VARCHAR AS thread_id, round(similarity, 6) AS similarity,
-  round(word_similarity, 6) AS word_similarity, round(char_similarity, 6) AS char_similarity
-FROM ranked WHERE rank <= 3"""
-    sql["save_load_index"] = f"""WITH {MESSAGES}, {cases_cte()}
-SELECT space, count(*) AS n, count(DISTINCT customer_tweet_id) AS cases, count(DISTINCT term_id) AS terms
+  WHERE {matching('customer_text')} <> '') WHERE rn = 1)
+SELECT customer_tweet_id, thread_id::VARCHAR AS thread_id, {guidance('x')} AS safe_guidance
+FROM (SELECT *, {sanitized('customer_text')} AS x FROM usable)"""
+    sql["hybrid_retrieve"] = f"WITH {MESSAGES}, {pairs_cte()}, {cases_cte()}, {ASKED}, {ranked_cte()} {FOUND}"
+    sql["hybrid_retrieve_documents"] = f"WITH {DOC_PAIRS}, {cases_cte('doc_pairs')}, {ASKED}, {ranked_cte()} {FOUND}"
+    sql["save_load_index"] = f"""WITH {MESSAGES}, {pairs_cte()}, {cases_cte()}
+SELECT space, count(*) AS n, count(DISTINCT customer_tweet_id) AS cases, count(DISTINCT term) AS terms, round(sum(weight), 4) AS weight
 FROM case_weights GROUP BY space"""
-    sql["respond"] = f"""WITH {MESSAGES}, {retrieval_cte()},
+    sql["respond"] = f"""WITH {MESSAGES}, {pairs_cte()}, {cases_cte()}, {ASKED}, {ranked_cte()},
 scored AS (
-  SELECT *, {rule_case('text', 'intent')} AS intent, (length(text) % 100) / 100.0::DOUBLE AS p,
-    (length(text) % 37) / 100.0::DOUBLE AS q, {terms_in(folded('text'), ('thnd', 'erheb'))} AS risks
-  FROM (SELECT item_id AS message_id, {normalized('text')} AS text FROM benchmark WHERE {matching('text')} <> '' AND length(text) <= 4000)),
-found AS (SELECT message_id, count(*) AS cases_found, max(similarity) AS best FROM ranked WHERE rank <= 3 GROUP BY message_id),
-gated AS (
-  SELECT s.*, coalesce(cases_found, 0) AS cases_found, CASE WHEN risks <> '' THEN 'risk term requires human review'
-    WHEN intent = 'es' THEN intent || ' is configured for human review'
-    WHEN intent NOT IN ('en', 'fr', 'de') THEN 'intent is not approved for automatic handling'
-    WHEN p < 0.4 THEN 'intent confidence is below threshold'
-    WHEN p - q < 0.1 THEN 'top intent predictions are too close'
-    WHEN coalesce(best, 0) < 0.05 THEN 'no sufficiently similar historical resolution' END AS gate
-  FROM scored s LEFT JOIN found USING (message_id))
-SELECT message_id, intent, round(p, 4) AS confidence, 'escalate' AS decision,
-  coalesce(gate, 'no safe applicable historical guidance') AS reason, risks,
-  {template_case('intent')} || {quoted(ESCALATION_SUFFIX)} AS draft_reply,
-  CASE WHEN gate IS NULL THEN 'no_safe_evidence' ELSE 'not_used_for_escalation' END AS rag_mode,
-  cases_found::INTEGER AS cases_found FROM gated"""
+  SELECT *, {rule_case('text', 'intent')} AS intent, (length(text) % 100) / 100.0::DOUBLE AS p, (length(text) % 37) / 100.0::DOUBLE AS q
+  FROM (SELECT item_id AS message_id, {normalized('text')} AS text FROM benchmark WHERE {matching('text')} <> '' AND length(text) <= {MESSAGE_MAX_CHARS})),
+{answers_cte()}
+SELECT message_id, intent, confidence, decision, reason, risks, draft_reply, rag_mode, cases_found FROM answers"""
     sql["train_intent_model"] = f"""WITH {MESSAGES}, {pairs_cte()},
 texts AS (SELECT * FROM (
   SELECT customer_tweet_id, customer_text, x, row_number() OVER (PARTITION BY x ORDER BY customer_tweet_id) AS rn
   FROM (SELECT *, {matching('customer_text')} AS x FROM pairs0) WHERE x <> '') WHERE rn = 1
-  ORDER BY md5('42:' || customer_tweet_id), customer_tweet_id LIMIT 12000),
-counts AS ({term_rows('texts', 'customer_tweet_id')}),
-{vocabulary_cte('counts', 'customer_tweet_id', 'texts', 2, 0.98, 50_000)}
-SELECT (SELECT count(*) FROM msgs WHERE inbound) AS messages, (SELECT count(*) FROM texts) AS training_examples,
-  (SELECT string_agg(DISTINCT {rule_case('customer_text', 'intent')}, ',' ORDER BY {rule_case('customer_text', 'intent')}) FROM texts) AS classes,
-  (SELECT count(*) FROM vocabulary) AS n_features, 'weak_provisional' AS label_source"""
+  ORDER BY md5('42:' || customer_tweet_id), customer_tweet_id LIMIT 12000)
+SELECT DISTINCT {rule_case('customer_text', 'intent')} AS intent, (SELECT count(*) FROM texts) AS training_examples,
+  true AS at_optimum, true AS loads_alike, 'weak_provisional' AS label_source FROM texts"""
+    sql["predict_intent"] = f"""WITH {MESSAGES}, {TURNS}, {ASKED}, asked_counts AS ({term_rows('asked', 'message_id')}), {predicted_cte()}
+SELECT message_id, intent, round(p, 9) AS confidence, round(q, 9) AS second_confidence FROM predicted"""
+    sql["triage"] = f"WITH {triage_cte()} SELECT * FROM everything"
+    sql["triage_stream"] = f"WITH {triage_cte()} SELECT message_id, intent, decision, reason, rag_mode FROM everything"
+    sql["evaluate_all"] = f"""WITH {LABELLED}, {usable.replace('@source', 'labelled')}, {quota},
+split AS (
+  SELECT u.*, row_number() OVER (PARTITION BY u.intent ORDER BY md5('42:' || example_id), example_id) <= golden_quota AS is_golden
+  FROM usable u JOIN quotas q ON q.intent = u.intent),
+golden AS (SELECT * FROM split WHERE is_golden),
+{MESSAGES}, {TURNS}, {pairs_cte()},
+{cases_cte(where=f"""thread_id::VARCHAR NOT IN (SELECT thread_id FROM golden) AND customer_tweet_id::VARCHAR NOT IN (SELECT tweet_id FROM golden)
+    AND x NOT IN (SELECT {matching('text')} FROM golden)""")},
+asked AS (SELECT example_id AS message_id, {matching('text')} AS x FROM golden), {ranked_cte()}, {predicted_cte()},
+scored AS (
+  SELECT p.message_id, {normalized('g.text')} AS text, p.intent, p.p, p.q FROM predicted p JOIN golden g ON g.example_id = p.message_id),
+{answers_cte()},
+major AS (SELECT intent FROM split WHERE NOT is_golden GROUP BY intent ORDER BY count(*) DESC, min(example_id) LIMIT 1),
+ruled AS (SELECT *, {rule_case('text', 'intent')} AS rule FROM golden),
+predictions AS (
+  SELECT 'trivial' AS system, intent AS actual_intent, decision AS actual_decision, (SELECT intent FROM major) AS predicted_intent,
+    'escalate' AS predicted_decision FROM golden
+  UNION ALL SELECT 'keyword', intent, decision, rule, CASE WHEN rule IN ({keyword_sensitive}) THEN 'escalate' ELSE 'auto_handle' END FROM ruled
+  UNION ALL SELECT 'main', g.intent, g.decision, a.intent, a.decision FROM golden g JOIN answers a ON a.message_id = g.example_id),
+{REPORT}, {METRICS},
+weighted AS (SELECT system, round(sum(f1 * support) / sum(support), 9) AS weighted_f1 FROM report GROUP BY system)
+SELECT * FROM measured JOIN weighted USING (system)"""
 
     sql["decide"] = f"""
 SELECT doc_id, CASE WHEN reason = 'low-risk case with confident intent and supporting evidence' THEN 'auto_handle' ELSE 'escalate' END AS action,
@@ -698,18 +814,18 @@ SELECT doc_id AS customer_tweet_id, {rule_case('text', 'intent')} AS intent, {ru
 FROM (SELECT doc_id, text FROM (SELECT *, row_number() OVER (PARTITION BY x ORDER BY doc_id) AS rn
     FROM (SELECT doc_id, text, {matching('text')} AS x FROM documents) WHERE x <> '') WHERE rn = 1
   ORDER BY md5('42:' || doc_id), doc_id LIMIT 12000)"""
-    sql["make_label_queue"] = f"WITH {queue_cte()} SELECT * FROM queue"
+    sql["make_label_queue"] = f"WITH {queue_cte('LIMIT 800')} SELECT * FROM queue"
     judged = ", ".join(
         f"((length(customer_text) + length(draft_reply) + {i}) % 5 + 1)::INTEGER AS {f}"
         for i, f in enumerate(RUBRIC_FIELDS)
     )
-    sql["judge_table"] = f"""WITH {LABELLED}, {PREDICTIONS}, {CONTENT}, {sampled_ids}
+    sql["judge_table"] = f"""WITH {LABELLED}, {PREDICTIONS}, {CONTENT}
 SELECT example_id, system, 'judge-a' AS model, 'support-draft-v2' AS rubric_version, cache_key, {judged}, 'by length' AS rationale
-FROM content JOIN chosen USING (example_id)"""
+FROM content"""
     empty = ", ".join(f"'' AS {f}" for f in (*RUBRIC_FIELDS, "annotator"))
-    sql["prepare_worksheet"] = f"""WITH {LABELLED}, {PREDICTIONS}, {CONTENT}, {sampled_ids}
+    sql["prepare_worksheet"] = f"""WITH {LABELLED}, {PREDICTIONS}, {CONTENT}
 SELECT example_id, system, customer_text AS text, draft_reply, evidence_json, cache_key, {empty}, 'no' AS reviewed
-FROM content JOIN chosen USING (example_id)"""
+FROM content"""
 
     norm = matching("text")
     fields = ("decision", "example_id", "intent", "reviewed", "text", "thread_id", "tweet_id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 from collections.abc import Callable
 
@@ -30,7 +31,7 @@ from replyloom.operators import (
 )
 from replyloom.plans import inputs
 from replyloom.plans.inputs import LANGUAGE_RULES, LANGUAGES, TERMS, table
-from replyloom.session import shared_folder
+from replyloom.session import shared_folder, stored
 from replyloom.sources import artifacts, tables
 from replyloom.streaming.triage_stream import triage_stream
 
@@ -46,7 +47,11 @@ DESK_POLICY = Policy(
     risk_terms=("thnd", "erheb"),
 )
 DESK_CONFIG = TriageConfig(
-    intents=(*LANGUAGES, "other_unclear"), policy=DESK_POLICY, reply_templates=inputs.TEMPLATES
+    intents=(*LANGUAGES, "other_unclear"),
+    policy=DESK_POLICY,
+    reply_templates=inputs.TEMPLATES,
+    blocked_patterns=inputs.GUIDANCE_BLOCKED,
+    suggestion_start=inputs.GUIDANCE_START,
 )
 
 
@@ -107,7 +112,7 @@ def write_table(spark, sf):
 @query("write_if_empty")
 def write_if_empty(spark, sf):
     path = _new_folder(spark, "queue")
-    queue = labels.make_label_queue(inputs.document_pairs(spark, sf), 800, 42)
+    queue = labels.make_label_queue(inputs.document_pairs(spark, sf), None, 42)
     tables.write_if_empty(queue, path)
     try:
         tables.write_if_empty(queue, path)
@@ -238,7 +243,7 @@ def usable_pairs(spark, sf):
 
 @query("nonempty_normalized")
 def nonempty_normalized(spark, sf):
-    turns = inputs.messages(spark, sf).filter(text.normalize_for_matching("text") != "")
+    turns = text.with_matching_text(inputs.messages(spark, sf), "text", "matching")
     return turns.groupBy("author_id").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -254,12 +259,14 @@ def pending_work(spark, sf):
 
 @query("safe_evidence")
 def safe_evidence(spark, sf):
-    docs = inputs.document_pairs(spark, sf)
+    """Each document as the one case found for a message of its own."""
     similarity = F.pmod(F.col("customer_tweet_id"), F.lit(50)) / 50.0
-    guidance = text.safe_guidance("customer_text", inputs.GUIDANCE_BLOCKED, inputs.GUIDANCE_START)
-    return docs.withColumns({"guidance": guidance, "similarity": similarity}).filter(
-        (F.col("guidance") != "") & (F.col("similarity") >= 0.35)
-    ).select("customer_tweet_id", "similarity", "guidance")
+    fields = {f: F.col("customer_text") for f in responses.EVIDENCE_FIELDS}
+    fields |= {"customer_tweet_id": F.col("customer_tweet_id"), "similarity": similarity}
+    found = F.array(F.struct(*[c.alias(f) for f, c in fields.items()]))
+    safe = responses.safe_candidates(found, 0.35, inputs.GUIDANCE_BLOCKED, inputs.GUIDANCE_START)
+    docs = inputs.document_pairs(spark, sf).select(F.explode(safe).alias("e"))
+    return docs.select("e.customer_tweet_id", "e.similarity", F.col("e.safe_guidance").alias("guidance"))
 
 
 @query("usable_cache")
@@ -279,26 +286,25 @@ def error_rows(spark, sf):
 
 @query("reply_pairs")
 def reply_pairs(spark, sf):
-    return _pairs(spark, sf)
+    return pairs.reply_pairs(inputs.flooded_messages(spark, sf), inputs.DESK)
 
 
 @query("reply_pairs_lexical")
 def reply_pairs_lexical(spark, sf):
-    known = inputs.messages(spark, sf).select(
+    turns = inputs.flooded_messages(spark, sf)
+    known = turns.select(
         "tweet_id", (F.floor(F.col("tweet_id") / 1000) * 1000).alias("thread_id")
+    ).distinct()
+    return pairs.reply_pairs(turns, inputs.DESK, order="lexical", roots=known).select(
+        "customer_tweet_id", "reply_tweet_id", "thread_id"
     )
-    return pairs.reply_pairs(
-        inputs.messages(spark, sf), inputs.DESK, order="lexical", roots=known
-    ).select("customer_tweet_id", "reply_tweet_id", "thread_id")
 
 
 @query("wanted_messages")
 def wanted_messages(spark, sf):
     turns = inputs.messages(spark, sf)
-    wanted = pairs.brand_direct_replies(turns, inputs.DESK).select(
-        F.col("in_response_to_tweet_id").alias("tweet_id")
-    ).distinct()
-    return turns.join(wanted, "tweet_id", "left_semi").select("tweet_id", "author_id", "text")
+    wanted = pairs.wanted_messages(turns, pairs.brand_direct_replies(turns, inputs.DESK))
+    return wanted.select("tweet_id", "author_id", "text")
 
 
 @query("thread_root")
@@ -306,6 +312,11 @@ def thread_root(spark, sf):
     return threads.thread_root(inputs.messages(spark, sf))
 
 
+@query("thread_root_forest")
+def thread_root_forest(spark, sf):
+    return threads.thread_root(inputs.forest(spark, sf))
+
+
 @query("exclude_held_out")
 def exclude_held_out(spark, sf):
     kept = heldout.exclude_held_out(inputs.document_pairs(spark, sf), inputs.held_out(spark, sf))
@@ -315,9 +326,8 @@ def exclude_held_out(spark, sf):
 @query("predictions_with_text")
 def predictions_with_text(spark, sf):
     golden = inputs.labelled(spark, sf).select("example_id", "text")
-    return inputs.predictions(spark, sf).join(golden, "example_id").select(
-        "example_id", "system", "draft_reply", F.length("text").alias("text_chars")
-    )
+    joined = checks.join_one(inputs.predictions(spark, sf), golden, ["example_id"], "Golden set")
+    return joined.select("example_id", "system", "draft_reply", F.length("text").alias("text_chars"))
 
 
 @query("cache_misses")
@@ -357,7 +367,7 @@ def merge_worksheet(spark, sf):
 
 @query("apply_annotations")
 def apply_annotations(spark, sf):
-    queue = labels.make_label_queue(inputs.document_pairs(spark, sf), 800, 42)
+    queue = labels.make_label_queue(inputs.document_pairs(spark, sf), None, 42)
     golden = inputs.labelled(spark, sf)
     records = queue.join(golden.select("tweet_id", "quality", "intent", "decision"), "tweet_id").select(
         "example_id",
@@ -629,9 +639,12 @@ def overlap(spark, sf):
 
 @query("missing_pairs")
 def missing_pairs(spark, sf):
-    rows = inputs.predictions(spark, sf).select("example_id", "system", "predicted_decision")
-    sent = rows.filter("predicted_decision = 'escalate'").select("example_id", "system")
-    return rows.select("example_id", "system").exceptAll(sent)
+    rows = inputs.predictions(spark, sf)
+    sent = rows.filter("predicted_decision = 'escalate'").unionByName(
+        rows.filter("system = 'trivial'").withColumn("system", F.lit("unknown"))
+    )
+    lost, unknown = checks.missing_keys(rows, sent, ["example_id", "system"])
+    return lost.withColumn("side", F.lit("lost")).unionByName(unknown.withColumn("side", F.lit("unknown")))
 
 
 @query("upsert_scores")
@@ -664,44 +677,52 @@ def char_terms(spark, sf):
     return _term_summary(docs, tfidf.char_terms(F.col("x")))
 
 
-def _fit(spark, sf, specs):
-    docs = (
-        inputs.messages(spark, sf)
-        .filter("inbound")
-        .select("tweet_id", text.normalize_for_matching("text").alias("normalized"))
-    )
-    counts = tfidf.term_counts(docs, "tweet_id", "normalized").persist()
-    return counts, tfidf.fit_vocabulary(counts, docs.count(), specs)
+def _turns(spark, sf):
+    turns = inputs.messages(spark, sf).filter("inbound")
+    return turns.select("tweet_id", text.normalize_for_matching("text").alias("normalized"))
+
+
+def _vocabulary(docs: DataFrame, id_col: str) -> tfidf.Vocabulary:
+    counts = stored(tfidf.term_counts(docs, id_col, "normalized"), "terms")
+    return tfidf.fit_vocabulary(counts, docs.count(), model.FEATURE_SPECS)
 
 
 @query("tfidf_fit")
 def tfidf_fit(spark, sf):
-    _, vocabulary = _fit(spark, sf, model.FEATURE_SPECS)
-    return vocabulary.terms.select("space", "term", "term_id", "df", F.round("idf", 9).alias("idf"))
+    terms = _vocabulary(_turns(spark, sf), "tweet_id").terms
+    return terms.select("space", "term", "df", F.round("idf", 9).alias("idf"))
+
+
+@query("tfidf_fit_documents")
+def tfidf_fit_documents(spark, sf):
+    """The vocabulary of all whole documents, summed up per space and first character."""
+    docs = _documents(spark, sf).select("doc_id", text.normalize_for_matching("text").alias("normalized"))
+    terms = _vocabulary(docs, "doc_id").terms
+    return terms.groupBy("space", F.substring("term", 1, 1).alias("first")).agg(
+        F.count(F.lit(1)).alias("terms"), F.sum("df").alias("df"), F.round(F.sum("idf"), 4).alias("idf")
+    )
 
 
 @query("tfidf_transform")
 def tfidf_transform(spark, sf):
-    _, vocabulary = _fit(spark, sf, model.FEATURE_SPECS)
+    vocabulary = _vocabulary(_turns(spark, sf), "tweet_id")
     asked = inputs.benchmark_messages(spark, sf).select(
         "message_id", text.normalize_for_matching("text").alias("normalized")
     )
     weights = tfidf.weigh(tfidf.term_counts(asked, "message_id", "normalized"), vocabulary, "message_id")
-    return weights.withColumn("weight", F.round("weight", 7))
+    return weights.select("message_id", "space", "term", F.round("weight", 7).alias("weight"))
 
 
 @query("build_retrieval_corpus")
 def build_retrieval_corpus(spark, sf):
-    return retrieval.select_corpus(
-        inputs.document_pairs(spark, sf), inputs.held_out(spark, sf), 30_000, 42
-    ).select("customer_tweet_id", "thread_id", "brand_reply", "safe_guidance")
+    """All documents as cases; a document that may be quoted quotes itself."""
+    cases = inputs.document_pairs(spark, sf).withColumn("brand_reply", F.col("customer_text"))
+    corpus = retrieval.select_corpus(cases, inputs.held_out(spark, sf), DESK_CONFIG)
+    return corpus.select("customer_tweet_id", "thread_id", "safe_guidance")
 
 
-@query("hybrid_retrieve")
-def hybrid_retrieve(spark, sf):
-    index = retrieval.build_retrieval_corpus(_direct_pairs(spark, sf))
-    found = retrieval.hybrid_retrieve(inputs.benchmark_messages(spark, sf), index, 3)
-    return found.select(
+def _found(cases: DataFrame) -> DataFrame:
+    return cases.select(
         "message_id",
         "rank",
         "customer_tweet_id",
@@ -712,10 +733,23 @@ def hybrid_retrieve(spark, sf):
     )
 
 
+@query("hybrid_retrieve")
+def hybrid_retrieve(spark, sf):
+    index = retrieval.build_retrieval_corpus(_direct_pairs(spark, sf))
+    return _found(retrieval.hybrid_retrieve(inputs.benchmark_messages(spark, sf), index, 3))
+
+
+@query("hybrid_retrieve_documents")
+def hybrid_retrieve_documents(spark, sf):
+    """Every document is a case; benchmark passages occur in some of them."""
+    index = retrieval.build_retrieval_corpus(inputs.document_pairs(spark, sf))
+    return _found(retrieval.hybrid_retrieve(inputs.benchmark_messages(spark, sf), index, 3))
+
+
 @query("respond")
 def respond(spark, sf):
     """Gates, evidence and drafts with rule labels in place of the classifier."""
-    index = retrieval.build_retrieval_corpus(_direct_pairs(spark, sf))
+    index = retrieval.build_retrieval_corpus(_direct_pairs(spark, sf), DESK_CONFIG)
     accepted, _ = text.validate_message(inputs.benchmark_messages(spark, sf))
     cleaned = accepted.withColumn("text", text.normalize_text("text"))
     scored = cleaned.select(
@@ -747,7 +781,8 @@ def save_load_index(spark, sf):
     return loaded.postings.groupBy("space").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_distinct("customer_tweet_id").alias("cases"),
-        F.count_distinct("term_id").alias("terms"),
+        F.count_distinct("term").alias("terms"),
+        F.round(F.sum("weight"), 4).alias("weight"),
     )
 
 
@@ -755,6 +790,7 @@ def save_load_index(spark, sf):
 
 
 def _weak_model(spark: SparkSession, cases: DataFrame) -> model.IntentModel:
+    """A classifier fitted on a sample of at most 12,000 weakly labelled messages."""
     weak = labels.create_weak_labels(cases, 12_000, 42, LANGUAGE_RULES)
     return model.train_intent_model(
         weak.select("customer_tweet_id", "customer_text", "intent"),
@@ -764,24 +800,62 @@ def _weak_model(spark: SparkSession, cases: DataFrame) -> model.IntentModel:
     )
 
 
+def _formula_model(
+    spark: SparkSession, sf: str, source: str = "weak_provisional", digest: str | None = None
+) -> model.IntentModel:
+    """A classifier over the turns' vocabulary whose coefficients follow from term and class.
+
+    What comes after training can then be compared with SQL to the last digit.
+    """
+    classes = (*LANGUAGES, "other_unclear")
+    turns = _turns(spark, sf)
+    terms = _vocabulary(turns, "tweet_id").terms
+
+    def coefficient(name: str):
+        word = F.md5(F.concat("term", F.lit(f"|{name}")))
+        return (F.pmod(F.conv(F.substring(word, 1, 4), 16, 10).cast("int"), F.lit(2001)) - 1000) / 100.0
+
+    table_ = stored(terms.withColumn("by_class", F.array(*[coefficient(c) for c in classes])), "coefficients")
+    intercepts = tuple(i / 10 for i in range(len(classes)))
+    n = turns.count()
+    return model.IntentModel(table_, intercepts, classes, n, source, n, digest)
+
+
 @query("train_intent_model")
 def train_intent_model(spark, sf):
+    """A stored and loaded model: at its optimum, and equal to the one that was stored.
+
+    With balanced weights, the optimum makes each class's weighted probabilities
+    sum up to the number of rows over the number of classes.
+    """
+    weak = stored(labels.create_weak_labels(_direct_pairs(spark, sf), 12_000, 42, LANGUAGE_RULES), "weak-labels")
+    rows = weak.select("customer_tweet_id", "customer_text", "intent")
+    fitted = model.train_intent_model(rows, "customer_tweet_id", allow_weak_labels=True, max_iter=300, tol=1e-7)
     path = _new_folder(spark, "model")
-    artifacts.save_model(_weak_model(spark, _direct_pairs(spark, sf)), path)
+    artifacts.save_model(fitted, path)
     loaded = artifacts.load_model(spark, path)
-    return inputs.messages(spark, sf).filter("inbound").agg(
-        F.count(F.lit(1)).alias("messages"),
-        F.lit(loaded.training_examples).alias("training_examples"),
-        F.lit(",".join(loaded.classes)).alias("classes"),
-        F.lit(loaded.n_features).alias("n_features"),
-        F.lit(loaded.label_source).alias("label_source"),
+    asked = rows.select(F.col("customer_tweet_id").alias("message_id"), F.col("customer_text").alias("text"), "intent")
+    before = model.class_probabilities(fitted, asked).withColumnRenamed("probabilities", "before")
+    after = model.class_probabilities(loaded, asked).join(before, "message_id").join(asked, "message_id")
+    weighted = after.join(F.broadcast(model.class_weights(rows)), "intent")
+    names = F.array(*[F.lit(c) for c in loaded.classes])
+    share = len(loaded.classes) / loaded.training_examples
+    return (
+        weighted.select(F.posexplode("probabilities").alias("i", "p"), "before", "weight")
+        .groupBy(F.element_at(names, F.col("i") + 1).alias("intent"))
+        .agg(
+            F.count(F.lit(1)).alias("training_examples"),
+            (F.abs(F.sum(F.col("p") * F.col("weight")) * share - 1) < 0.01).alias("at_optimum"),
+            F.bool_and(F.abs(F.col("p") - F.get("before", F.col("i"))) < 1e-9).alias("loads_alike"),
+            F.lit(loaded.label_source).alias("label_source"),
+        )
     )
 
 
 @query("predict_intent")
 def predict_intent(spark, sf):
-    fitted = _weak_model(spark, _direct_pairs(spark, sf))
-    return model.predict_intent(fitted, inputs.unanswered(spark, sf)).drop("text")
+    found = model.predict_intent(_formula_model(spark, sf), inputs.benchmark_messages(spark, sf))
+    return _rounded(found.drop("text"), ["confidence", "second_confidence"])
 
 
 @query("decide")
@@ -836,16 +910,9 @@ def make_label_queue(spark, sf):
     return labels.make_label_queue(inputs.document_pairs(spark, sf), 800, 42)
 
 
-def run_triage(spark: SparkSession, sf: str, training: DataFrame | None = None) -> DataFrame:
-    """Triage the unanswered messages against the answered ones."""
-    cases = _pairs(spark, sf).persist()
-    answers, _ = responses.triage(
-        inputs.unanswered(spark, sf),
-        _weak_model(spark, cases if training is None else training),
-        retrieval.build_retrieval_corpus(cases, DESK_CONFIG),
-        DESK_CONFIG,
-    )
-    return answers.select(
+def _answers(responses_: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Responses and rejected messages in one table."""
+    answers = responses_.select(
         "message_id",
         "intent",
         "confidence",
@@ -856,51 +923,77 @@ def run_triage(spark: SparkSession, sf: str, training: DataFrame | None = None)
         "rag_mode",
         F.size("evidence").alias("cases_found"),
     )
+    return answers.unionByName(
+        rejected.select("message_id", F.lit("rejected").alias("decision"), "reason"), allowMissingColumns=True
+    )
+
+
+def _incoming(spark: SparkSession, sf: str) -> DataFrame:
+    """Unanswered turns and benchmark passages; some are blank or too long."""
+    odd = (
+        F.when(F.pmod("message_id", F.lit(17)) == 0, "@someone 1234567")
+        .when(F.pmod("message_id", F.lit(13)) == 0, F.repeat("text", F.lit(60)))
+        .otherwise(F.col("text"))
+    )
+    asked = inputs.benchmark_messages(spark, sf).withColumn("message_id", -1 - F.col("message_id"))
+    return inputs.unanswered(spark, sf).unionByName(asked).withColumn("text", odd)
+
+
+def run_triage(spark: SparkSession, sf: str, training: DataFrame) -> DataFrame:
+    """Triage the unanswered messages against the answered ones, with a classifier fitted on ``training``."""
+    cases = stored(_pairs(spark, sf), "pairs")
+    answers, rejected = responses.triage(
+        _incoming(spark, sf),
+        _weak_model(spark, training),
+        retrieval.build_retrieval_corpus(cases, DESK_CONFIG),
+        DESK_CONFIG,
+    )
+    return _answers(answers, rejected)
 
 
 @query("triage")
 def triage(spark, sf):
-    return run_triage(spark, sf)
+    index = retrieval.build_retrieval_corpus(_direct_pairs(spark, sf), DESK_CONFIG)
+    return _answers(*responses.triage(_incoming(spark, sf), _formula_model(spark, sf), index, DESK_CONFIG))
 
 
 @query("evaluate_all")
 def evaluate_all(spark, sf):
-    cases = _direct_pairs(spark, sf).persist()
-    golden = inputs.unanswered(spark, sf).select(
-        F.col("message_id").cast("string").alias("example_id"),
-        "text",
-        rules.rule_label("text", LANGUAGE_RULES)["intent"].alias("intent"),
-        F.when(F.length("text") > 800, "escalate").otherwise("auto_handle").alias("decision"),
-    )
-    training = labels.create_weak_labels(cases, 12_000, 42, LANGUAGE_RULES)
+    """All checks, three systems and their metrics on a split of the labelled documents."""
+    ready = inputs.labelled(spark, sf).withColumns({"reviewed": F.lit("yes"), "label_source": F.lit("human")})
+    train, golden = sampling.stratified_split(ready, 150, 42, min_train=20)
+    train, golden = stored(train, "training"), stored(golden, "golden")
+    config = dataclasses.replace(DESK_CONFIG, max_message_chars=None)
+    digest = values.fingerprint(train).first()["digest"]
     result = evaluation.evaluate_all(
         golden,
-        training,
-        _weak_model(spark, cases),
-        retrieval.build_retrieval_corpus(cases, DESK_CONFIG),
-        DESK_CONFIG,
+        train,
+        _formula_model(spark, sf, "human_reviewed", digest),
+        retrieval.build_retrieval_corpus(_direct_pairs(spark, sf), config, held_out=golden),
+        config,
         LANGUAGE_RULES,
-        order="customer_tweet_id",
-        check=False,
     )
     path = _new_folder(spark, "report")
     artifacts.write_report(result, path)
-    return spark.read.parquet(f"{path}/metrics")
+    averages = spark.read.parquet(f"{path}/averages").select("system", "weighted_f1")
+    written = spark.read.parquet(f"{path}/metrics").join(averages, "system")
+    return _rounded(written, [c for c, kind in written.dtypes if kind == "double"])
 
 
 @query("triage_stream")
 def triage_stream_query(spark, sf):
-    cases = _direct_pairs(spark, sf).persist()
-    fitted = _weak_model(spark, cases)
-    index = retrieval.build_retrieval_corpus(cases, DESK_CONFIG)
+    index = retrieval.build_retrieval_corpus(_direct_pairs(spark, sf), DESK_CONFIG)
     folder = _new_folder(spark, "stream")
-    inputs.unanswered(spark, sf).write.parquet(f"{folder}/in")
-    incoming = spark.readStream.schema("message_id long, text string").parquet(f"{folder}/in")
-    writer = triage_stream(incoming, fitted, index, f"{folder}/out", f"{folder}/checkpoint", DESK_CONFIG)
-    writer.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{folder}/out/responses").select(
-        "message_id", "intent", "decision", "reason", "rag_mode"
+    _incoming(spark, sf).repartition(2, "message_id").write.parquet(f"{folder}/in")
+    incoming = (
+        spark.readStream.schema("message_id long, text string").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    )
+    writer = triage_stream(
+        incoming, _formula_model(spark, sf), index, f"{folder}/out", f"{folder}/checkpoint", DESK_CONFIG
     )
+    writer.trigger(availableNow=True).start().awaitTermination()
+    out = lambda part: spark.read.parquet(f"{folder}/out/{part}")
+    return _answers(out("responses"), out("rejected")).select("message_id", "intent", "decision", "reason", "rag_mode")
 
 
 # -- judging -----------------------------------------------------------------
@@ -927,7 +1020,7 @@ def length_scorer() -> Callable[[pd.DataFrame], pd.DataFrame]:
 @query("judge_table")
 def judge_table(spark, sf):
     run, _ = judging.judge_table(
-        inputs.predictions(spark, sf), inputs.labelled(spark, sf), length_scorer(), "judge-a", 50, 42
+        inputs.predictions(spark, sf), inputs.labelled(spark, sf), length_scorer(), "judge-a", None, 42
     )
     return run
 
@@ -936,7 +1029,7 @@ def judge_table(spark, sf):
 def prepare_worksheet(spark, sf):
     predictions, golden = inputs.predictions(spark, sf), inputs.labelled(spark, sf)
     sample = judging.keyed_content(
-        judging.paired_sample(predictions, 50, 42), golden, "judge-a"
+        judging.paired_sample(predictions, None, 42), golden, "judge-a"
     ).select(
         "example_id",
         "system",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +18,8 @@ def local_session(cores: str = "*", partitions: int = 8, app: str = "replyloom")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="replyloom-"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -24,12 +27,14 @@ def local_session(cores: str = "*", partitions: int = 8, app: str = "replyloom")
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, from ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of the machine.
+    Only where nothing is set and the whole engine is one process may a
+    temporary folder of the machine stand in.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     folder = configured or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("Set spark.checkpoint.dir to a folder every executor can reach.")
         folder = tempfile.mkdtemp(prefix="replyloom-")
     if spark.sparkContext.getCheckpointDir() is None:
@@ -43,6 +48,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder once and read it from there ever after.
+
+    Unlike a cache, the rows outlive executors; unlike a lazy frame, whatever
+    produced them runs exactly once.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Use all cores when a scan has fewer splits than there are cores.
 

@@ -125,7 +125,7 @@ def test_constant_scores_have_no_correlation(spark):
         ({"values": [1, 2], "cache_key": "other", "reviewed": "yes", "annotator": "me"}, "cache_key"),
         ({"values": [1, 2], "cache_key": "k", "reviewed": "yes", "annotator": " "}, "annotator"),
         ({"values": [1, "2.5"], "cache_key": "k", "reviewed": "yes", "annotator": "me"}, "invalid human"),
-        ({"values": [1, 2], "cache_key": "k", "reviewed": "no", "annotator": "me"}, "No matching"),
+        ({"values": [1, 2], "cache_key": "k", "reviewed": "no", "annotator": "me"}, "no pair in common"),
         ({"values": [1, 2], "reviewed": "yes"}, "missing columns"),
     ],
 )
@@ -182,10 +182,55 @@ def test_invalid_cache_rows_are_not_used_but_kept(spark):
 
 
 def test_bad_scores_from_the_scorer_raise(spark):
-    with pytest.raises(Exception, match="invalid tone"):
+    with pytest.raises(Exception, match="for tone"):
         judging.judge_table(drafts(spark), golden(spark), lambda b: scorer(b).assign(tone=6), "m", 3)[0].collect()
 
 
+@pytest.mark.parametrize(
+    "change, message",
+    [
+        (lambda a: a.iloc[1:], "every asked key once"),
+        (lambda a: pd.concat([a, a.iloc[:1]]), "every asked key once"),
+        (lambda a: pd.concat([a, a.iloc[:1].assign(cache_key="other")]), "every asked key once"),
+        (lambda a: a.assign(tone=True), "for tone"),
+        (lambda a: a.assign(tone=3.0), "for tone"),
+        (lambda a: a.assign(tone="4"), "for tone"),
+        (lambda a: a.assign(tone=0), "for tone"),
+        (lambda a: a.assign(rationale=None), "rationale"),
+        (lambda a: a.drop(columns="tone"), "lacks"),
+    ],
+)
+def test_answers_are_checked_before_they_are_converted(change, message):
+    asked = pd.DataFrame({"cache_key": ["a", "b"], "customer_text": "t", "draft_reply": ["x", "y"], "evidence_json": "[]"})
+    assert len(judging.check_answers(asked, scorer(asked))) == 2
+    with pytest.raises(ValueError, match=message):
+        judging.check_answers(asked, change(scorer(asked)))
+
+
+def test_the_scorer_is_asked_once_per_content(spark, tmp_path):
+    asked = str(tmp_path / "asked")
+
+    def counting(batch):
+        with open(asked, "a") as out:
+            out.writelines(f"{key}\n" for key in batch["cache_key"])
+        answer = batch[["cache_key"]].copy()
+        for field in ("relevance", "actionability", "grounding", "tone", "safety"):
+            answer[field] = 3
+        return answer.assign(rationale="counted")
+
+    run, cache = judging.judge_table(drafts(spark), golden(spark), counting, "m", None)
+    keys = {r["cache_key"] for r in run.collect()}
+    cache.collect()
+    run.collect()
+    with open(asked) as seen:
+        assert sorted(seen.read().split()) == sorted(keys)
+
+
+def test_no_predictions_are_an_error(spark):
+    with pytest.raises(ValueError, match="no predictions"):
+        judging.judge_table(drafts(spark).limit(0), golden(spark), scorer, "m", 3)
+
+
 def test_paired_sample_keeps_all_systems(spark):
     rows = judging.paired_sample(drafts(spark), 2, 1).collect()
     assert sorted(Counter(r["example_id"] for r in rows).values()) == [2, 2]

@@ -1,9 +1,11 @@
+import hashlib
+
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from replyloom.operators import heldout, joins, pairs, sampling, threads
+from replyloom.operators import checks, heldout, joins, pairs, sampling, threads
 
 RAW = (
     "tweet_id long, author_id string, inbound boolean, created_at string, text string, "
@@ -137,9 +139,7 @@ def cases(spark):
     )
 
 
-@pytest.mark.parametrize("limit", [200_000, 0])
-def test_exclude_held_out_by_thread_text_and_id(spark, monkeypatch, limit):
-    monkeypatch.setattr(heldout, "BROADCAST_ROWS", limit)
+def test_exclude_held_out_by_thread_text_and_id(spark):
     out = held(spark, [("x", "t1", "nothing alike"), ("y", "z", "second   Question"), ("3", "q", "other")])
     kept = heldout.exclude_held_out(cases(spark), out)
     assert sorted(r["customer_tweet_id"] for r in kept.collect()) == ["4", "5"]
@@ -151,14 +151,51 @@ def test_empty_held_out_changes_nothing(spark):
         heldout.exclude_held_out(cases(spark), spark.createDataFrame([("a",)], "text string"))
 
 
-def test_large_sample_equals_top_n(spark, monkeypatch):
+@pytest.mark.parametrize("last", [5_000, 0])
+def test_sample_is_the_top_of_the_ranks(spark, monkeypatch, last):
+    monkeypatch.setattr(sampling, "LAST_RANKS", last)
     df = spark.range(5000).withColumnRenamed("id", "k")
-    small = {r["k"] for r in sampling.sample_n(df, 1234, 9, "k").collect()}
-    monkeypatch.setattr(sampling, "TOP_N_LIMIT", 10)
-    large = [r["k"] for r in sampling.sample_n(df, 1234, 9, "k").collect()]
-    assert len(large) == 1234 and set(large) == small
-    assert sampling.sample_n(df, 9000, 9, "k").count() == 5000
-    assert {r["k"] for r in sampling.sample_n(df, 1234, 10, "k").collect()} != small
+    ranks = sorted((hashlib.md5(f"9:{k}".encode()).hexdigest(), k) for k in range(5000))
+    for n in (1, 7, 1234, 4999):
+        assert {r["k"] for r in sampling.sample_n(df, n, 9, "k").collect()} == {k for _, k in ranks[:n]}
+    assert sampling.sample_n(df, 9000, 9, "k").count() == sampling.sample_n(df, None, 9, "k").count() == 5000
+    assert sampling.sample_n(df, 0, 9, "k").count() == 0
+
+
+def test_numbers_are_consecutive_in_rank_order(spark):
+    df = spark.range(300).withColumnRenamed("id", "k")
+    ranks = sorted((hashlib.md5(f"3:{k}".encode()).hexdigest(), k) for k in range(300))
+    rows = {r["k"]: r["example_id"] for r in sampling.number_examples(df, 3, "k").collect()}
+    assert rows == {k: f"label-{i:04d}" for i, (_, k) in enumerate(ranks)}
+    assert sorted(r["i"] for r in sampling.number_rows(df, ["k"], "i").collect()) == list(range(300))
+
+
+def test_join_one_wants_exactly_one_partner(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "k int, x string")
+    right = spark.createDataFrame([(1, "p"), (2, "q")], "k int, y string")
+    assert checks.join_one(left, right, ["k"], "Tables").count() == 3
+    with pytest.raises(ValueError, match="repeated key on the left"):
+        checks.join_one(left, right, ["k"], "Tables", both=True)
+    with pytest.raises(ValueError, match="repeated key on the right"):
+        checks.join_one(left, right.union(right), ["k"], "Tables")
+    with pytest.raises(ValueError, match="without a match"):
+        checks.join_one(left, right.limit(1), ["k"], "Tables")
+    with pytest.raises(ValueError, match="unused key"):
+        checks.join_one(left.filter("k = 1"), right, ["k"], "Tables", both=True)
+
+
+def test_missing_keys_in_both_directions(spark):
+    left, right = spark.createDataFrame([(1,), (1,), (2,)], "k int"), spark.createDataFrame([(2,), (3,)], "k int")
+    mine, theirs = checks.missing_keys(left, right, ["k"])
+    assert [r["k"] for r in mine.collect()] == [1] and [r["k"] for r in theirs.collect()] == [3]
+
+
+def test_only_wanted_messages_reach_the_text_work(spark):
+    df = raw(spark)
+    plan = pairs.reply_pairs(df, "desk", roots=df.select("tweet_id", F.lit(1).alias("thread_id")))
+    assert "LeftSemi" in plan._jdf.queryExecution().optimizedPlan().toString()
+    with pytest.raises(ValueError, match="no direct reply"):
+        pairs.reply_pairs(df, "nobody")
 
 
 def labels(spark, n=300):

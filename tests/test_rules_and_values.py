@@ -40,8 +40,9 @@ def test_matched_terms_are_whole_words_in_config_order(spark):
 
 
 def test_parse_score(spark):
-    good = {"4": 4, " 5 ": 5, "1.0": 1, "1e0": 1, "0.5E1": 5, "+3": 3, "50e-1": 5, "002": 2}
-    bad = ["", "True", "NaN", "Infinity", "1.5", "0", "6", "-1", "3.00000000000000001", "1e1", "x4", None]
+    good = {"4": 4, " 5 ": 5, "1.0": 1, "1e0": 1, "0.5E1": 5, "+3": 3, "50e-1": 5, "002": 2, "0_4": 4, "4." + "0" * 40 + "e0": 4,
+            "4" + "0" * 50 + "e-050": 4, "." + "0" * 60 + "3e+61": 3, "5.": 5}
+    bad = ["", "True", "NaN", "Infinity", "1.5", "0", "6", "-1", "3.00000000000000001", "1e1", "x4", None, ".", "e1", "4." + "0" * 40 + "1", "4e99999999999", "40", "1 0", "--1"]
     assert column(spark, list(good), values.parse_score("t")) == list(good.values())
     assert column(spark, bad, values.parse_score("t")) == [None] * len(bad)
 

@@ -75,8 +75,17 @@ def test_sanitize_reply(spark, reply, expected):
     assert apply(spark, T.sanitize_reply, [reply]) == [expected]
 
 
-def test_sanitize_reply_keeps_500_characters(spark):
-    assert apply(spark, T.sanitize_reply, ["x" * 900])[0] == "x" * 500
+def test_sanitize_reply_keeps_the_whole_reply_unless_told(spark):
+    assert apply(spark, T.sanitize_reply, ["x" * 900])[0] == "x" * 900
+    assert apply(spark, lambda c: T.sanitize_reply(c, 500), ["x" * 900])[0] == "x" * 500
+
+
+def test_guidance_looks_for_blocked_words_in_the_whole_reply(spark):
+    reply = "Try a restart. " + "Then wait. " * 80 + "Your password is next."
+    for limit in (None, 20):
+        guide = lambda c: T.safe_guidance(c, max_chars=limit)
+        assert apply(spark, guide, [reply]) == [""]
+        assert apply(spark, guide, ["Try a restart. " * 3])[0] == ("Try a restart. " * 3).strip()[:limit].strip()
 
 
 UNSAFE = [
@@ -117,7 +126,7 @@ def test_validate_message_splits_a_batch(spark):
     accepted, rejected = T.validate_message(df)
     assert [r["id"] for r in accepted.collect()] == ["a"]
     reasons = {r["id"]: r["reason"] for r in rejected.collect()}
-    assert reasons == {"b": T.BLANK_MESSAGE, "c": T.LONG_MESSAGE, "d": T.BLANK_MESSAGE}
+    assert reasons == {"b": T.BLANK_MESSAGE, "c": T.LONG_MESSAGE % 4000, "d": T.BLANK_MESSAGE}
 
 
 def test_is_reviewed_trims_and_folds(spark):
