@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from replyloom.config import DECISIONS
 from replyloom.functions.text import is_blank, is_reviewed, normalize_for_matching, strip
-from replyloom.functions.values import RUBRIC_FIELDS, parse_score
+from replyloom.functions.values import RUBRIC_FIELDS, parse_json_strict, parse_score
 
 
 def require_columns(df: DataFrame, columns: Sequence[str], name: str) -> None:
@@ -214,12 +214,20 @@ def pairing_checks(predictions: DataFrame, known: DataFrame) -> DataFrame:
     )
 
 
+def column_checks(df: DataFrame, expected: Sequence[str]) -> DataFrame:
+    """``(check, violations)``: columns that a table lacks, and columns it should not have."""
+    lost, extra = sorted(set(expected) - set(df.columns)), sorted(set(df.columns) - set(expected))
+    rows = [("missing columns: " + ", ".join(lost), len(lost)), ("unexpected columns: " + ", ".join(extra), len(extra))]
+    return df.sparkSession.createDataFrame(rows, "check string, violations long")
+
+
 def worksheet_rules() -> dict[str, Column]:
     """Row rules of a human scoring worksheet."""
     reviewed = is_reviewed("reviewed")
     rules = {
         **required_fields(["example_id", "system", "text", "cache_key"]),
         "invalid cache_key": ~F.rlike("cache_key", F.lit("^[0-9a-f]{64}$")),
+        "malformed evidence_json": parse_json_strict("evidence_json").isNull(),
         "reviewed not yes/no": ~F.lower(strip("reviewed")).isin("yes", "no"),
         "reviewed without annotator": reviewed & is_blank("annotator"),
     }

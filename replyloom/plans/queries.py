@@ -1084,11 +1084,18 @@ def worksheet_checks(spark, sf):
             "annotator": F.when(F.col("tone") == "3", " ").otherwise(F.col("annotator")),
             "safety": F.when(F.col("tone") == "2", "7").otherwise(F.col("safety")),
             "cache_key": F.when(F.col("tone") == "1", "stale").otherwise(F.col("cache_key")),
+            "evidence_json": F.when(F.col("tone") == "4", '{"id": 1, "id": 2}').otherwise(F.col("evidence_json")),
         }
     )
     return checks.violations(sheet, checks.worksheet_rules())
 
 
+@query("worksheet_columns")
+def worksheet_columns(spark, sf):
+    renamed = inputs.human_scores(spark, sf).withColumnRenamed("annotator", "scored_by")
+    return checks.column_checks(renamed, review.WORKSHEET_COLUMNS)
+
+
 @query("prediction_checks")
 def prediction_checks(spark, sf):
     rows = inputs.predictions(spark, sf).withColumn(

@@ -83,7 +83,7 @@ def test_kappa_uses_exactly_two_annotations(spark):
     po, pe = 4 / 5, (3 * 2 + 2 * 3) / 25
     assert row["intent_cohen_kappa"] == pytest.approx((po - pe) / (1 - pe))
     assert math.isnan(row["decision_cohen_kappa"]) and row["double_annotated_examples"] == 5
-    with pytest.raises(ValueError, match="exactly two"):
+    with pytest.raises(ValueError, match="two annotations"):
         metrics.annotation_agreement(annotations(spark, rows[-6:-2]))
 
 

@@ -132,6 +132,21 @@ def test_worksheet_is_blind_and_merges_identical_rows(spark):
         review.merge_worksheet(sheet, scored.withColumn("more", F.lit(1)))
 
 
+def test_broken_json_and_empty_tables_raise(spark):
+    broken = predictions(spark).union(
+        spark.createDataFrame([("e2", "main", "d", '{"a": 1, "a": 2}'), ("e2", "keyword", "d", "{}")], predictions(spark).schema)
+    )
+    with pytest.raises(ValueError, match="malformed prediction"):
+        review.prepare_worksheet(sample(spark), broken, golden(spark))
+    for name in ("empty sample", "no predictions"):
+        tables = {"empty sample": (sample(spark).limit(0), predictions(spark)), "no predictions": (sample(spark), predictions(spark).limit(0))}
+        with pytest.raises(ValueError, match=name):
+            review.prepare_worksheet(*tables[name], golden(spark))
+    sheet = review.prepare_worksheet(sample(spark), predictions(spark), golden(spark))
+    with pytest.raises(ValueError, match="malformed evidence_json"):
+        review.merge_worksheet(sheet, sheet.withColumn("evidence_json", F.lit("[1e999]")))
+
+
 @pytest.mark.parametrize(
     "change, message",
     [
