@@ -168,13 +168,18 @@ def merge_worksheet(fresh: DataFrame, existing: DataFrame) -> DataFrame:
 def _judged(records: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Records with the row they address and whether their key is repeated in the batch.
 
-    ``known`` has one row per key, and so has the count, so one salted join
-    copes with a key that holds a large share of the records.
+    Identical records become one with a count and are multiplied again after the
+    join, so that copies, which no salt can tell apart, cannot make a key hot;
+    ``known`` and the count have one row per key, and different records of a hot
+    key are salted.
     """
     repeated = records.groupBy(*keys).agg((F.count(F.lit(1)) > 1).alias("_repeated"))
+    distinct = records.groupBy(*records.columns).agg(F.count(F.lit(1)).cast("int").alias("_copies"))
     targets = known.join(repeated, list(keys), "full_outer")
     spread = [c for c in records.columns if c not in keys]
-    return salted_join(records, targets, keys, "left", spread)
+    joined = salted_join(distinct, targets, keys, "left", spread)
+    again = F.explode(F.sequence(F.lit(1), F.col("_copies")))
+    return joined.withColumn("_copy", again).drop("_copy", "_copies")
 
 
 def apply_scores(worksheet: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFrame]:

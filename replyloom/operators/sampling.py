@@ -174,7 +174,7 @@ def stratified_split(
         },
         "Reviewed labels",
     )
-    usable = usable_labels(reviewed, order).persist()
+    usable = stored(usable_labels(reviewed, order), "usable-labels")
     counts = usable.groupBy("intent").agg(F.count(F.lit(1)).alias("n"))
     size, rare, n_labels = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") < 2), F.count(F.lit(1))

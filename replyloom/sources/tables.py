@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from replyloom.session import spread
+
 MESSAGES = T.StructType(
     [
         T.StructField("tweet_id", T.LongType()),
@@ -29,12 +31,13 @@ def read_messages(
 ) -> DataFrame:
     """Raw messages from CSV or Parquet with the declared schema.
 
-    Tweets hold line breaks, so CSV files cannot be split; store large message
-    tables as Parquet, where column and filter pruning reach the scan.
+    Tweets hold line breaks, so a CSV file is read by one task and then dealt out
+    to all; store large message tables as Parquet, where files are split and
+    column and filter pruning reach the scan.
     """
     form = form or ("csv" if path.rstrip("/").endswith(".csv") else "parquet")
     reader = spark.read.schema(MESSAGES)
-    messages = reader.options(**CSV).csv(path) if form == "csv" else reader.parquet(path)
+    messages = spread(reader.options(**CSV).csv(path)) if form == "csv" else reader.parquet(path)
     return messages.select(*(columns or MESSAGES.fieldNames()))
 
 
