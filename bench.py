@@ -11,7 +11,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from replyloom.plans.queries import QUERIES  # noqa: E402
-from replyloom.session import local_session  # noqa: E402
+from replyloom.session import drop_stored, local_session  # noqa: E402
 
 HEADLINES = (
     "normalize_for_matching",
@@ -35,6 +35,9 @@ HEADLINES = (
     "hybrid_retrieve",
     "judge_table",
     "failure_queue",
+    "save_load_index",  # builds an index
+    "train_intent_model",  # fits a classifier
+    "predict_intent",  # applies one
     "triage",
 )
 
@@ -52,6 +55,7 @@ def main() -> None:
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         took[name] = round(time.perf_counter() - began, 3)
         spark.catalog.clearCache()
+        drop_stored(spark)
     spark.stop()
     print(
         json.dumps(

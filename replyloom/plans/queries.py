@@ -30,7 +30,7 @@ from replyloom.operators import (
     threads,
 )
 from replyloom.plans import inputs
-from replyloom.plans.inputs import LANGUAGE_RULES, LANGUAGES, TERMS, table
+from replyloom.plans.inputs import LANGUAGE_RULES, LANGUAGES, table
 from replyloom.session import shared_folder, stored
 from replyloom.sources import artifacts, tables
 from replyloom.streaming.triage_stream import triage_stream

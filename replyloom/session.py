@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_STORED: list[str] = []
+
 
 def local_session(cores: str = "*", partitions: int = 8, app: str = "replyloom") -> SparkSession:
     """A session for tests and benchmarks on one machine."""
@@ -52,13 +54,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder once and read it from there ever after.
 
     Unlike a cache, the rows outlive executors; unlike a lazy frame, whatever
-    produced them runs exactly once.
+    produced them runs exactly once.  ``drop_stored`` gives the disk back.
     """
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STORED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_stored(spark: SparkSession) -> None:
+    """Delete what ``stored`` has written, once nobody reads results built on it any more."""
+    conf = spark._jsc.hadoopConfiguration()
+    while _STORED:
+        place = spark._jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+        place.getFileSystem(conf).delete(place, True)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Use all cores when a scan has fewer splits than there are cores.
 
