@@ -81,7 +81,8 @@ def fingerprint(text: str | Column, shingle_words: int = SHINGLE_WORDS) -> Colum
             parts = [_fingerprints(chunk, shingle_words) for chunk in chunks(texts, 1 << 18)]
             yield pa.array(np.concatenate(parts).view(np.int64) if parts else [], pa.int64())
 
-    return run(text)
+    # Never null, and the optimiser should know: a join on it would add a null check that runs it again.
+    return F.coalesce(run(text), F.lit(0).cast("long"))
 
 
 def covering_masks(radius: int = RADIUS, bits: int = _BITS) -> list[int]:
