@@ -24,7 +24,6 @@ from replyloom.llm.common import (
     LOWER,
     Texts,
     Words,
-    bounded_sample,
     byte_table,
     chunks,
     held_out,
@@ -162,10 +161,10 @@ def learn_languages(
         raise ValueError(f"More than {MAX_LANGUAGES} languages; is this the language column?")
     if not sizes:
         return None
-    chosen = None
-    for name, n in sorted(sizes.items()):
-        part = bounded_sample(rows.filter(F.col("lang") == name), n, sample, "key", "text")
-        chosen = part if chosen is None else chosen.unionByName(part)
+    # One scan for all languages: each row is held against its own language's share.
+    grains = 1 << 30
+    shares = F.create_map(*[F.lit(x) for name, n in sizes.items() for x in (name, min(grains, grains * sample // n))])
+    chosen = rows.filter(F.pmod(F.xxhash64("key", "text"), F.lit(grains)) < F.element_at(shares, F.col("lang")))
     counted = chosen.select("lang", "text").mapInArrow(_count_batches, "lang string, item int, n long")
     table = counted.groupBy("lang", "item").agg(F.sum("n").alias("n")).toArrow()
     names = sorted(sizes)
