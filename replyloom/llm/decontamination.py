@@ -24,7 +24,7 @@ from replyloom.llm.common import ALNUM, LOWER, Words, chunks, mix, split_words,
 
 WINDOW_WORDS = 10
 #: Benchmark text that one search broadcasts; more text is searched in as many passes as needed.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 _BLOCK = 2
 _SUFFIX = 4
 _LANE = 512

@@ -141,7 +141,10 @@ def _save(folder: str, name: str, raw: bytes) -> None:
     draft = f"{root}/.{name}.{uuid.uuid4().hex}"
     with files.open_output_stream(draft, compression=None) as out:
         out.write(raw)
-    files.move(draft, f"{root}/{name}")
+    target = f"{root}/{name}"
+    if files.get_file_info(target).type != pa.fs.FileType.NotFound:
+        files.delete_file(target)  # left by an earlier attempt of the same task; some stores do not replace
+    files.move(draft, target)
 
 
 def _load(folder: str, name: str) -> bytes:
