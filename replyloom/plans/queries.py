@@ -830,7 +830,7 @@ def train_intent_model(spark, sf):
     """
     weak = stored(labels.create_weak_labels(_direct_pairs(spark, sf), 12_000, 42, LANGUAGE_RULES), "weak-labels")
     rows = weak.select("customer_tweet_id", "customer_text", "intent")
-    fitted = model.train_intent_model(rows, "customer_tweet_id", allow_weak_labels=True, max_iter=300, tol=1e-7)
+    fitted = model.train_intent_model(rows, "customer_tweet_id", allow_weak_labels=True, max_iter=100, tol=1e-5)
     path = _new_folder(spark, "model")
     artifacts.save_model(fitted, path)
     loaded = artifacts.load_model(spark, path)
