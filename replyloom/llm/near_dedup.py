@@ -15,7 +15,7 @@ At most 65 fingerprints can arrive there, however hot the bucket was.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -153,17 +153,24 @@ def fingerprint_components(marked: DataFrame) -> Stored:
     return out
 
 
-def one_of_each_group(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each_group(
+    documents: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    digest: Callable[[str], Column] = fingerprint,
+    grouped: Callable[[DataFrame], Stored] = fingerprint_components,
+) -> DataFrame:
     """``documents`` with one row of each near-duplicate component, columns unchanged.
 
     The row with the smallest key stays (null last); among rows that share it, the one with
-    the smallest fingerprint, and of those any one, since they link to each other.
+    the smallest fingerprint, and of those any one, since they link to each other.  ``grouped``
+    gives the root of each distinct ``fp``, made by ``digest``, of a table (id, fp).
     """
     own = documents.columns
     name = F.coalesce(F.col(key).cast("string"), F.lit("")).alias("__near_id")
-    marked = documents.select("*", F.col(key).isNull().alias("__near_none"), name, fingerprint(F.col(text)).alias("__near_fp"))
+    marked = documents.select("*", F.col(key).isNull().alias("__near_none"), name, digest(F.col(text)).alias("__near_fp"))
     narrow = store(marked.select(F.col(key).alias("id"), F.col("__near_fp").alias("fp")), "fingerprints")
-    found = fingerprint_components(narrow.rows)
+    found = grouped(narrow.rows)
     winners = (
         narrow.rows.join(found.rows.select("fp", "root"), "fp")
         .groupBy("root")
