@@ -32,12 +32,16 @@ MIN_ASSIGNED, MIN_ACCESS, MIN_HEX = 6, 20, 24
 WINDOW = 20
 #: Bits per character that a window of the class must reach; see ``_suspicious``.
 HEX_BITS, ALNUM_BITS, MIXED_BITS = 3.0, 3.6, 3.7
-#: A candidate that one of these matches is no secret: UUIDs, placeholders, alphabets.
+#: 99 of 100 random windows over A-Z2-7 and over A-Za-z have these.
+UPPER_BITS, LETTER_BITS = 3.3, 3.5
+#: A window that touches a match of one of these is no secret: UUIDs, placeholders, alphabets.
 ALLOWED = (
     "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     "[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[Pp][Ll][Aa][Cc][Ee][Hh][Oo][Ll][Dd][Ee][Rr]|[Xx]{8}",
     "0123456789|[Aa][Bb][Cc][Dd][Ee][Ff][Gg][Hh]",
 )
+#: Between the matches, overlapping ones included, of the patterns that may match inside a candidate.
+_APART = "[Ee][Xx][Aa][Mm][Pp][Ll][Ee](?:[Xx][Aa][Mm][Pp][Ll][Ee])*|[Pp][Ll][Aa][Cc][Ee][Hh][Oo][Ll][Dd][Ee][Rr]|[Xx]{8,}|" + ALLOWED[2]
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 UNIT = 1_000_000
 _BLOCK = 512
@@ -140,7 +144,9 @@ def _random_window(marks: Column) -> Column:
         hexadecimal = (a["hex"] == WINDOW) & a["digit"].between(1, WINDOW - 1) & (a["t"] <= most_weight(HEX_BITS))
         alnum = (a["lower"] + a["digit"] == WINDOW) & a["digit"].between(4, WINDOW - 4) & (a["t"] <= most_weight(ALNUM_BITS))
         mixed = (a["lower"] > 0) & (a["upper"] > 0) & (a["digit"] > 0) & (a["t"] <= most_weight(MIXED_BITS))
-        return hexadecimal | alnum | mixed
+        capital = (a["upper"] + a["digit"] == WINDOW) & a["digit"].between(1, WINDOW - 1) & (a["t"] <= most_weight(UPPER_BITS))
+        letters = (a["lower"] + a["upper"] == WINDOW) & a["upper"].between(4, WINDOW - 4) & (a["t"] <= most_weight(LETTER_BITS))
+        return hexadecimal | alnum | mixed | capital | letters
 
     def step(a: Column, at: Column) -> Column:
         enters = F.element_at(marks, at)
@@ -165,18 +171,17 @@ def _random_window(marks: Column) -> Column:
 
 
 def suspicious(candidate: Column) -> Column:
-    """Whether a candidate holds a window of high entropy and no allowed pattern.
+    """Whether a candidate holds a window of high entropy that touches no allowed match.
 
     hex windows have hexadecimal digits only, numerals among them; alnum windows
     lower case and numerals, four of each; mixed ones upper and lower case and
-    numerals.
+    numerals; capital ones upper case and numerals only; letters ones upper and
+    lower case only, four of each.
     """
-    marks = F.transform(F.split(candidate, ""), lambda c: F.instr(F.lit(ALPHABET), c))
-    random = F.element_at(F.transform(F.array(marks), _random_window), 1)
-    allowed = F.lit(False)
-    for pattern in ALLOWED:
-        allowed = allowed | candidate.rlike(pattern)
-    return F.when(candidate.rlike("[0-9]") & ~allowed, random).otherwise(F.lit(False))
+    pieces = F.filter(F.split(candidate, _APART, -1), lambda p: F.length(p) >= WINDOW)
+    marks = F.transform(pieces, lambda p: F.transform(F.split(p, ""), lambda c: F.instr(F.lit(ALPHABET), c)))
+    worth = candidate.rlike("[0-9]") | (candidate.rlike("[A-Z]") & candidate.rlike("[a-z]"))
+    return F.when(worth & ~candidate.rlike(ALLOWED[0]), F.exists(marks, _random_window)).otherwise(F.lit(False))
 
 
 def _kind(spans: str, number: int, keep) -> Column:
