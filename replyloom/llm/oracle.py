@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from replyloom.llm.mixing import SEED, WEIGHTS
 from replyloom.llm.packing import BUCKETS, MAX_LENGTH, TOKEN_BUDGET, WORD
 from replyloom.llm.secret_scan import (
     ACCESS,
@@ -209,6 +210,39 @@ FROM h
 """
 
 
+#: Sources in the order of size by weight: each is closed while the level of those not yet closed would exceed its stop.
+OP12 = rf"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
+         md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')) AS k
+  FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+p AS (
+  SELECT *, {list(WEIGHTS)}[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1)::BIGINT] AS w,
+         sum(source_size) OVER () AS total
+  FROM s),
+o AS (
+  SELECT *, sum(w) OVER () AS all_w, coalesce(sum(source_size) OVER b, 0) AS size_before, coalesce(sum(w) OVER b, 0) AS w_before
+  FROM p WINDOW b AS (ORDER BY source_size::DOUBLE / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+c AS (SELECT *, (3 * total - 4 * size_before) * w > 4 * source_size * (all_w - w_before) AS closed FROM o),
+l AS (
+  SELECT *, 3 * total - 4 * sum(CASE WHEN closed THEN source_size ELSE 0 END) OVER () AS spread,
+         2 * sum(CASE WHEN closed THEN 0 ELSE w END) OVER () AS open_w
+  FROM c),
+t AS (
+  SELECT source, source_size, CASE WHEN closed OR open_w = 0 THEN (2 * source_size)::DOUBLE
+           ELSE least((spread * w)::DOUBLE / open_w::DOUBLE, (2 * source_size)::DOUBLE) END AS target
+  FROM l),
+r AS (
+  SELECT d.*, source_size, target, floor(target)::BIGINT AS budget,
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seen
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+e AS (SELECT *, floor(budget / greatest(source_size, 1))::BIGINT AS epochs FROM r)
+SELECT doc_id, size, source_size, target,
+       (epochs * size + greatest(0, least(budget - epochs * source_size - seen, size)))::BIGINT AS taken
+FROM e
+"""
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": OP1,
     "op2_secret_scan": _op2(),
@@ -216,4 +250,5 @@ ORACLE: dict[str, str] = {
     "op6_url_filter": _op6(),
     "op7_benchmark_decontamination": OP7,
     "op9_warc": OP9,
+    "op12_source_mixing": OP12,
 }

@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from replyloom.llm import (
     decontamination,
     language,
+    mixing,
     near_dedup,
     packing,
     quality_model,
     quality_rules,
     secret_scan,
+    spelling,
     toxicity,
     url_filter,
     warc,
+    whitening,
 )
 from replyloom.llm.common import held_out, read, spread_rows
 
@@ -105,6 +108,19 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(_documents(spark, folder))
 
 
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(spread_rows(read(spark, folder, "embeddings")))
+
+
+def op12_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix_sources(read(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(_documents(spark, folder)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Query] = {
     name: run for name, run in globals().items() if name.startswith("op") and callable(run)
 }
