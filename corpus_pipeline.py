@@ -10,22 +10,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from replyloom.llm import decontamination, near_copies, packing, secret_scan, toxicity
+from replyloom.llm import decontamination, near_dedup, packing, secret_scan, toxicity
 from replyloom.llm.common import read, spread_rows, store
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the factorization machine, fitted on these, scores below its threshold."""
+    """Documents that the factorization machine, fitted on these, scores below its threshold; null texts are empty."""
     return toxicity.without_toxic(spread_rows(docs), read(spark, sf_dir, "labels"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of five-word similarity 0.8 or more."""
-    return near_copies.one_of_each_copy(docs)
+    """The document with the smallest id of each component of fingerprints within two bits.
+
+    Copies, repeated rows, and texts without words (null ones too) are one group each.
+    """
+    return near_dedup.one_of_each_group(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of a benchmark item."""
+    """Documents without a window of a benchmark item; those without words stay."""
     return decontamination.without_benchmark(docs, read(spark, sf_dir, "benchmark"))
 
 
@@ -53,8 +56,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each is written to the shared folder and read again."""
-    rows = read(spark, sf_dir, "documents")
+    rows, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         table = store(stage(spark, rows, sf_dir), f"pipeline-{name}")
-        rows = table.rows
+        if before is not None:
+            before.drop()  # the next table is written and needs it no more
+        rows, before = table.rows, table
     return rows
