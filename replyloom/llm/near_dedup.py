@@ -15,7 +15,7 @@ At most 65 fingerprints can arrive there, however hot the bucket was.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -157,21 +157,22 @@ def one_of_each_group(
     documents: DataFrame,
     key: str = "doc_id",
     text: str = "text",
-    digest: Callable[[str], Column] = fingerprint,
-    grouped: Callable[[DataFrame], Stored] = fingerprint_components,
+    shingle_words: int = SHINGLE_WORDS,
 ) -> DataFrame:
     """``documents`` with one row of each near-duplicate component, columns unchanged.
 
     The row with the smallest key stays (null last); among rows that share it, the one with
-    the smallest fingerprint, and of those any one, since they link to each other.  ``grouped``
-    gives the root of each distinct ``fp``, made by ``digest``, of a table (id, fp).
+    the smallest fingerprint, and of those any one, since they link to each other.  Null and
+    empty texts share fingerprint zero and so are one group.  An empty table stays empty.
     """
     own = documents.columns
     name = F.coalesce(F.col(key).cast("string"), F.lit("")).alias("__near_id")
-    marked = documents.select("*", F.col(key).isNull().alias("__near_none"), name, digest(F.col(text)).alias("__near_fp"))
+    marked = documents.select(
+        "*", F.col(key).isNull().alias("__near_none"), name, fingerprint(F.col(text), shingle_words).alias("__near_fp")
+    )
     narrow = store(marked.select(F.col(key).alias("id"), F.col("__near_fp").alias("fp")), "fingerprints")
-    found = grouped(narrow.rows)
-    winners = (
+    found = fingerprint_components(narrow.rows)
+    winners = store(
         narrow.rows.join(found.rows.select("fp", "root"), "fp")
         .groupBy("root")
         .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp")).alias("first"))
@@ -179,7 +180,10 @@ def one_of_each_group(
             F.col("first.none").alias("__near_none"),
             F.coalesce(F.col("first.id").cast("string"), F.lit("")).alias("__near_id"),
             F.col("first.fp").alias("__near_fp"),
-        )
+        ),
+        "near-winners",
     )
+    narrow.drop()
+    found.drop()
     where = ["__near_none", "__near_id", "__near_fp"]
-    return marked.join(winners, where, "left_semi").dropDuplicates(where).select(*own)
+    return marked.join(winners.rows, where, "left_semi").dropDuplicates(where).select(*own)

@@ -83,5 +83,5 @@ def test_stages_take_odd_and_empty_documents(spark, tmp_path):
 
 def test_each_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(oracle.ORACLE) < set(queries.QUERIES)
