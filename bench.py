@@ -11,7 +11,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from replyloom.plans.queries import QUERIES  # noqa: E402
-from replyloom.session import drop_stored, local_session  # noqa: E402
+from replyloom.session import local_session, scratch  # noqa: E402
 
 HEADLINES = (
     "normalize_for_matching",
@@ -52,10 +52,10 @@ def main() -> None:
     took = {}
     for name in HEADLINES:
         began = time.perf_counter()
-        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-        took[name] = round(time.perf_counter() - began, 3)
+        with scratch(spark):
+            QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+            took[name] = round(time.perf_counter() - began, 3)
         spark.catalog.clearCache()
-        drop_stored(spark)
     spark.stop()
     print(
         json.dumps(

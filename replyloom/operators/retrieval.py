@@ -1,10 +1,10 @@
-"""Similar past cases: an inverted index and an exact top-k over it."""
+"""Similar past cases: an inverted index in blocks and an exact top-k over it."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from replyloom.config import TriageConfig
@@ -15,33 +15,61 @@ from replyloom.functions.text import (
     with_matching_text,
 )
 from replyloom.functions.values import fingerprint
+from replyloom.operators.blocks import (
+    BLOCK_SCHEMA,
+    CHUNK_FIELDS,
+    best_cases,
+    pack_cases,
+    pack_messages,
+    unpack_cases,
+    upper_bounds,
+)
 from replyloom.operators.checks import require_columns
 from replyloom.operators.heldout import exclude_held_out, held_out_ids
 from replyloom.operators.sampling import dedupe_first, sample_n, text_digest
-from replyloom.operators.tfidf import SpaceSpec, Vocabulary, fit_vocabulary, term_counts, weigh
-from replyloom.session import stored
+from replyloom.operators.tfidf import SpaceSpec, Vocabulary, fit_vocabulary, raw_weights, term_counts
+from replyloom.session import scratch, stored
 
-INDEX_VERSION = 3
+INDEX_VERSION = 4
 WORD_WEIGHT = 0.65
 SCORE_DIGITS = 9
-# The first look goes on until the terms left cannot add more than this; it only finds a floor.
-FIRST_LOOK = 0.5
 # Rounding moves a score by less than this.
 SLACK = 1e-8
+# Characters of text in a block of cases, and messages in a chunk.
+BLOCK_CHARS = 1 << 17
+CHUNK_MESSAGES = 128
+# Groups of cases that share their least word; neighbours come to lie in one block.
+CLUSTERS = 1 << 16
+SLOTS = 1 << 24
 
 
 @dataclass(frozen=True)
 class RetrievalIndex:
-    """Corpus, vocabulary and postings ``(space, term, customer_tweet_id, weight)``."""
+    """Corpus, vocabulary and blocks of weights.
+
+    ``corpus`` says where each case lies, ``(block, slot)``; ``vocabulary.terms``
+    has a 64-bit ``key`` per term, no two alike.
+    """
 
     corpus: DataFrame
     vocabulary: Vocabulary
-    postings: DataFrame
+    blocks: DataFrame
     excluded_rows: int = 0
     excluded_digest: str | None = None
     word_weight: float = WORD_WEIGHT
     version: int = INDEX_VERSION
 
+    @property
+    def postings(self) -> DataFrame:
+        """``(space, term, customer_tweet_id, weight)``, unpacked."""
+        rows = self.blocks.select("block", "keys", "starts", "slots", "weights").mapInArrow(
+            unpack_cases, "block long, slot int, key long, weight double"
+        )
+        named = self.corpus.select("block", "slot", "customer_tweet_id")
+        return rows.join(self.vocabulary.terms.select("key", "space", "term"), "key").join(
+            named, ["block", "slot"]
+        ).select("space", "term", "customer_tweet_id", "weight")
+
 
 def select_corpus(
     pairs: DataFrame, held_out: DataFrame | None = None, config: TriageConfig = TriageConfig()
@@ -68,28 +96,89 @@ def select_corpus(
     )
 
 
+def placed(corpus: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``corpus`` with ``block`` and ``slot``.
+
+    Cases are laid out by the least digest among their words, so that cases with
+    words in common tend to share a block and its bounds are tight.  A group of
+    such cases takes as many characters of the layout as it has, and a case a
+    random place inside its group: no task ever numbers the whole corpus, and a
+    large group is many blocks.
+    """
+    words = F.filter(F.split("normalized", " "), lambda w: w != "")
+    least = F.array_min(F.transform(words, lambda w: F.xxhash64(w)))
+    marked = corpus.withColumn("_cluster", F.pmod(least, F.lit(CLUSTERS)))
+    before = Window.orderBy("_cluster").rowsBetween(Window.unboundedPreceding, -1)
+    # CLUSTERS rows at most, whatever the corpus.
+    layout = (
+        marked.groupBy("_cluster")
+        .agg(F.sum(F.length("normalized")).alias("_chars"))
+        .select("_cluster", "_chars", F.coalesce(F.sum("_chars").over(before), F.lit(0)).alias("_begin"))
+    )
+    grain = 1 << 20
+    share = F.pmod(F.xxhash64("customer_tweet_id"), F.lit(grain)) / F.lit(float(grain))
+    block = F.floor((F.col("_begin") + F.col("_chars") * share) / block_chars)
+    slot = F.row_number().over(Window.partitionBy("block").orderBy("customer_tweet_id")) - 1
+    return (
+        marked.join(F.broadcast(layout), "_cluster")
+        .withColumn("block", block)
+        .withColumn("slot", slot)
+        .drop("_cluster", "_chars", "_begin")
+    )
+
+
+def keyed(terms: DataFrame) -> DataFrame:
+    """``terms`` with a 64-bit ``key``; a seed under which two terms share one is passed over."""
+    for seed in range(8):
+        table = stored(terms.withColumn("key", F.xxhash64(F.lit(seed), "space", "term")), "vocabulary", result=True)
+        n, distinct = table.agg(F.count(F.lit(1)), F.count_distinct("key")).first()
+        if n == distinct:
+            return table
+    raise RuntimeError("No seed gives every term a key of its own.")
+
+
+def _weighed(counts: DataFrame, vocabulary: Vocabulary, *keep: str) -> DataFrame:
+    """Counts of known terms as ``keep``, ``key``, ``word`` (0 or 1) and ``raw``."""
+    word = (F.col("space") == "word").cast("int").alias("word")
+    return raw_weights(counts, vocabulary).select(*keep, "key", word, "raw")
+
+
 def build_retrieval_corpus(
     pairs: DataFrame,
     config: TriageConfig = TriageConfig(),
     held_out: DataFrame | None = None,
+    block_chars: int = BLOCK_CHARS,
 ) -> RetrievalIndex:
-    """Build the index in the shared folder; held-out rows leave before anything is fitted."""
+    """Build the index in the shared folder; held-out rows leave before anything is fitted.
+
+    Counts meet the vocabulary once and then go to their block, where they are
+    scaled and packed; a block is bounded by its text, so no task and no key
+    grows with a common term.
+    """
     if config.max_features is not None and config.max_features < 1:
         raise ValueError("Retrieval feature limit must be positive.")
-    corpus = stored(select_corpus(pairs, held_out, config), "corpus")
-    n_docs = corpus.count()
-    if n_docs == 0:
-        raise ValueError("Cleaning and held-out exclusion left no case to retrieve.")
-    excluded, digest = 0, None
-    if held_out is not None:
-        excluded = held_out_ids(pairs, held_out).count()
-        digest = fingerprint(held_out).first()["digest"]
-    counts = stored(term_counts(corpus, "customer_tweet_id", "normalized"), "case-terms")
-    spec = SpaceSpec(max_features=config.max_features)
-    fitted = fit_vocabulary(counts, n_docs, {"word": spec, "char": spec})
-    vocabulary = Vocabulary(stored(fitted.terms, "vocabulary"), n_docs)
-    postings = stored(weigh(counts, vocabulary, "customer_tweet_id").drop("df"), "postings")
-    return RetrievalIndex(corpus, vocabulary, postings, excluded, digest)
+    with scratch(pairs.sparkSession):
+        chosen = stored(select_corpus(pairs, held_out, config), "chosen-cases")
+        corpus = stored(placed(chosen, block_chars), "corpus", result=True)
+        n_docs = corpus.count()
+        if n_docs == 0:
+            raise ValueError("Cleaning and held-out exclusion left no case to retrieve.")
+        excluded, digest = 0, None
+        if held_out is not None:
+            excluded = held_out_ids(pairs, held_out).count()
+            digest = fingerprint(held_out).first()["digest"]
+        located = corpus.select((F.col("block") * SLOTS + F.col("slot")).alias("place"), "normalized")
+        counts = stored(term_counts(located, "place", "normalized"), "case-terms")
+        spec = SpaceSpec(max_features=config.max_features)
+        fitted = fit_vocabulary(counts, n_docs, {"word": spec, "char": spec})
+        vocabulary = Vocabulary(keyed(fitted.terms), n_docs)
+        rows = _weighed(counts, vocabulary, "place").select(
+            F.floor(F.col("place") / SLOTS).alias("block"), F.pmod("place", F.lit(SLOTS)).alias("slot"), "key", "word", "raw"
+        )
+        cases = corpus.select("block", "slot", "thread_id")
+        packed = rows.groupBy("block").cogroup(cases.groupBy("block")).applyInArrow(pack_cases, BLOCK_SCHEMA)
+        blocks = stored(packed, "blocks", result=True)
+    return RetrievalIndex(corpus, vocabulary, blocks, excluded, digest)
 
 
 def diverse_topk(scored: DataFrame, k: int, query: str = "message_id") -> DataFrame:
@@ -106,78 +195,59 @@ def diverse_topk(scored: DataFrame, k: int, query: str = "message_id") -> DataFr
     )
 
 
-def _cosine(space: str, product: Column) -> Column:
-    return F.round(F.sum(F.when(F.col("space") == space, product).otherwise(0.0)), SCORE_DIGITS)
-
-
-def _blended(index: RetrievalIndex) -> Column:
-    share = index.word_weight
-    return F.round(share * F.col("word_similarity") + (1 - share) * F.col("char_similarity"), SCORE_DIGITS)
-
-
-def similarities(found: DataFrame, query_terms: DataFrame, index: RetrievalIndex) -> DataFrame:
-    """Word, char and blended cosine of given (message, case) pairs."""
-    cases = index.postings.select(
-        "space", "term", "customer_tweet_id", F.col("weight").alias("_case_weight")
-    )
-    product = F.col("weight") * F.col("_case_weight")
-    sums = (
-        found.select("message_id", "customer_tweet_id")
-        .join(cases, "customer_tweet_id")
-        .join(query_terms.select("message_id", "space", "term", "weight"), ["message_id", "space", "term"])
-        .groupBy("message_id", "customer_tweet_id")
-        .agg(_cosine("word", product).alias("word_similarity"), _cosine("char", product).alias("char_similarity"))
+def _chunks(messages: DataFrame, index: RetrievalIndex, text: str) -> DataFrame:
+    """Packed weights of the messages, ``CHUNK_MESSAGES`` or so to a row."""
+    prepared = messages.select("message_id", normalize_for_matching(text).alias("normalized"))
+    counts = term_counts(prepared, "message_id", "normalized")
+    n_chunks = max(1, -(-messages.count() // CHUNK_MESSAGES))
+    chunk = F.pmod(F.xxhash64("message_id"), F.lit(n_chunks)).alias("chunk")
+    rows = _weighed(counts, index.vocabulary, chunk, "message_id")
+    kind = messages.schema["message_id"].dataType.simpleString()
+    packed = rows.groupBy("chunk").applyInArrow(
+        pack_messages, f"chunk long, message_ids array<{kind}>, {CHUNK_FIELDS}"
     )
-    return sums.withColumn("similarity", _blended(index)).filter("similarity > 0")
+    return stored(packed.withColumn("n_messages", F.size("message_ids")), "asked")
 
 
-def rare_first(query_terms: DataFrame, word_weight: float) -> DataFrame:
-    """Query terms with ``reach``: what a term and those after it can still add to any similarity.
+def bounds(asked: DataFrame, index: RetrievalIndex) -> DataFrame:
+    """``(chunk, asked, block, bound)``: what a message and any case of a block can reach at most.
 
-    A message's terms are ordered from rare to common.  A case's weights have
-    unit length per space, so the terms from a place on add at most the length of
-    the query's weights on them, blended like the spaces.
+    The stated messages meet all blocks, a chunk of them at a time, by keys and
+    greatest weights alone; weights of cases are not read.
     """
-    onward = (
-        Window.partitionBy("message_id")
-        .orderBy("df", "space", "term")
-        .rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    chunks = [r["chunk"] for r in asked.select("chunk").collect()]
+    if not chunks:
+        return asked.select("chunk", F.lit(0).alias("asked"), F.lit(0).cast("long").alias("block"), F.lit(0.0).alias("bound"))
+    outline = index.blocks.select("block", "keys", "tops").withColumn(
+        "chunk", F.explode(F.array(*[F.lit(c).cast("long") for c in chunks]))
     )
-
-    def length(space: str) -> Column:
-        square = F.when(F.col("space") == space, F.col("weight") * F.col("weight")).otherwise(0.0)
-        return F.sqrt(F.sum(square).over(onward))
-
-    return query_terms.withColumn(
-        "reach", word_weight * length("word") + (1 - word_weight) * length("char")
+    return outline.join(asked.drop("message_ids"), "chunk").mapInArrow(
+        upper_bounds(index.word_weight), "chunk long, asked int, block long, bound double"
     )
 
 
-def partial_sums(terms: DataFrame, threads: DataFrame, index: RetrievalIndex) -> DataFrame:
-    """What the given query terms add up to, by (message, case)."""
-    cases = index.postings.select(
-        "space", "term", "customer_tweet_id", F.col("weight").alias("_case_weight")
-    )
-    product = F.col("weight") * F.col("_case_weight")
+def scored(wanted: DataFrame, asked: DataFrame, index: RetrievalIndex, k: int) -> DataFrame:
+    """Cases that may be a message's best, with similarities; ``wanted`` has (chunk, asked, block, floor)."""
+    tasks = wanted.groupBy("block", "chunk").agg(F.collect_list(F.struct("asked", "floor")).alias("wanted"))
+    kind = asked.schema["message_ids"].dataType.elementType.simpleString()
     sums = (
-        terms.join(cases, ["space", "term"])
-        .groupBy("message_id", "customer_tweet_id")
-        .agg(_cosine("word", product).alias("word_similarity"), _cosine("char", product).alias("char_similarity"))
+        index.blocks.join(tasks, "block")
+        .join(asked, "chunk")
+        .mapInArrow(
+            best_cases(index.word_weight, k, SLACK),
+            f"message_id {kind}, block long, slot int, word_sum double, char_sum double",
+        )
     )
-    return sums.withColumn("similarity", _blended(index)).join(threads, "customer_tweet_id")
-
-
-def floors(terms: DataFrame, threads: DataFrame, index: RetrievalIndex, k: int) -> DataFrame:
-    """``(message_id, floor)``: a similarity that the k-th best case reaches at least.
-
-    The cases that a message's rarest terms rank first get exact scores; with
-    one case per thread, the least of k of them is a floor.  Fewer give zero.
-    """
-    seen = partial_sums(terms.filter(F.col("reach") > FIRST_LOOK), threads, index)
-    exact = similarities(diverse_topk(seen, k), terms, index)
-    enough = F.count(F.lit(1)) >= k
-    return exact.groupBy("message_id").agg(
-        F.when(enough, F.min("similarity")).otherwise(0.0).alias("floor")
+    share = index.word_weight
+    blended = F.round(share * F.col("word_similarity") + (1 - share) * F.col("char_similarity"), SCORE_DIGITS)
+    where = index.corpus.select("block", "slot", "customer_tweet_id", "thread_id")
+    return (
+        sums.join(where, ["block", "slot"])
+        .withColumn("word_similarity", F.round("word_sum", SCORE_DIGITS))
+        .withColumn("char_similarity", F.round("char_sum", SCORE_DIGITS))
+        .withColumn("similarity", blended)
+        .filter("similarity > 0")
+        .drop("word_sum", "char_sum", "slot")
     )
 
 
@@ -187,50 +257,47 @@ def hybrid_retrieve(
     """The ``k`` most similar cases of each message, at most one per thread.
 
     ``messages`` needs a unique ``message_id``.  The result is that of scoring
-    every pair, but common terms are looked up only where they can matter.  A
-    first look at a message's rarest terms finds a floor under its k-th best
-    case.  Then terms are looked up from rare to common until those left could
-    not lift a case above the floor: a case not found by then cannot win, and of
-    those found only the ones whose sum plus what is left reaches the floor get
-    exact scores.
+    every pair, but whole blocks of cases are left out.  Every message has a
+    bound for every block.  The block with the greatest bound is scored first;
+    with one case per thread, the least of the ``k`` best there is a floor.
+    Then only blocks whose bound reaches the floor are scored.  A common term
+    costs what its share of each scored block does: it is never a join key.
     """
     if index.version != INDEX_VERSION:
         raise ValueError("Old retrieval index: rebuild it.")
-    # A message without usable text has no terms and so finds nothing.
-    prepared = messages.select("message_id", normalize_for_matching(text).alias("normalized"))
-    if k < 1:
-        prepared = prepared.limit(0)
-    weights = weigh(term_counts(prepared, "message_id", "normalized"), index.vocabulary, "message_id")
-    terms = stored(rare_first(weights, index.word_weight), "query-terms")
-    threads = index.corpus.select("customer_tweet_id", "thread_id")
-    floored = terms.join(stored(floors(terms, threads, index, k), "floors"), "message_id", "left").withColumn(
-        "floor", F.coalesce("floor", F.lit(0.0))
-    )
-    needed = F.col("reach") >= F.col("floor") - SLACK
-    left = floored.groupBy("message_id", "floor").agg(
-        F.max(F.when(~needed, F.col("reach")).otherwise(0.0)).alias("left")
-    )
-    found = stored(
-        partial_sums(floored.filter(needed).drop("floor"), threads, index)
-        .join(left, "message_id")
-        .filter(F.col("similarity") + F.col("left") >= F.col("floor") - SLACK)
-        .drop("floor"),
-        "found-cases",
-    )
-    # With nothing left, the sums are the similarities.
-    whole = found.filter("left = 0 and similarity > 0").drop("left")
-    rest = similarities(found.filter("left > 0"), terms, index).join(threads, "customer_tweet_id")
-    best = stored(diverse_topk(whole.unionByName(rest), k), "best-cases")
-    details = index.corpus.select("customer_tweet_id", "customer_text", "brand_reply", "safe_guidance")
-    return best.join(details, "customer_tweet_id").select(
-        "message_id",
-        "rank",
-        "customer_tweet_id",
-        "thread_id",
-        "customer_text",
-        "brand_reply",
-        "safe_guidance",
-        "similarity",
-        "word_similarity",
-        "char_similarity",
-    )
+    with scratch(messages.sparkSession):
+        # A message without usable text has no terms and so finds nothing.
+        asked = _chunks(messages if k >= 1 else messages.limit(0), index, text)
+        reach = stored(bounds(asked, index), "bounds")
+        top = F.max_by("block", F.struct("bound", "block")).alias("block")
+        likely = reach.groupBy("chunk", "asked").agg(top)
+        first = stored(scored(likely.withColumn("floor", F.lit(0.0)), asked, index, max(k, 1)), "first-cases")
+        best_there = diverse_topk(first, k).groupBy("message_id").agg(
+            F.when(F.count(F.lit(1)) >= k, F.min("similarity")).otherwise(0.0).alias("floor")
+        )
+        named = asked.select("chunk", F.posexplode("message_ids").alias("asked", "message_id"))
+        floors = named.join(best_there, "message_id", "left").select(
+            "chunk", "asked", F.coalesce("floor", F.lit(0.0)).alias("floor")
+        )
+        rest = (
+            reach.join(likely.withColumn("done", F.lit(True)), ["chunk", "asked", "block"], "left")
+            .filter("done is null")
+            .join(floors, ["chunk", "asked"])
+            .filter(F.col("bound") >= F.col("floor") - SLACK)
+            .select("chunk", "asked", "block", "floor")
+        )
+        best = diverse_topk(first.unionByName(scored(rest, asked, index, max(k, 1))), k)
+        details = index.corpus.select("customer_tweet_id", "customer_text", "brand_reply", "safe_guidance")
+        found = best.join(details, "customer_tweet_id").select(
+            "message_id",
+            "rank",
+            "customer_tweet_id",
+            "thread_id",
+            "customer_text",
+            "brand_reply",
+            "safe_guidance",
+            "similarity",
+            "word_similarity",
+            "char_similarity",
+        )
+        return stored(found, "similar-cases", result=True)

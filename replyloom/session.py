@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_STORED: list[str] = []
-
 
 def local_session(cores: str = "*", partitions: int = 8, app: str = "replyloom") -> SparkSession:
     """A session for tests and benchmarks on one machine."""
@@ -50,26 +51,48 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+class _Scopes(threading.local):
+    """The open ``scratch`` blocks of a thread, each with the tables written inside it."""
+
+    def __init__(self) -> None:
+        self.open: list[list[str]] = []
+
+
+_SCOPES = _Scopes()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete every table stored inside the block when it ends, also by an error.
+
+    What a block hands on is stored with ``result=True``: it belongs to the block
+    around, or to the caller if there is none.
+    """
+    _SCOPES.open.append([])
+    try:
+        yield
+    finally:
+        conf = spark._jsc.hadoopConfiguration()
+        for path in _SCOPES.open.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+
+
+def stored(df: DataFrame, label: str, result: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder once and read it from there ever after.
 
     Unlike a cache, the rows outlive executors; unlike a lazy frame, whatever
-    produced them runs exactly once.  ``drop_stored`` gives the disk back.
+    produced them runs exactly once.  The table goes with the ``scratch`` block
+    it is written in, a ``result`` with the block around that.
     """
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    depth = 2 if result else 1
+    if len(_SCOPES.open) >= depth:
+        _SCOPES.open[-depth].append(path)
     df.write.parquet(path)
-    _STORED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_stored(spark: SparkSession) -> None:
-    """Delete what ``stored`` has written, once nobody reads results built on it any more."""
-    conf = spark._jsc.hadoopConfiguration()
-    while _STORED:
-        place = spark._jvm.org.apache.hadoop.fs.Path(_STORED.pop())
-        place.getFileSystem(conf).delete(place, True)
-
-
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Use all cores when a scan has fewer splits than there are cores.
 

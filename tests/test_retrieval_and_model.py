@@ -2,12 +2,16 @@ import math
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from replyloom.config import Policy, TriageConfig
-from replyloom.operators import model, responses, retrieval, tfidf
+from replyloom.operators import blocks, model, responses, retrieval, tfidf
+from replyloom.session import scratch, shared_folder
 from replyloom.sources import artifacts
 from replyloom.streaming.triage_stream import triage_stream
 
@@ -116,35 +120,92 @@ def test_retrieval_equals_brute_force(spark, cap):
     assert found(retrieval.hybrid_retrieve(messages(spark), index, 3)) == want
 
 
-@pytest.mark.parametrize("first_look", [0.0, 0.3, 2.0])
-def test_the_first_look_does_not_change_the_result(spark, monkeypatch, first_look):
-    index = retrieval.build_retrieval_corpus(pairs(spark))
-    whole = found(retrieval.hybrid_retrieve(messages(spark), index, 2))
-    monkeypatch.setattr(retrieval, "FIRST_LOOK", first_look)
-    assert found(retrieval.hybrid_retrieve(messages(spark), index, 2)) == whole
+@pytest.mark.parametrize("block_chars", [1, 40, 10_000])
+@pytest.mark.parametrize("dense", [0, 10**9])
+def test_the_size_of_blocks_does_not_change_the_result(spark, monkeypatch, block_chars, dense):
+    monkeypatch.setattr(blocks, "DENSE", dense)  # in-process here; workers keep the default
+    index = retrieval.build_retrieval_corpus(pairs(spark), block_chars=block_chars)
+    clean = [(c[0], c[1], c[2].lower(), c[3]) for c in KEPT]
+    want = {m: b for m, b in plain_retrieve(clean, [ASKED[0], ASKED[1], ASKED[3]], 2).items() if b}
+    assert found(retrieval.hybrid_retrieve(messages(spark), index, 2)) == want
 
 
-def test_pruning_equals_all_pairs_and_scores_fewer(spark, monkeypatch):
-    """Many cases share common words; only cases that can win get exact scores."""
+def _usual(n):
     random.seed(4)
     rare = [f"{a}{b}ort" for a in "bcdfghjk" for b in "aeiou"]
     cases = [
         (f"k{i:03d}", f"t{i % 150}", "the usual words of every message " + " ".join(random.sample(rare, 4)), "reply")
-        for i in range(300)
+        for i in range(n)
     ]
-    asked = messages(spark, [(f"q{i}", "the usual words " + " ".join(random.sample(rare, 4))) for i in range(12)])
-    index = retrieval.build_retrieval_corpus(pairs(spark, cases))
-    scored, similarities = [], retrieval.similarities
-
-    def counting(pairs_, *rest):
-        scored.append(pairs_.count())
-        return similarities(pairs_, *rest)
-
-    monkeypatch.setattr(retrieval, "similarities", counting)
-    pruned = found(retrieval.hybrid_retrieve(asked, index, 3))
-    monkeypatch.setattr(retrieval, "FIRST_LOOK", 2.0)  # no floor: every pair that shares a term
-    assert found(retrieval.hybrid_retrieve(asked, index, 3)) == pruned
-    assert 0 < sum(scored) < 300 * 12 / 2
+    return cases, [(f"q{i}", "the usual words " + " ".join(random.sample(rare, 4))) for i in range(12)]
+
+
+@pytest.mark.parametrize("dense", [0, 3, 10**9])
+def test_products_in_a_block_do_not_depend_on_how_they_are_formed(monkeypatch, dense):
+    random.seed(1)
+    weights = {(s, k): random.random() for s in range(7) for k in range(30) if random.random() < 0.5}
+    asked = {(m, k): random.random() for m in range(5) for k in range(3, 40) if random.random() < 0.5}
+    block = blocks.pack_cases(
+        (pa.scalar(9),),
+        pa.table({"slot": [s for s, _ in weights], "key": [k for _, k in weights], "word": [k % 2 for _, k in weights], "raw": list(weights.values())}),
+        pa.table({"slot": list(range(7)), "thread_id": list("abcabca")}),
+    ).to_pylist()[0]
+    chunk = blocks.pack_messages(
+        (pa.scalar(0),),
+        pa.table({"message_id": [f"m{m}" for m, _ in asked], "key": [k for _, k in asked], "word": [k % 2 for _, k in asked], "raw": list(asked.values())}),
+    ).to_pylist()[0]
+    monkeypatch.setattr(blocks, "DENSE", dense)
+    monkeypatch.setattr(blocks, "AT_ONCE", 16)
+    names = chunk["message_ids"]
+    wanted = [1, 3]
+    word, char = blocks._cosines({**block, **chunk, "n_messages": len(names)}, np.array(wanted))
+    for row, at in enumerate(wanted):
+        m = int(names[at][1:])
+        for space, got in ((1, word), (0, char)):
+            long_q = math.sqrt(sum(v * v for (i, k), v in asked.items() if i == m and k % 2 == space))
+            for s in range(7):
+                long_c = math.sqrt(sum(v * v for (i, k), v in weights.items() if i == s and k % 2 == space))
+                plain = sum(v * weights.get((s, k), 0) for (i, k), v in asked.items() if i == m and k % 2 == space)
+                assert got[row, s] == pytest.approx(plain / long_q / long_c, abs=1e-12)
+
+
+def test_a_term_in_every_case_and_blocks_left_out(spark, monkeypatch):
+    """Words that all cases share are in every block; bounds are never exceeded and leave blocks out."""
+    cases, asked = _usual(300)
+    cases += [(f"x{i:03d}", f"u{i}", "ganz andere Wörter " + "äöüß"[i % 4] * 3 + f" zeile{i}", "reply") for i in range(200)]
+    index = retrieval.build_retrieval_corpus(pairs(spark, cases), block_chars=1_000)
+    n_blocks = index.blocks.count()
+    held = index.corpus.groupBy("block").count().agg(F.max("count")).first()[0]
+    assert n_blocks > 15 and held < 100  # the common words' lists are no longer than a block
+    clean = [(c[0], c[1], c[2].lower(), c[3]) for c in cases]
+    want = plain_retrieve(clean, asked, 3)
+    scored, whole = [], retrieval.scored
+
+    def counting(wanted, *rest):
+        scored.append(wanted.count())
+        return whole(wanted, *rest)
+
+    monkeypatch.setattr(retrieval, "scored", counting)
+    assert found(retrieval.hybrid_retrieve(messages(spark, asked), index, 3)) == want
+    assert 12 <= sum(scored) < 12 * n_blocks
+    reach = retrieval.bounds(retrieval._chunks(messages(spark, asked), index, "text"), index)
+    wanted = reach.select("chunk", "asked", "block", F.lit(0.0).alias("floor"))
+    every = whole(wanted, retrieval._chunks(messages(spark, asked), index, "text"), index, 1)
+    assert reach.agg(F.max("bound")).first()[0] >= every.agg(F.max("similarity")).first()[0]
+
+
+def test_nothing_but_the_result_is_left(spark):
+    def tables():
+        return {p.name for p in Path(shared_folder(spark).removeprefix("file:")).iterdir() if p.is_dir() and "-" in p.name}
+
+    index = retrieval.build_retrieval_corpus(pairs(spark))
+    before = tables()
+    with scratch(spark):
+        cases = retrieval.hybrid_retrieve(messages(spark), index, 3)
+        assert cases.count() > 0
+        left = {n.rsplit("-", 5)[0].rstrip("-0123456789abcdef") for n in tables() - before}
+        assert len(tables() - before) == 1, left
+    assert tables() == before
 
 
 def test_one_case_per_thread_and_blended_score(spark):
