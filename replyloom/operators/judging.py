@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replyloom.functions.text import is_blank, is_reviewed
@@ -32,10 +32,13 @@ from replyloom.operators.checks import (
 from replyloom.operators.joins import salted_join
 from replyloom.operators.metrics import spearman_from_counts
 from replyloom.operators.sampling import sample_n, sample_rank
-from replyloom.session import stored
+from replyloom.session import scratch, scratch_folder, stored
 
 PAIR = ("example_id", "system")
 SCORE_COLUMNS = (*PAIR, "model", "rubric_version", "cache_key", *RUBRIC_FIELDS, "rationale")
+ANSWER_SCHEMA = f"cache_key string, {', '.join(f'{f} int' for f in RUBRIC_FIELDS)}, rationale string"
+# Keys that a task asks about, and so what a failure can cost.
+ASK_TOGETHER = 64
 # A scorer gets frames with cache_key, customer_text, draft_reply and evidence_json
 # and returns cache_key, the five scores and a rationale.
 Scorer = Callable[[pd.DataFrame], pd.DataFrame]
@@ -117,8 +120,41 @@ def _apply(scorer: Scorer) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.Dat
 
 def score_content(content: DataFrame, scorer: Scorer) -> DataFrame:
     """Call the scorer on batches of content; what breaks ``check_answers`` raises."""
-    fields = ", ".join(f"{f} int" for f in RUBRIC_FIELDS)
-    return content.mapInPandas(_apply(scorer), f"cache_key string, {fields}, rationale string")
+    return content.mapInPandas(_apply(scorer), ANSWER_SCHEMA)
+
+
+def logged_answers(spark: SparkSession, log: str) -> DataFrame:
+    """The answers in a log, one per key; none where there is no log yet."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(log)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(
+        spark._jvm.org.apache.hadoop.fs.Path(place, "*.parquet")
+    )
+    if not found:
+        return spark.createDataFrame([], ANSWER_SCHEMA)
+    row = F.struct(*RUBRIC_FIELDS, "rationale")
+    answers = spark.read.schema(ANSWER_SCHEMA).parquet(log)
+    return answers.groupBy("cache_key").agg(F.min(row).alias("s")).select("cache_key", "s.*")
+
+
+def ask_and_log(content: DataFrame, scorer: Scorer, log: str, together: int = ASK_TOGETHER) -> DataFrame:
+    """Answers for ``content`` from the log; keys that it lacks are asked first.
+
+    About ``together`` keys make a task, and a task's answers are in the log for
+    good when it ends, whatever becomes of the others: should the run fail, the
+    next asks only what is left.  A key is part of the log's name space already:
+    it covers model, rubric and content.
+    """
+    spark = content.sparkSession
+    with scratch(spark):
+        asked = stored(content.join(logged_answers(spark, log), "cache_key", "left_anti"), "asked-content")
+        n = asked.count()
+        if n:
+            slices = asked.repartition(-(-n // together), "cache_key")
+            # Committed files of single tasks stay when the job fails.
+            score_content(slices, scorer).write.mode("append").option(
+                "mapreduce.fileoutputcommitter.algorithm.version", "2"
+            ).parquet(log)
+    return logged_answers(spark, log).join(content.select("cache_key"), "cache_key", "left_semi")
 
 
 def upsert_scores(cache: DataFrame, fresh: DataFrame) -> DataFrame:
@@ -164,22 +200,28 @@ def judge_table(
     seed: int = 42,
     cache: DataFrame | None = None,
     check: bool = True,
+    log: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(scores of this run, new cache)``; the scorer sees uncached content only, and once.
 
-    ``sample_size=None`` judges every example.  New scores are written to the
-    shared folder before either result is built from them: an external judge is
-    asked once per content, however often the results are read.  A missing,
-    repeated or unasked answer raises.
+    ``sample_size=None`` judges every example.  Answers go to ``log``, a folder
+    that outlives the run, task by task; a later run reads it before it asks (see
+    ``ask_and_log``).  Without one, the log goes with the session's scratch.
+    Either way answers are written before a result is built from them: an
+    external judge is asked once per content, however often the results are
+    read.  A missing, repeated or unasked answer raises.
     """
     if check:
         enforce(judging_checks(predictions, golden), "Judging input")
     if cache is None:
         text = [f"{c} int" if c in RUBRIC_FIELDS else f"{c} string" for c in SCORE_COLUMNS]
         cache = predictions.sparkSession.createDataFrame([], ", ".join(text))
+    spark = predictions.sparkSession
     content = stored(keyed_content(paired_sample(predictions, sample_size, seed), golden, model), "judged-content")
     known = usable_cache(cache, model)
-    fresh = stored(score_content(cache_misses(content, known), scorer), "fresh-scores")
+    with scratch(spark):
+        misses = stored(cache_misses(content, known), "cache-misses")
+        fresh = stored(ask_and_log(misses, scorer, log or scratch_folder(spark, "answers")), "fresh-scores", result=True)
     scores = known.unionByName(fresh)
     # Every key has a score: it was cached, or the scorer answered it.
     run = salted_join(content, scores, ["cache_key"], "inner", list(PAIR)).select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from replyloom.functions.text import is_blank, is_reviewed, normalize_for_matching
 from replyloom.operators.checks import require, require_columns
-from replyloom.session import stored
+from replyloom.session import scratch, stored
 
 # Hex digits of the rank by which one pass narrows the cut: 4,096 counters.
 PREFIX_STEP = 3
@@ -77,8 +77,8 @@ def sample_n(df: DataFrame, n: int | None, seed: int, id_col: str) -> DataFrame:
     if n < 1:
         return df.limit(0)
     rank = sample_rank(seed, id_col)
-    ranks = stored(df.select(rank.alias("_rank"), F.col(id_col).alias("_id")), "ranks")
-    cut = _cut(ranks, n)
+    with scratch(df.sparkSession):
+        cut = _cut(stored(df.select(rank.alias("_rank"), F.col(id_col).alias("_id")), "ranks"), n)
     if cut is None:
         return df
     last_rank, last_id = cut

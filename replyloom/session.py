@@ -78,6 +78,15 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             place.getFileSystem(conf).delete(place, True)
 
 
+def scratch_folder(spark: SparkSession, label: str, result: bool = False) -> str:
+    """A path that does not exist yet; it goes as ``stored`` says."""
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    depth = 2 if result else 1
+    if len(_SCOPES.open) >= depth:
+        _SCOPES.open[-depth].append(path)
+    return path
+
+
 def stored(df: DataFrame, label: str, result: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder once and read it from there ever after.
 
@@ -85,10 +94,7 @@ def stored(df: DataFrame, label: str, result: bool = False) -> DataFrame:
     produced them runs exactly once.  The table goes with the ``scratch`` block
     it is written in, a ``result`` with the block around that.
     """
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    depth = 2 if result else 1
-    if len(_SCOPES.open) >= depth:
-        _SCOPES.open[-depth].append(path)
+    path = scratch_folder(df.sparkSession, label, result)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -1,6 +1,9 @@
 import math
+import os
 import sys
+import time
 from collections import Counter
+from pathlib import Path
 
 import pandas as pd
 import pytest
@@ -226,6 +229,43 @@ def test_the_scorer_is_asked_once_per_content(spark, tmp_path):
         assert sorted(seen.read().split()) == sorted(keys)
 
 
+def test_a_failed_run_keeps_its_answers(spark, tmp_path, monkeypatch):
+    """The judge breaks down half way; the next run asks only what is not in the log."""
+    monkeypatch.setattr(judging.ask_and_log, "__defaults__", (1,))
+    asked, broken, log = str(tmp_path / "asked"), str(tmp_path / "broken"), str(tmp_path / "log")
+    Path(broken).touch()
+
+    def breaking(batch):
+        # The drafts of one example are slow and fail while the judge is broken.
+        if os.path.exists(broken) and (batch["draft_reply"].str.len() == 9).any():
+            time.sleep(6)
+            raise RuntimeError("the judge is gone")
+        with open(asked, "a") as out:
+            out.writelines(f"{key}\n" for key in batch["cache_key"])
+        return scorer(batch)
+
+    rows = [
+        (f"e{i}", system, "x" * (5 + i) + ("" if i == 4 else "y" * 9), '{"intent": "a", "evidence": []}')
+        for i in range(10)
+        for system in ("main", "trivial", "keyword")
+    ]
+    predictions = spark.createDataFrame(rows, "example_id string, system string, draft_reply string, prediction_json string")
+    gold = spark.createDataFrame([(f"e{i}", f"text {i}") for i in range(10)], "example_id string, text string")
+    with pytest.raises(Exception, match="the judge is gone"):
+        judging.judge_table(predictions, gold, breaking, "m", None, log=log)
+    first = open(asked).read().split()
+    kept = {r["cache_key"] for r in judging.logged_answers(spark, log).collect()}
+    assert kept and kept <= set(first)
+    os.remove(broken)
+    run, cache = judging.judge_table(predictions, gold, breaking, "m", None, log=log)
+    assert run.count() == 30 and cache.count() == 30
+    again = open(asked).read().split()[len(first) :]
+    keys = {r["cache_key"] for r in run.collect()}
+    assert set(again) == keys - kept and len(again) == len(set(again)) == len(keys) - len(kept)
+    third, _ = judging.judge_table(predictions, gold, failing, "m", None, log=log)
+    assert sorted(map(str, third.collect())) == sorted(map(str, run.collect()))
+
+
 def test_no_predictions_are_an_error(spark):
     with pytest.raises(ValueError, match="no predictions"):
         judging.judge_table(drafts(spark).limit(0), golden(spark), scorer, "m", 3)

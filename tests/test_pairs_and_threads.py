@@ -50,6 +50,34 @@ def test_depth_limit_inside_a_loop(spark):
     assert roots(spark, parents, max_depth=5) == {i: walk(i, parents, 5) for i in parents}
 
 
+def test_loops_with_a_hot_parent_are_salted(spark):
+    parents = {0: 1, 1: 2, 2: 0, 3: 2, **{10 + i: 3 for i in range(12)}}
+    assert roots(spark, parents, rows_per_task=4, max_depth=6) == {i: walk(i, parents, 6) for i in parents}
+
+
+def test_loops_of_all_sizes_and_tails_into_them(spark):
+    parents, begin = {}, 0
+    for length in (1, 2, 3, 60, 99, 100, 101, 127, 128, 129, 300):
+        parents.update({begin + i: begin + (i + 1) % length for i in range(length)})
+        tail = 10_000_000 + begin * 1_000
+        # A chain of 130 into the loop, and 60 messages on one of its members: a hot parent.
+        parents.update({tail + i: tail + i - 1 if i else begin + length // 2 for i in range(130)})
+        parents.update({tail + 500 + i: tail + 3 for i in range(60)})
+        begin += length
+    assert roots(spark, parents) == {i: walk(i, parents) for i in parents}
+
+
+def test_a_loop_of_ten_thousand(spark, monkeypatch):
+    parents = {i: (i + 1) % 10_000 for i in range(10_000)}
+    parents.update({20_000 + i: i * 7 for i in range(500)})
+    cuts, cut = [], threads.cut_lineage
+    monkeypatch.setattr(threads, "cut_lineage", lambda df: cuts.append(1) or cut(df))
+    assert roots(spark, parents) == {i: walk(i, parents) for i in parents}
+    assert len(cuts) < 60  # rounds grow with the logarithm of the loop and of the depth
+    deep = roots(spark, parents, max_depth=20_000)
+    assert all(deep[i] == i for i in range(10_000)) and all(deep[20_000 + i] == i * 7 for i in range(500))
+
+
 def message(id_, author, inbound, at, text, parent):
     return (id_, author, inbound, at, text, None, parent)
 

@@ -2,6 +2,7 @@ import math
 import random
 import re
 from collections import Counter
+from datetime import datetime, timedelta
 from pathlib import Path
 
 import numpy as np
@@ -13,6 +14,7 @@ from replyloom.config import Policy, TriageConfig
 from replyloom.operators import blocks, model, responses, retrieval, tfidf
 from replyloom.session import scratch, shared_folder
 from replyloom.sources import artifacts
+from replyloom.streaming import triage_stream as triage_module
 from replyloom.streaming.triage_stream import triage_stream
 
 CASES = [
@@ -395,6 +397,56 @@ def test_triage_batch_and_stream_agree(spark, fitted, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out/rejected")).count() == 2
 
 
+def _tables(spark):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    return {p.name for p in folder.iterdir() if p.is_dir() and len(p.name.rsplit("-", 1)[-1]) == 32}
+
+
+def test_a_repeated_message_is_answered_once_and_a_failed_batch_again(spark, fitted, tmp_path, monkeypatch):
+    index = retrieval.build_retrieval_corpus(pairs(spark))
+    schema = "message_id string, text string, at timestamp"
+    noon = datetime(2024, 5, 1, 12)
+
+    def arrive(name, rows):
+        batch = spark.createDataFrame([(i, t, noon + timedelta(minutes=m)) for i, t, m in rows], schema)
+        batch.coalesce(1).write.parquet(str(tmp_path / "in" / name))
+
+    def run():
+        source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "*"))
+        writer = triage_stream(source, fitted, index, str(tmp_path / "out"), str(tmp_path / "cp"), CONFIG, "at", "10 minutes")
+        writer.trigger(availableNow=True).start().awaitTermination()
+
+    before, calls, whole = _tables(spark), [], triage_module.triage
+
+    def breaking(*args):
+        calls.append(1)
+        answers = whole(*args)
+        if len(calls) == 2:
+            raise RuntimeError("lost in batch 1")
+        return answers
+
+    monkeypatch.setattr(triage_module, "triage", breaking)
+    arrive("a", [("1", "my music stops", 0), ("1", "my music stops", 1), ("2", "fraud on my invoice", 2)])
+    run()
+    arrive("b", [("2", "fraud on my invoice", 3), ("3", "screen stays black", 4), ("4", "@x 123456", 4)])
+    with pytest.raises(Exception, match="lost in batch 1"):
+        run()
+    assert _tables(spark) == before  # a failed batch leaves nothing either
+    run()
+    rows = spark.read.parquet(str(tmp_path / "out/responses")).collect()
+    assert sorted(r["message_id"] for r in rows) == ["1", "2", "3"]
+    refused = spark.read.parquet(str(tmp_path / "out/rejected")).collect()
+    assert [r["message_id"] for r in refused] == ["4"]
+    # Far behind the watermark's reach the same id is a new message.
+    arrive("c", [("9", "sign in", 60)])
+    run()
+    arrive("d", [("1", "my music stops", 61)])
+    run()
+    rows = spark.read.parquet(str(tmp_path / "out/responses")).collect()
+    assert sorted(r["message_id"] for r in rows) == ["1", "1", "2", "3", "9"]
+    assert _tables(spark) == before
+
+
 def test_repeated_messages_and_selections_raise(spark, fitted):
     index = retrieval.build_retrieval_corpus(pairs(spark))
     twice = messages(spark, [("1", "my song stops"), ("1", "again")])
