@@ -124,6 +124,19 @@ def benchmark_messages(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "benchmark").select(F.col("item_id").alias("message_id"), "text")
 
 
+def customer_turns(spark: SparkSession, sf: str) -> DataFrame:
+    return messages(spark, sf).filter("inbound").select(F.col("tweet_id").alias("message_id"), "text")
+
+
+def document_messages(spark: SparkSession, sf: str) -> DataFrame:
+    return documents(spark, sf).select(F.col("doc_id").alias("message_id"), "text")
+
+
+def asking_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The stated query set: every document whose id is divisible by 50."""
+    return document_messages(spark, sf).filter(F.pmod("message_id", F.lit(50)) == 0)
+
+
 def document_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Documents in the layout of message/reply pairs, ten neighbours to a thread."""
     return documents(spark, sf).select(

@@ -319,6 +319,9 @@ def weights_cte(name: str, counts: str, ident: str) -> str:
 
 
 ASKED = f"asked AS (SELECT item_id AS message_id, {matching('text')} AS x FROM benchmark)"
+ASKED_TURNS = f"asked AS (SELECT tweet_id AS message_id, {matching('text')} AS x FROM msgs WHERE inbound)"
+ASKED_DOCUMENTS = f"asked AS (SELECT doc_id AS message_id, {matching('text')} AS x FROM documents)"
+ASKED_FIFTIETH = f"asked AS (SELECT doc_id AS message_id, {matching('text')} AS x FROM documents WHERE doc_id % 50 = 0)"
 TURNS = f"""turns AS (SELECT tweet_id, {matching('text')} AS x FROM msgs WHERE inbound)"""
 PAIR_CASES = "(SELECT customer_tweet_id, customer_tweet_id // 1000 * 1000 AS thread_id, customer_text, brand_reply FROM pairs0)"
 
@@ -731,7 +734,7 @@ SELECT space, term, df, round(idf, 9) AS idf FROM vocabulary"""
     sql["tfidf_fit_documents"] = f"""WITH texts AS {normalized_docs}, counts AS ({term_rows('texts', 'doc_id')}),
 {vocabulary_cte('counts', 'texts', 2, 0.98)}
 SELECT space, substr(term, 1, 1) AS first, count(*) AS terms, sum(df)::BIGINT AS df, round(sum(idf), 4) AS idf FROM vocabulary GROUP BY ALL"""
-    sql["tfidf_transform"] = f"""WITH {turn_counts}, {model_vocabulary}, {ASKED},
+    sql["tfidf_transform"] = f"""WITH {turn_counts}, {model_vocabulary}, {ASKED_TURNS},
 asked_counts AS ({term_rows('asked', 'message_id')}), {weights_cte('asked_weights', 'asked_counts', 'message_id')}
 SELECT message_id, space, term, round(weight, 7) AS weight FROM asked_weights"""
     sql["build_retrieval_corpus"] = f"""WITH {LABELLED}, {HELD_OUT}, {DOC_PAIRS}, {kept},
@@ -741,14 +744,14 @@ usable AS (SELECT * FROM (
 SELECT customer_tweet_id, thread_id::VARCHAR AS thread_id, {guidance('x')} AS safe_guidance
 FROM (SELECT *, {sanitized('customer_text')} AS x FROM usable)"""
     sql["hybrid_retrieve"] = f"WITH {MESSAGES}, {pairs_cte()}, {cases_cte()}, {ASKED}, {ranked_cte()} {FOUND}"
-    sql["hybrid_retrieve_documents"] = f"WITH {DOC_PAIRS}, {cases_cte('doc_pairs')}, {ASKED}, {ranked_cte()} {FOUND}"
+    sql["hybrid_retrieve_documents"] = f"WITH {DOC_PAIRS}, {cases_cte('doc_pairs')}, {ASKED_FIFTIETH}, {ranked_cte()} {FOUND}"
     sql["save_load_index"] = f"""WITH {MESSAGES}, {pairs_cte()}, {cases_cte()}
 SELECT space, count(*) AS n, count(DISTINCT customer_tweet_id) AS cases, count(DISTINCT term) AS terms, round(sum(weight), 4) AS weight
 FROM case_weights GROUP BY space"""
-    sql["respond"] = f"""WITH {MESSAGES}, {pairs_cte()}, {cases_cte()}, {ASKED}, {ranked_cte()},
+    sql["respond"] = f"""WITH {MESSAGES}, {pairs_cte()}, {cases_cte()}, {ASKED_TURNS}, {ranked_cte()},
 scored AS (
   SELECT *, {rule_case('text', 'intent')} AS intent, (length(text) % 100) / 100.0::DOUBLE AS p, (length(text) % 37) / 100.0::DOUBLE AS q
-  FROM (SELECT item_id AS message_id, {normalized('text')} AS text FROM benchmark WHERE {matching('text')} <> '' AND length(text) <= {MESSAGE_MAX_CHARS})),
+  FROM (SELECT tweet_id AS message_id, {normalized('text')} AS text FROM msgs WHERE inbound AND {matching('text')} <> '' AND length(text) <= {MESSAGE_MAX_CHARS})),
 {answers_cte()}
 SELECT message_id, intent, confidence, decision, reason, risks, draft_reply, rag_mode, cases_found FROM answers"""
     sql["train_intent_model"] = f"""WITH {MESSAGES}, {pairs_cte()},
@@ -758,7 +761,7 @@ texts AS (SELECT * FROM (
   ORDER BY md5('42:' || customer_tweet_id), customer_tweet_id LIMIT 12000)
 SELECT DISTINCT {rule_case('customer_text', 'intent')} AS intent, (SELECT count(*) FROM texts) AS training_examples,
   true AS at_optimum, true AS loads_alike, 'weak_provisional' AS label_source FROM texts"""
-    sql["predict_intent"] = f"""WITH {MESSAGES}, {TURNS}, {ASKED}, asked_counts AS ({term_rows('asked', 'message_id')}), {predicted_cte()}
+    sql["predict_intent"] = f"""WITH {MESSAGES}, {TURNS}, {ASKED_DOCUMENTS}, asked_counts AS ({term_rows('asked', 'message_id')}), {predicted_cte()}
 SELECT message_id, intent, round(p, 9) AS confidence, round(q, 9) AS second_confidence FROM predicted"""
     sql["triage"] = f"WITH {triage_cte()} SELECT * FROM everything"
     sql["triage_stream"] = f"WITH {triage_cte()} SELECT message_id, intent, decision, reason, rag_mode FROM everything"

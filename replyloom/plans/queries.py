@@ -705,8 +705,9 @@ def tfidf_fit_documents(spark, sf):
 
 @query("tfidf_transform")
 def tfidf_transform(spark, sf):
+    """The weights of all customer turns; terms of one turn alone are unknown to the vocabulary."""
     vocabulary = _vocabulary(_turns(spark, sf), "tweet_id")
-    asked = inputs.benchmark_messages(spark, sf).select(
+    asked = inputs.customer_turns(spark, sf).select(
         "message_id", text.normalize_for_matching("text").alias("normalized")
     )
     weights = tfidf.weigh(tfidf.term_counts(asked, "message_id", "normalized"), vocabulary, "message_id")
@@ -741,16 +742,16 @@ def hybrid_retrieve(spark, sf):
 
 @query("hybrid_retrieve_documents")
 def hybrid_retrieve_documents(spark, sf):
-    """Every document is a case; benchmark passages occur in some of them."""
+    """Every document is a case; those whose id is divisible by 50 ask."""
     index = retrieval.build_retrieval_corpus(inputs.document_pairs(spark, sf))
-    return _found(retrieval.hybrid_retrieve(inputs.benchmark_messages(spark, sf), index, 3))
+    return _found(retrieval.hybrid_retrieve(inputs.asking_documents(spark, sf), index, 3))
 
 
 @query("respond")
 def respond(spark, sf):
-    """Gates, evidence and drafts with rule labels in place of the classifier."""
+    """Gates, evidence and drafts of all customer turns, with rule labels in place of the classifier."""
     index = retrieval.build_retrieval_corpus(_direct_pairs(spark, sf), DESK_CONFIG)
-    accepted, _ = text.validate_message(inputs.benchmark_messages(spark, sf))
+    accepted, _ = text.validate_message(inputs.customer_turns(spark, sf))
     cleaned = accepted.withColumn("text", text.normalize_text("text"))
     scored = cleaned.select(
         "message_id",
@@ -854,7 +855,8 @@ def train_intent_model(spark, sf):
 
 @query("predict_intent")
 def predict_intent(spark, sf):
-    found = model.predict_intent(_formula_model(spark, sf), inputs.benchmark_messages(spark, sf))
+    """Classes of all documents."""
+    found = model.predict_intent(_formula_model(spark, sf), inputs.document_messages(spark, sf))
     return _rounded(found.drop("text"), ["confidence", "second_confidence"])
 
 
