@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from replyloom.functions.text import WORD
+from replyloom.session import stored
 
 WORD_TOKEN = rf"[{WORD}]{{2,}}"
 CHAR_NGRAMS = (3, 5)
+# Terms that the last pass may bring to the driver to find the cut among them.
+LAST_TERMS = 5_000
 
 
 @dataclass(frozen=True)
@@ -106,6 +109,63 @@ def smooth_idf(df: Column, n_docs: int) -> Column:
     return F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + df)) + 1.0
 
 
+def _count_cut(stats: DataFrame, m: int) -> tuple[int, int] | None:
+    """``(count, left)``: the count of the m-th term, and how many with just that count belong; None takes all.
+
+    Each pass counts terms in 4,096 equal steps of the range that still holds
+    the cut, so the driver sees that many numbers at most.
+    """
+    low, high = 0, int(stats.agg(F.coalesce(F.max("tf"), F.lit(0))).first()[0]) + 1
+    if stats.count() <= m:
+        return None
+    left = m
+    while high - low > 1:
+        step = -(-(high - low) // 4096)
+        slot = F.floor((F.col("tf") - low) / step)
+        rows = stats.filter((F.col("tf") >= low) & (F.col("tf") < high)).groupBy(slot.alias("slot"))
+        for row in sorted(rows.agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
+            if row["n"] >= left:
+                break
+            left -= row["n"]
+        low, high = low + int(row["slot"]) * step, min(high, low + (int(row["slot"]) + 1) * step)
+    return low, left
+
+
+def _term_cut(terms: DataFrame, n: int) -> str:
+    """The n-th of distinct terms in byte order, by counting under ever longer beginnings."""
+
+    def head(digits: int) -> Column:
+        # Bytes as hex digits order like the term; a shorter term is filled up below all others.
+        return F.rpad(F.substring(F.hex(F.encode("term", "UTF-8")), 1, digits), digits, "0")
+
+    prefix, left = "", n
+    longest = 2 * int(terms.agg(F.max(F.octet_length("term"))).first()[0])
+    while True:
+        inside = terms.filter(head(len(prefix)) == prefix) if prefix else terms
+        sizes = sorted(tuple(r) for r in inside.groupBy(head(len(prefix) + 3).alias("h")).agg(F.count(F.lit(1))).collect())
+        for prefix, size in sizes:  # noqa: B007 - goes on with the group it stops at
+            if size >= left:
+                break
+            left -= size
+        if size <= LAST_TERMS or len(prefix) > longest:
+            return inside.filter(head(len(prefix)) == prefix).orderBy("term").limit(left).collect()[-1]["term"]
+
+
+def top_terms(stats: DataFrame, m: int) -> DataFrame:
+    """The ``m`` rows of ``stats(space, term, df, tf)`` with the most occurrences, then in byte order.
+
+    ``stats`` is of one space and stored: it is read a few times.  Rows pass a
+    filter; they are never sorted, and never brought together in one task.
+    """
+    cut = _count_cut(stats, m)
+    if cut is None:
+        return stats
+    count, left = cut
+    tied = stats.filter(F.col("tf") == count)
+    last = _term_cut(tied, left)
+    return stats.filter((F.col("tf") > count) | ((F.col("tf") == count) & (F.col("term") <= F.lit(last))))
+
+
 def fit_vocabulary(counts: DataFrame, n_docs: int, specs: dict[str, SpaceSpec]) -> Vocabulary:
     """The terms of each space within its document-frequency limits.
 
@@ -121,7 +181,7 @@ def fit_vocabulary(counts: DataFrame, n_docs: int, specs: dict[str, SpaceSpec])
             .filter((F.col("df") >= spec.min_df) & (F.col("df") <= spec.max_df * n_docs))
         )
         if spec.max_features is not None:
-            stats = stats.orderBy(F.desc("tf"), "term").limit(spec.max_features)
+            stats = top_terms(stored(stats, "term-stats"), spec.max_features)
         chosen = stats if chosen is None else chosen.unionByName(stats)
     terms = chosen.select("space", "term", "df", smooth_idf(F.col("df"), n_docs).alias("idf"))
     return Vocabulary(terms, n_docs)

@@ -472,6 +472,11 @@ SELECT count(*) AS row_count,
        md5(concat_ws('-', count(*)::VARCHAR, {', '.join(part(s) for s in (1, 9, 17, 25))})) AS digest
 FROM (SELECT md5({digest_parts}) AS h FROM documents)"""
 
+    sql["changed_ranges"] = """
+WITH three AS (SELECT doc_id FROM documents ORDER BY md5(doc_id::VARCHAR), doc_id LIMIT 3),
+hit AS (SELECT DISTINCT doc_id // 16 AS node FROM three)
+SELECT node * 16 AS first_key, node * 16 + 15 AS last_key, count(*) AS rows_before, count(*) AS rows_after
+FROM hit JOIN documents d ON d.doc_id // 16 = node GROUP BY node"""
     sql["normalize_text"] = doc(normalized("text"), "cleaned")
     sql["sanitize_reply"] = doc(sanitized("text"), "reply")
     sql["normalize_for_matching"] = doc(matching("text"), "matching")
@@ -734,6 +739,11 @@ SELECT space, term, df, round(idf, 9) AS idf FROM vocabulary"""
     sql["tfidf_fit_documents"] = f"""WITH texts AS {normalized_docs}, counts AS ({term_rows('texts', 'doc_id')}),
 {vocabulary_cte('counts', 'texts', 2, 0.98)}
 SELECT space, substr(term, 1, 1) AS first, count(*) AS terms, sum(df)::BIGINT AS df, round(sum(idf), 4) AS idf FROM vocabulary GROUP BY ALL"""
+    sql["tfidf_fit_top"] = f"""WITH texts AS {normalized_docs}, counts AS ({term_rows('texts', 'doc_id')}),
+stats AS (SELECT space, term, count(*) AS df, sum(n) AS tf FROM counts GROUP BY space, term)
+SELECT space, term, df, round(ln((1.0 + docs) / (1.0 + df)) + 1.0, 9) AS idf
+FROM (SELECT *, row_number() OVER (PARTITION BY space ORDER BY tf DESC, term) AS rn FROM stats), (SELECT count(*) AS docs FROM texts)
+WHERE rn <= 1000"""
     sql["tfidf_transform"] = f"""WITH {turn_counts}, {model_vocabulary}, {ASKED_TURNS},
 asked_counts AS ({term_rows('asked', 'message_id')}), {weights_cte('asked_weights', 'asked_counts', 'message_id')}
 SELECT message_id, space, term, round(weight, 7) AS weight FROM asked_weights"""

@@ -14,6 +14,7 @@ from replyloom.config import Policy, TriageConfig
 from replyloom.functions import rules, text, values
 from replyloom.operators import (
     checks,
+    digests,
     evaluation,
     heldout,
     judging,
@@ -129,6 +130,17 @@ def fingerprint(spark, sf):
     return values.fingerprint(_documents(spark, sf), ["doc_id", "text", "lang", "source", "n_chars"])
 
 
+@query("changed_ranges")
+def changed_ranges(spark, sf):
+    """Three documents are edited; the trees name the ranges of ids they lie in."""
+    docs = _documents(spark, sf).select("doc_id", "text", "lang", "source", "n_chars")
+    three = docs.select("doc_id").orderBy(F.md5(F.col("doc_id").cast("string").cast("binary")), "doc_id").limit(3)
+    edited = docs.join(F.broadcast(three.withColumn("_edit", F.lit(True))), "doc_id", "left")
+    after = edited.withColumn("text", F.when(F.col("_edit"), F.concat(F.coalesce("text", F.lit("")), F.lit(" edited"))).otherwise(F.col("text")))
+    trees = [stored(digests.digest_tree(d, "doc_id", docs.columns, 16, 8), "digest-tree") for d in (docs, after.drop("_edit"))]
+    return digests.changed_ranges(*trees, 16, 8)
+
+
 # -- text --------------------------------------------------------------------
 
 
@@ -693,6 +705,16 @@ def tfidf_fit(spark, sf):
     return terms.select("space", "term", "df", F.round("idf", 9).alias("idf"))
 
 
+@query("tfidf_fit_top")
+def tfidf_fit_top(spark, sf):
+    """The most frequent terms of all whole documents; the cuts fall among terms of equal counts."""
+    docs = _documents(spark, sf).select("doc_id", text.normalize_for_matching("text").alias("normalized"))
+    counts = stored(tfidf.term_counts(docs, "doc_id", "normalized"), "terms")
+    spec = tfidf.SpaceSpec(max_features=1_000)
+    terms = tfidf.fit_vocabulary(counts, docs.count(), {"word": spec, "char": spec}).terms
+    return terms.select("space", "term", "df", F.round("idf", 9).alias("idf"))
+
+
 @query("tfidf_fit_documents")
 def tfidf_fit_documents(spark, sf):
     """The vocabulary of all whole documents, summed up per space and first character."""
