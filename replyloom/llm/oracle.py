@@ -165,22 +165,64 @@ FROM r
 """
 
 
+_UPPER_TO_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _sql_path(url: str) -> str:
+    return rf"regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+
+
+def _sql_origin(url: str) -> str:
+    return f"regexp_extract({url}, '(?s)^.*?://[^/?#]*')"
+
+
+def _sql_without_dots(path: str) -> str:
+    """A fold over one-element lists; the first, empty, segment stays as the root."""
+    left = f"""list_reduce(list_transform(string_split({path}, '/'), lambda s: [s]), lambda a, s:
+      CASE WHEN s[1] = '..' THEN a[:greatest(len(a) - 1, 1)] WHEN s[1] = '.' THEN a ELSE list_concat(a, s) END)"""
+    folder = f"list_contains(['.', '..'], string_split({path}, '/')[-1])"
+    return rf"""CASE WHEN NOT regexp_matches({path}, '/\.\.?(/|$)') THEN {path}
+      ELSE '/' || array_to_string(({left})[2:], '/') || CASE WHEN {folder} AND len({left}) > 1 THEN '/' ELSE '' END END"""
+
+
+def _sql_link_key(url: str) -> str:
+    query = rf"regexp_extract({url}, '(?s)^.*?://[^/?#]*[^?#]*(\?[^#]*)', 1)"
+    return f"""CASE WHEN {_sql_origin(url)} = '' THEN {url}
+      ELSE translate({_sql_origin(url)}, {_UPPER_TO_LOWER}) || ({_sql_without_dots(_sql_path(url))}) || {query} END"""
+
+
+def _sql_decoded(value: str) -> str:
+    reference = "&(?:amp|lt|gt|quot|apos|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
+    code = "CASE WHEN r[3] IN ('x', 'X') THEN ('0x' || r[4:-2])::INT ELSE r[3:-2]::INT END"
+    character = f"""CASE r WHEN '&amp;' THEN '&' WHEN '&lt;' THEN '<' WHEN '&gt;' THEN '>' WHEN '&quot;' THEN '"' WHEN '&apos;' THEN chr(39)
+      ELSE CASE WHEN {code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111 THEN chr({code}) ELSE chr(65533) END END"""
+    return f"""array_to_string(list_transform(list_zip(regexp_split_to_array({value}, '{reference}'),
+      list_append(list_transform(regexp_extract_all({value}, '{reference}'), lambda r: {character}), '')), lambda p: p[1] || p[2]), '')"""
+
+
 def _op6() -> str:
     rules = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in RULES)
+    path = _sql_path("url")
     return rf"""
 WITH RECURSIVE rules(verdict, host, path) AS (VALUES {rules}),
 tags AS (
   SELECT url, unnest(list_concat(
-    list_transform(list_filter(regexp_extract_all(html, '<[Ll][Ii][Nn][Kk][^>]*>'), lambda t: regexp_matches(t, '(?i)rel\s*=\s*["'']?canonical')),
-      lambda t: regexp_extract(t, '(?i)href\s*=\s*["'']?([^"''\s>]+)', 1)),
-    list_transform(list_filter(regexp_extract_all(html, '<[Mm][Ee][Tt][Aa][^>]*>'), lambda t: regexp_matches(t, '(?i)http-equiv\s*=\s*["'']?refresh')),
-      lambda t: regexp_extract(t, '(?i)url\s*=\s*["'']?([^"''\s>]+)', 1)))) AS t
+    list_transform(list_filter(regexp_extract_all(html, '<[Ll][Ii][Nn][Kk]\b[^>]*>'), lambda t: regexp_matches(t, '(?i)\brel\s*=\s*["'']?canonical\b')),
+      lambda t: regexp_extract(t, '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)),
+    list_transform(list_filter(regexp_extract_all(html, '<[Mm][Ee][Tt][Aa]\b[^>]*>'), lambda t: regexp_matches(t, '(?i)\bhttp-equiv\s*=\s*["'']?refresh\b')),
+      lambda t: regexp_extract(t, '(?i)url\s*=\s*["'']?([^"''\s>]+)', 1)))) AS raw
   FROM pages WHERE contains(url, '://')),
-links AS (
-  SELECT DISTINCT url, target FROM (
-    SELECT url, CASE WHEN contains(t, '://') THEN t WHEN starts_with(t, '//') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || t
-                     WHEN starts_with(t, '/') THEN regexp_extract(url, '(?s)^.*?://[^/?#]*') || t END AS target FROM tags)
-  WHERE target IS NOT NULL AND target <> url),
+decoded AS (SELECT url, {_sql_decoded("raw")} AS t FROM tags),
+completed AS (
+  SELECT url, CASE WHEN t = '' OR starts_with(t, '#') THEN NULL
+    WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t
+    WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+    WHEN starts_with(t, '//') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || t
+    WHEN starts_with(t, '/') THEN {_sql_origin("url")} || t
+    WHEN starts_with(t, '?') THEN {_sql_origin("url")} || {path} || t
+    ELSE {_sql_origin("url")} || regexp_replace(CASE WHEN {path} = '' THEN '/' ELSE {path} END, '[^/]*$', '') || t END AS target FROM decoded),
+ends AS (SELECT {_sql_link_key("url")} AS url, {_sql_link_key("target")} AS target FROM completed WHERE target IS NOT NULL),
+links AS (SELECT DISTINCT url, target FROM ends WHERE target <> url),
 both_ways AS (SELECT url AS a, target AS b FROM links UNION SELECT target, url FROM links),
 reach(a, b) AS (SELECT a, a FROM both_ways UNION SELECT r.a, w.b FROM reach r JOIN both_ways w ON r.b = w.a),
 urls AS (SELECT url FROM pages WHERE url IS NOT NULL UNION SELECT a FROM both_ways),
@@ -192,7 +234,10 @@ hits AS (
   SELECT url, r.host || r.path AS rule, r.verdict
   FROM parts p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
   QUALIFY row_number() OVER (PARTITION BY url ORDER BY length(r.host || r.path) DESC, r.verdict, r.host || r.path DESC) = 1),
-classes AS (SELECT a AS url, min(verdict) AS class_verdict FROM reach JOIN hits ON hits.url = reach.b GROUP BY a)
+spelled AS (SELECT url, {_sql_link_key("url")} AS node FROM urls),
+judged AS (SELECT node, verdict FROM hits JOIN spelled USING (url)),
+spread AS (SELECT a AS node, min(verdict) AS class_verdict FROM reach JOIN judged ON judged.node = reach.b GROUP BY a),
+classes AS (SELECT url, class_verdict FROM spelled JOIN spread USING (node))
 SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(verdict, class_verdict, 'allow') AS verdict
 FROM pages LEFT JOIN parts USING (url) LEFT JOIN hits USING (url) LEFT JOIN classes USING (url)
 """

@@ -41,6 +41,11 @@ _HREF = r"""\b[Hh][Rr][Ee][Ff]\s*=\s*["']?([^"'\s>]+)"""
 _REFRESH = r"""<[Mm][Ee][Tt][Aa]\b[^>]*>"""
 _IS_REFRESH = r"""\b[Hh][Tt][Tt][Pp]-[Ee][Qq][Uu][Ii][Vv]\s*=\s*["']?[Rr][Ee][Ff][Rr][Ee][Ss][Hh]\b"""
 _TARGET = r"""[Uu][Rr][Ll]\s*=\s*["']?([^"'\s>]+)"""
+_ORIGIN = r"(?s)^.*?://[^/?#]*"
+_DOTS = r"/\.\.?(/|$)"
+#: The character references that XML names.
+_NAMED = {"&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'"}
+_REFERENCE = "&(?:amp|lt|gt|quot|apos|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
 
 
 def url_host(url: Column) -> Column:
@@ -54,12 +59,78 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def link_key(url: Column) -> Column:
+    """One spelling for URLs that name the same page.
+
+    Scheme and host are lower-cased (A-Z), a fragment is cut, ``.`` and ``..``
+    in the path are resolved.  Anything without ``://`` stays as it is.
+    """
+    head = F.regexp_extract(url, _ORIGIN, 0)
+    path = url_path(url)
+    query = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*[^?#]*(\?[^#]*)", 1)
+    plain = F.concat(F.translate(head, _ASCII_UPPER, _ASCII_LOWER), _without_dots(path), query)
+    return F.when(head == "", url).otherwise(plain)
+
+
+def _without_dots(path: Column) -> Column:
+    """A path whose ``.`` and ``..`` segments are carried out; ``..`` stops at the root."""
+
+    def walk(done: Column, part: Column) -> Column:
+        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(part == "..", up).when(part == ".", done).otherwise(F.concat(done, F.array(part)))
+
+    parts = F.split(path, "/", -1)
+    left = F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), F.array().cast("array<string>"), walk)
+    folder = F.element_at(parts, -1).isin(".", "..") & (F.size(left) > 0)
+    walked = F.concat(F.lit("/"), F.array_join(left, "/"), F.when(folder, "/").otherwise(""))
+    return F.when(path.rlike(_DOTS), walked).otherwise(path)
+
+
+def _decoded(value: Column) -> Column:
+    """HTML character references of any number, and the five that XML names, as characters."""
+    names = F.create_map(*[F.lit(x) for pair in _NAMED.items() for x in pair])
+
+    def character(reference: Column) -> Column:
+        hexed = F.conv(F.regexp_extract(reference, "^&#[xX](.*);$", 1), 16, 10)
+        code = F.when(reference.rlike("^&#[xX]"), hexed).otherwise(F.regexp_extract(reference, "^&#([0-9]+);$", 1))
+        code = F.try_to_number(code, F.lit("9999999")).cast("int")
+        real = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        written = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.coalesce(F.get(F.array(names[reference]), F.lit(0)), F.when(real, written), F.lit("\ufffd"))
+
+    found = F.transform(F.regexp_extract_all(value, F.lit(_REFERENCE), F.lit(0)), character)
+    between = F.split(value, _REFERENCE, -1)
+    pieces = F.zip_with(between, F.concat(found, F.array(F.lit(""))), lambda a, b: F.concat(a, b))
+    return F.when(value.contains("&"), F.array_join(pieces, "")).otherwise(value)
+
+
+def resolved(target: Column, base: Column) -> Column:
+    """The page that a link names, read from a page at ``base``, in the form of ``link_key``.
+
+    Null for links that name no other page: empty ones, mere fragments, and
+    schemes without ``//`` such as ``mailto:``.  Null too where ``base`` has no ``://``.
+    """
+    origin = F.regexp_extract(base, _ORIGIN, 0)
+    path = url_path(base)
+    folder = F.regexp_replace(F.when(path == "", "/").otherwise(path), "[^/]*$", "")
+    whole = (
+        F.when((origin == "") | (target == "") | target.startswith("#"), None)
+        .when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), None)
+        .when(target.startswith("//"), F.concat(F.regexp_extract(base, "(?s)^(.*?)://", 1), F.lit(":"), target))
+        .when(target.startswith("/"), F.concat(origin, target))
+        .when(target.startswith("?"), F.concat(origin, path, target))
+        .otherwise(F.concat(origin, folder, target))
+    )
+    return link_key(whole)
+
+
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(url, target) of canonical links and refresh redirects in the pages.
+    """(url, target) of canonical links and refresh redirects in the pages, both as ``link_key`` spells them.
 
-    A target that begins with ``//`` or ``/`` is completed from the page's URL;
-    other targets without ``://`` name no page and are left out, as are
-    links of pages with a null URL.
+    Character references are decoded and relative targets resolved against the
+    page's URL (``resolved``; a ``<base>`` tag is not read).  Links of a page to
+    itself and links of pages with a null URL, or one without ``://``, are left out.
     """
     page, here = F.col(html), F.col(url)
 
@@ -68,21 +139,14 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
         return F.transform(tags, lambda t: F.regexp_extract(t, value, 1))
 
     found = F.concat(targets(_CANONICAL, _IS_CANONICAL, _HREF), targets(_REFRESH, _IS_REFRESH, _TARGET))
-    scheme = F.regexp_extract(here, r"(?s)^(.*?)://", 1)
-    origin = F.regexp_extract(here, r"(?s)^.*?://[^/?#]*", 0)
-    target = (
-        F.when(F.col("t").contains("://"), F.col("t"))
-        .when(F.col("t").startswith("//"), F.concat(scheme, F.lit(":"), F.col("t")))
-        .when(F.col("t").startswith("/"), F.concat(origin, F.col("t")))
-    )
     # Most pages have neither mark: a plain search is cheaper than cutting out their tags.
     might = page.rlike("[Cc][Aa][Nn][Oo][Nn][Ii][Cc][Aa][Ll]|[Rr][Ee][Ff][Rr][Ee][Ss][Hh]") & here.isNotNull()
     return (
         pages.filter(might)
-        .select(here.alias("url"), F.explode(found).alias("t"))
-        .select("url", target.alias("target"), scheme.alias("scheme"))
-        .filter("target is not null and target <> url and scheme <> ''")
-        .select("url", "target")
+        .select(here.alias("here"), F.explode(found).alias("t"))
+        .select("here", _decoded(F.col("t")).alias("t"))
+        .select(link_key(F.col("here")).alias("url"), resolved(F.col("t"), F.col("here")).alias("target"))
+        .filter("target is not null and target <> url")
     )
 
 
@@ -114,7 +178,7 @@ def rule_hits(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def alias_classes(links: DataFrame) -> Stored:
-    """(url, class) for URLs that links join; URLs meet by their 64-bit digests."""
+    """(node, root) for URLs that links join; URLs meet by their 64-bit digests."""
     edges = links.select(F.xxhash64("url").alias("u"), F.xxhash64("target").alias("v"))
     return connected_components(edges, "url-classes")
 
@@ -130,13 +194,17 @@ def judge_urls(
     """One row per page: key, host, path, rule (or null), verdict.
 
     ``links`` (url, target) default to what the pages' html says; targets need
-    not be pages.  A URL with a rule gets its verdict.  Without one, it is
+    not be pages.  Pages and links meet by ``link_key``, so case of the host and
+    fragments do not keep a page from its aliases.  A URL with a rule gets its verdict.  Without one, it is
     allowed if a rule allows any of its aliases, else blocked if a rule blocks
     one, else allowed.  A null URL, or one without ``://``, has empty host and
     path and no rule, and no alias unless a link names it.  Repeated URLs and pages are judged alike; an
     empty table gives no rows; other columns are not carried.
     """
-    links = page_links(pages, url, html) if links is None else links.select("url", "target")
+    if links is None:
+        links = page_links(pages, url, html)
+    else:
+        links = links.select(link_key(F.col("url")).alias("url"), link_key(F.col("target")).alias("target"))
     links = store(links.filter("url is not null and target is not null").distinct(), "url-links")
     table = rules if isinstance(rules, DataFrame) else _rule_table(pages, rules)
     named = links.rows.select("url").unionByName(links.rows.select(F.col("target").alias("url")))
@@ -144,13 +212,13 @@ def judge_urls(
     hits = store(rule_hits(urls, table), "url-rules")
     classes = alias_classes(links.rows)
     verdicts = (
-        hits.rows.join(classes.rows, F.xxhash64(hits.rows["url"]) == classes.rows["node"])
+        hits.rows.join(classes.rows, F.xxhash64(link_key(hits.rows["url"])) == classes.rows["node"])
         .groupBy("root")
         .agg(F.min("verdict").alias("class_verdict"))  # "allow" sorts before "block"
     )
     spread = classes.rows.join(verdicts, "root").select("node", "class_verdict")
     links.drop()
-    pages = pages.select(F.col(key).alias("__key"), F.col(url).alias("__url"), F.xxhash64(url).alias("__node"))
+    pages = pages.select(F.col(key).alias("__key"), F.col(url).alias("__url"), F.xxhash64(link_key(F.col(url))).alias("__node"))
     return (
         pages.join(hits.rows, F.col("__url") == hits.rows["url"], "left")
         .join(spread, F.col("__node") == F.col("node"), "left")

@@ -136,15 +136,12 @@ def _filesystem(folder: str) -> tuple[pa.fs.FileSystem, str]:
 
 
 def _save(folder: str, name: str, raw: bytes) -> None:
-    """Write under another name, then move: a reader never sees half an archive."""
+    """Write under another name, then move: whatever bears an archive's name is whole."""
     files, root = _filesystem(folder)
-    draft = f"{root}/.{name}.{uuid.uuid4().hex}"
+    draft = f"{root}/.{name}.draft"
     with files.open_output_stream(draft, compression=None) as out:
         out.write(raw)
-    target = f"{root}/{name}"
-    if files.get_file_info(target).type != pa.fs.FileType.NotFound:
-        files.delete_file(target)  # left by an earlier attempt of the same task; some stores do not replace
-    files.move(draft, target)
+    files.move(draft, f"{root}/{name}")
 
 
 def _load(folder: str, name: str) -> bytes:
@@ -173,8 +170,11 @@ def write_archives(
     Of rows with equal payloads the one with the smallest key is a response, the
     others revisit it; rows that share both key and payload are all alike.  A
     null payload is empty; a row with a null key revisits too, but is revisited
-    only by none.  Names come from the task and a running number, and a task that
-    runs again writes the same archives over the old ones.  ``folder`` must be
+    only by none.  Names hold the task, a mark of its attempt and a running number: a
+    second attempt, whose rows may come in another order, touches no archive of
+    the first, and only the archives of the attempt that Spark accepts are
+    returned.  Those of other attempts stay in ``folder`` and are never read;
+    an empty table writes none.  ``folder`` must be
     reachable by every executor.  A task holds one archive, which closes at
     ``archive_bytes`` or with a single longer record.
     """
@@ -197,9 +197,10 @@ def write_archives(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, sizes, waiting, held, part = [], [], [], 0, None
+        attempt = uuid.uuid4().hex
 
         def close() -> None:
-            name = f"pages-{part:06d}-{len(names):05d}.warc.zst"
+            name = f"pages-{part:06d}-{attempt}-{len(names):05d}.warc.zst"
             _save(folder, name, archive(waiting))
             names.append(name)
             sizes.append(len(waiting))
@@ -226,8 +227,9 @@ def write_archives(
 def read_archives(archives: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
     """One row per record: page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload.
 
-    ``archives`` has a ``name`` column; archives are dealt out evenly.  Every
-    response is checked against its digest.  ``payload`` is null for revisits,
+    ``archives`` is what ``write_archives`` returned; archives are dealt out
+    evenly.  Every response is checked against its digest, and every archive
+    against its ``n_records``: one that holds more or fewer ends the job.  ``payload`` is null for revisits,
     and for all if ``payloads`` is off.
     """
     schema = pa.schema(
@@ -244,20 +246,23 @@ def read_archives(archives: DataFrame, folder: str, payloads: bool = True) -> Da
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name in batch.column("name").to_pylist():
-                rows, held = [], 0
+            for name, n_records in zip(batch.column("name").to_pylist(), batch.column("n_records").to_pylist()):
+                rows, held, n = [], 0, 0
                 for raw in records_of(_load(folder, name)):
                     row = parse_record(raw)
                     rows.append(row if payloads else row | {"payload": None})
                     held += len(raw)
+                    n += 1
                     if held >= 4 << 20:
                         yield pa.RecordBatch.from_pylist(rows, schema=schema)
                         rows, held = [], 0
+                if n != n_records:
+                    raise ValueError(f"{name} holds {n} records instead of {n_records}.")
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     wide = archives.sparkSession.sparkContext.defaultParallelism
-    names = archives.select("name").repartition(4 * wide)
+    names = archives.select("name", "n_records").repartition(4 * wide)
     return names.mapInArrow(
         load,
         "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary",

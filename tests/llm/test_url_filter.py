@@ -1,8 +1,13 @@
+import html
 import re
+from urllib.parse import urldefrag, urljoin
 
+import duckdb
+import pytest
 from cases import by_key, rows_of
 
 from replyloom.llm import url_filter as U
+from replyloom.llm.oracle import ORACLE
 
 PAGES = [
     (1, "https://Example.com/en/a?x#y", ""),
@@ -24,6 +29,15 @@ PAGES = [
     (15, "http://deep.net/es", "<link rel=canonical href='relative'>"),
     (16, "x://h.net/fr/?://other.com/", ""),
     (17, "http://c.com", ""),
+    (18, "http://R.org/a/b.html?x#top", "<link rel=canonical href='../c/./d.html#part'>"),
+    (19, "http://r.org/c/d.html", "<link rel=canonical href='/go?to=http://k.net/es/&amp;n=1'>"),
+    (20, "http://r.org/go?to=http://k.net/es/&n=1#frag", "<meta http-equiv=refresh content='0; url=HTTP://T.NET/es/z'>"),
+    (21, "http://q.org/list", "<link rel=canonical href='?p=1'>"),
+    (22, "http://q.org/list?p=1", "<link rel=canonical href='http&#58;//v&#x2e;net/x/../fr/'>"),
+    (23, "http://m.org/a", "<link rel=canonical href='mailto:x@y.net/es/'><link rel=canonical href='#here'>"),
+    (24, "http://n.org", "<link rel=canonical href='only.html'>"),
+    (25, "http://n.org/only.html", "<link rel=canonical href='http://t.net/../../fr/a/..'>"),
+    (26, "http://s.org/self", "<link rel=canonical href='self#x'>"),
 ]
 
 
@@ -46,6 +60,44 @@ def own_rule(url, rules=U.RULES):
     return (best.host + best.path, best.verdict) if best else (None, None)
 
 
+def plain_key(url):
+    m = re.match(r"(?s)^(.*?://[^/?#]*)(.*)", url)
+    if not m:
+        return url
+    head = "".join(c.lower() if c.isascii() else c for c in m[1])
+    rest = urldefrag(m[2]).url
+    return urljoin("http://h", rest).replace("http://h", head, 1) if "/." in rest else head + rest
+
+
+@pytest.mark.parametrize("base", ["http://A.b/x/y/z?q=1#f", "http://a.b", "http://a.b/", "http://a.b/x/"])
+def test_targets_are_resolved_as_the_standard_library_does(spark, base):
+    targets = [
+        "page.html", "./page.html", "../up", "../../up", "../../../../far", "x/./y/../z", "..", ".", "../", "./", "a/..", "/r/../s",
+        "/", "/.hidden/..x/...", "?p=1", "?p=../q", "//O.net/a/../b", "HTTPS://Up.ORG/A#b", "a&amp;b", "a&#38;#47;b", "&#x2F;root",
+        "&lt;&gt;&quot;&apos;&amp;amp;x", "&#128512;", "a?u=http://c.d/e",
+    ]
+    rows = spark.createDataFrame([(t,) for t in targets], "t string").select("t", U._decoded(U.F.col("t")).alias("d"))
+    found = {r.t: (r.d, r.k) for r in rows.select("t", "d", U.resolved(U.F.col("d"), U.F.lit(base)).alias("k")).collect()}
+    assert found == {t: (html.unescape(t), plain_key(urljoin(base, html.unescape(t)))) for t in targets}
+
+
+def test_links_that_name_no_page(spark):
+    texts = ["", "#part", "mailto:a@b.c", "javascript:x()", "data:text/html,x"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r[0] for r in rows.select(U.resolved(U.F.col("t"), U.F.lit("http://a.b/c"))).collect()} == {None}
+    odd = spark.createDataFrame([("&#0;",), ("&#xD800;",), ("&#1114112;",), ("&nbsp;",), ("&#;",), (None,)], "t string")
+    assert [r[0] for r in odd.select(U._decoded(U.F.col("t"))).collect()] == ["\ufffd"] * 3 + ["&nbsp;", "&#;", None]
+
+
+def test_the_sql_follows_the_same_links(spark, tmp_path):
+    pages(spark).select("page_id", "url", "html").toPandas().to_parquet(tmp_path / "pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet'")
+    columns = ["page_id", "host", "path", "rule", "verdict"]
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({ORACLE['op6_url_filter']})").fetchall()
+    assert rows_of(U.judge_urls(pages(spark)).select(columns)) == by_key(want)
+
+
 def test_verdicts_equal_a_plain_walk(spark):
     links = [(r.url, r.target) for r in U.page_links(pages(spark)).collect()]
     assert set(links) == {
@@ -55,20 +107,30 @@ def test_verdicts_equal_a_plain_walk(spark):
         ("https://free.example.org/p", "https://free.example.org/q"),
         ("https://free.example.org/q", "http://shop.com/ok"),
         ("https://free.example.org/q", "http://f.net/fr/z"),
+        ("http://deep.net/es", "http://deep.net/relative"),
+        ("http://r.org/a/b.html?x", "http://r.org/c/d.html"),
+        ("http://r.org/c/d.html", "http://r.org/go?to=http://k.net/es/&n=1"),
+        ("http://r.org/go?to=http://k.net/es/&n=1", "http://t.net/es/z"),
+        ("http://q.org/list", "http://q.org/list?p=1"),
+        ("http://q.org/list?p=1", "http://v.net/fr/"),
+        ("http://n.org", "http://n.org/only.html"),
+        ("http://n.org/only.html", "http://t.net/fr/"),
     }
 
     def verdict(url):
         own = own_rule(url)[1]
         if own:
             return own
-        seen, todo = {url}, [url]
+        here = plain_key(url) if url else url
+        seen, todo = {here}, [here]
         while todo:
             here = todo.pop()
             for a, b in [*links, *[(b, a) for a, b in links]]:
                 if a == here and b not in seen:
                     seen.add(b)
                     todo.append(b)
-        found = {own_rule(u)[1] for u in seen}
+        spelled = {u for _, u, _ in PAGES if u and plain_key(u) in seen}
+        found = {own_rule(u)[1] for u in seen | spelled}
         return "allow" if "allow" in found else "block" if "block" in found else "allow"
 
     want = by_key((k, *split_url(u), own_rule(u)[0], verdict(u)) for k, u, _ in PAGES)
@@ -76,6 +138,9 @@ def test_verdicts_equal_a_plain_walk(spark):
     by_id = {k: v for k, _, _, _, v in want}
     assert by_id[5] == "block" and by_id[14] == "block"  # over two redirects
     assert by_id[6] == "allow"  # an allowed alias outranks a blocked one
+    # Over a relative link, a reference, a fragment and an upper-case host.
+    assert [by_id[i] for i in (18, 19, 20, 21, 22, 24, 25)] == ["block"] * 7
+    assert by_id[23] == by_id[26] == "allow"
 
 
 def test_links_from_elsewhere_and_a_hub(spark):

@@ -57,6 +57,27 @@ def test_payloads_and_urls_come_back(spark):
     assert {r.url for r in rows if r.page_id == 2} == {None}
 
 
+def test_a_second_attempt_leaves_the_first_whole(spark):
+    """What a task that runs twice does: the same folder and parts, rows in another order."""
+    folder = new_folder(spark, "warc-test")
+    first = W.write_archives(pages(spark), folder, archive_bytes=5_000)
+    second = W.write_archives(pages(spark, PAGES[::-1]), folder, archive_bytes=3_000)
+    names = [{r.name for r in x.rows.collect()} for x in (first, second)]
+    assert not names[0] & names[1]
+    for written in (first, second):
+        found = W.read_archives(written.rows, folder, payloads=False)
+        assert rows_of(found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")) == expected(PAGES)
+
+
+def test_a_wrong_count_is_noticed(spark):
+    import pytest
+
+    folder = new_folder(spark, "warc-test")
+    written = W.write_archives(pages(spark), folder).rows.selectExpr("name", "n_records + 1 as n_records")
+    with pytest.raises(Exception, match="records instead of"):
+        W.read_archives(written, folder).collect()
+
+
 def test_archives_have_a_dictionary_frame_and_single_records():
     random.seed(1)
     records = [W.warc_record(i, f"http://h/{i}", f"<html>page {i} {random.random()}</html>".encode(), None) for i in range(300)]
