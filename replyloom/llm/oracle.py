@@ -11,11 +11,14 @@ from replyloom.llm.secret_scan import (
     ASSIGN,
     CANDIDATE,
     HEX_BITS,
+    LETTER_BITS,
     MIN_ACCESS,
     MIN_ASSIGNED,
     MIN_HEX,
     MIXED_BITS,
+    UPPER_BITS,
     WINDOW,
+    _APART,
     most_weight,
     weight,
 )
@@ -91,32 +94,36 @@ def _positions(name: str, pattern: str, group: int, keep: str, number: int) -> s
 
 def _op2() -> str:
     quoted = ASSIGN.replace("'", "''")
-    allowed = " OR ".join(f"regexp_matches(value, '{x}')" for x in ALLOWED)
     weights = "[" + ", ".join(str(weight(c)) for c in range(1, WINDOW + 1)) + "]"
+    worth = "regexp_matches(value, '[0-9]') OR regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[a-z]')"
     parts = [
         _positions("assign", quoted, 2, f"length(value) >= {MIN_ASSIGNED}", 0),
         _positions("access", ACCESS, 0, f"length(value) >= {MIN_ACCESS}", 1),
         _positions("hex", f"[0-9a-f]{{{MIN_HEX},}}", 0, "true", 2),
-        _positions("candidate", CANDIDATE, 0, f"regexp_matches(value, '[0-9]') AND NOT ({allowed})", 3),
+        _positions("candidate", CANDIDATE, 0, f"({worth}) AND NOT regexp_matches(value, '{ALLOWED[0]}')", 3),
     ]
     return rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),{",".join(parts)},
+pieces AS (SELECT doc_id, b, e, k, p.i, p.piece FROM (
+  SELECT *, unnest(list_transform(regexp_split_to_array(value, '{_APART}'), lambda v, i: {{'i': i, 'piece': v}})) AS p FROM candidate)),
 windows AS (
-  SELECT doc_id, b, e, k, x, substr(value, x, {WINDOW}) AS w
-  FROM (SELECT *, unnest(range(1, length(value) - {WINDOW} + 2)) AS x FROM candidate)),
+  SELECT doc_id, b, e, k, i, x, substr(piece, x, {WINDOW}) AS w
+  FROM (SELECT *, unnest(range(1, length(piece) - {WINDOW} + 2)) AS x FROM pieces)),
 chars AS (
-  SELECT doc_id, b, e, k, x, c, count(*) AS n
+  SELECT doc_id, b, e, k, i, x, c, count(*) AS n
   FROM (SELECT *, unnest(string_split(w, '')) AS c FROM windows) GROUP BY ALL),
 counted AS (
-  SELECT doc_id, b, e, k, x, sum(({weights})[n]) AS t,
+  SELECT doc_id, b, e, k, i, x, sum(({weights})[n]) AS t,
          coalesce(sum(n) FILTER (regexp_matches(c, '[0-9a-fA-F]')), 0) AS hexes, coalesce(sum(n) FILTER (regexp_matches(c, '[0-9]')), 0) AS digits,
          coalesce(sum(n) FILTER (regexp_matches(c, '[a-z]')), 0) AS lowers, coalesce(sum(n) FILTER (regexp_matches(c, '[A-Z]')), 0) AS uppers
-  FROM chars GROUP BY doc_id, b, e, k, x),
+  FROM chars GROUP BY doc_id, b, e, k, i, x),
 entropy AS (
   SELECT DISTINCT doc_id, b, e, k FROM counted
   WHERE hexes = {WINDOW} AND digits BETWEEN 1 AND {WINDOW - 1} AND t <= {most_weight(HEX_BITS)}
      OR lowers + digits = {WINDOW} AND digits BETWEEN 4 AND {WINDOW - 4} AND t <= {most_weight(ALNUM_BITS)}
-     OR lowers > 0 AND uppers > 0 AND digits > 0 AND t <= {most_weight(MIXED_BITS)}),
+     OR lowers > 0 AND uppers > 0 AND digits > 0 AND t <= {most_weight(MIXED_BITS)}
+     OR uppers + digits = {WINDOW} AND digits BETWEEN 1 AND {WINDOW - 1} AND t <= {most_weight(UPPER_BITS)}
+     OR lowers + uppers = {WINDOW} AND uppers BETWEEN 4 AND {WINDOW - 4} AND t <= {most_weight(LETTER_BITS)}),
 s AS (
   SELECT doc_id, b, e, k, ['assign', 'access', 'hex', 'entropy'][k + 1] || ':' || b::BIGINT || ':' || e::BIGINT AS span
   FROM (SELECT doc_id, b, e, k FROM assign UNION ALL SELECT doc_id, b, e, k FROM access

@@ -2,10 +2,13 @@ import math
 import random
 import re
 
+import duckdb
 from cases import documents, rows_of
 from pyspark.sql import functions as F
 
+from replyloom.llm import queries
 from replyloom.llm import secret_scan as S
+from replyloom.llm.oracle import ORACLE
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
@@ -70,6 +73,22 @@ def test_random_tokens_equal_plain_windows(spark):
     assert mine == want and 50 < sum(want) < 300
 
 
+def test_the_sql_knows_all_classes_and_allowed_windows(spark, tmp_path):
+    random.seed(6)
+    parts = ["example", "/", " ", "placeholder", "xxxxxxxxx", "0123456789", "\n", "token=", "AKIA", "\U0001f600"]
+    texts = [t for t, _ in CASES]
+    for i in range(200):
+        some = ["".join(random.choices(random.choice([BASE32, LETTERS, "abcdef0123456789"]), k=random.randrange(8, 30))) for _ in range(4)]
+        texts.append("".join(x for s in some for x in (s, random.choice(parts))))
+    documents(spark, [*enumerate(texts), (998, None), (999, "")]).select("doc_id", "text").toPandas().to_parquet(tmp_path / "documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet'")
+    mine = queries.op2_secret_scan(spark, str(tmp_path))
+    want = con.execute(f"SELECT {', '.join(mine.columns)} FROM ({ORACLE['op2_secret_scan']})").fetchall()
+    assert rows_of(mine) == sorted(want, key=repr)
+    assert sum(r[4] for r in want) > 100
+
+
 def test_redaction_takes_the_new_classes(spark):
     text = f"seed {SEED} token {TOKEN} docs/example/{MIXED} end"
     assert S.redact_secrets(documents(spark, [(1, text)])).first().text == "seed [secret] token [secret] [secret] end"
