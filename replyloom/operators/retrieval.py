@@ -83,8 +83,16 @@ def select_corpus(
         raise ValueError("Retrieval corpus size must be positive.")
     allowed = pairs if held_out is None else exclude_held_out(pairs, held_out)
     usable = with_matching_text(allowed.filter(~is_blank("brand_reply")), "customer_text", "normalized")
+    return as_cases(one_per_text(usable, config), config)
+
+
+def one_per_text(usable: DataFrame, config: TriageConfig) -> DataFrame:
     distinct = dedupe_first(usable, [text_digest("normalized")], ["customer_tweet_id"])
-    chosen = sample_n(distinct, config.max_corpus_size, config.seed, "customer_tweet_id")
+    return sample_n(distinct, config.max_corpus_size, config.seed, "customer_tweet_id")
+
+
+def as_cases(chosen: DataFrame, config: TriageConfig, *keep: str) -> DataFrame:
+    """The columns of a case, ``keep`` besides."""
     guidance = safe_guidance("brand_reply", config.blocked_patterns, config.suggestion_start)
     return chosen.select(
         "customer_tweet_id",
@@ -93,6 +101,7 @@ def select_corpus(
         "brand_reply",
         guidance.alias("safe_guidance"),
         "normalized",
+        *keep,
     )
 
 
@@ -155,32 +164,40 @@ def build_retrieval_corpus(
     scaled and packed; a block is bounded by its text, so no task and no key
     grows with a common term.
     """
-    if config.max_features is not None and config.max_features < 1:
-        raise ValueError("Retrieval feature limit must be positive.")
     with scratch(pairs.sparkSession):
         chosen = stored(select_corpus(pairs, held_out, config), "chosen-cases")
         corpus = stored(placed(chosen, block_chars), "corpus", result=True)
-        n_docs = corpus.count()
-        if n_docs == 0:
-            raise ValueError("Cleaning and held-out exclusion left no case to retrieve.")
         excluded, digest = 0, None
         if held_out is not None:
             excluded = held_out_ids(pairs, held_out).count()
             digest = fingerprint(held_out).first()["digest"]
         located = corpus.select((F.col("block") * SLOTS + F.col("slot")).alias("place"), "normalized")
         counts = stored(term_counts(located, "place", "normalized"), "case-terms")
-        spec = SpaceSpec(max_features=config.max_features)
-        fitted = fit_vocabulary(counts, n_docs, {"word": spec, "char": spec})
-        vocabulary = Vocabulary(keyed(fitted.terms), n_docs)
-        rows = _weighed(counts, vocabulary, "place").select(
-            F.floor(F.col("place") / SLOTS).alias("block"), F.pmod("place", F.lit(SLOTS)).alias("slot"), "key", "word", "raw"
-        )
-        cases = corpus.select("block", "slot", "thread_id")
-        packed = rows.groupBy("block").cogroup(cases.groupBy("block")).applyInArrow(pack_cases, BLOCK_SCHEMA)
-        blocks = stored(packed, "blocks", result=True)
+        vocabulary, blocks = pack_index(corpus, counts, config)
     return RetrievalIndex(corpus, vocabulary, blocks, excluded, digest)
 
 
+def pack_index(corpus: DataFrame, counts: DataFrame, config: TriageConfig) -> tuple[Vocabulary, DataFrame]:
+    """Vocabulary and blocks from the counts ``(place, space, term, n)`` of the placed cases.
+
+    Runs inside a ``scratch`` block of the caller; the two tables outlive it.
+    """
+    if config.max_features is not None and config.max_features < 1:
+        raise ValueError("Retrieval feature limit must be positive.")
+    n_docs = corpus.count()
+    if n_docs == 0:
+        raise ValueError("Cleaning and held-out exclusion left no case to retrieve.")
+    spec = SpaceSpec(max_features=config.max_features)
+    fitted = fit_vocabulary(counts, n_docs, {"word": spec, "char": spec})
+    vocabulary = Vocabulary(keyed(fitted.terms), n_docs)
+    rows = _weighed(counts, vocabulary, "place").select(
+        F.floor(F.col("place") / SLOTS).alias("block"), F.pmod("place", F.lit(SLOTS)).alias("slot"), "key", "word", "raw"
+    )
+    cases = corpus.select("block", "slot", "thread_id")
+    packed = rows.groupBy("block").cogroup(cases.groupBy("block")).applyInArrow(pack_cases, BLOCK_SCHEMA)
+    return vocabulary, stored(packed, "blocks", result=True)
+
+
 def diverse_topk(scored: DataFrame, k: int, query: str = "message_id") -> DataFrame:
     """Best case per thread, then the ``k`` best per message; ties by case id."""
     best = [F.desc("similarity"), F.col("customer_tweet_id")]

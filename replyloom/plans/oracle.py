@@ -757,6 +757,9 @@ FROM (SELECT *, {sanitized('customer_text')} AS x FROM usable)"""
     sql["hybrid_retrieve_documents"] = f"WITH {DOC_PAIRS}, {cases_cte('doc_pairs')}, {ASKED_FIFTIETH}, {ranked_cte()} {FOUND}"
     sql["save_load_index"] = f"""WITH {MESSAGES}, {pairs_cte()}, {cases_cte()}
 SELECT space, count(*) AS n, count(DISTINCT customer_tweet_id) AS cases, count(DISTINCT term) AS terms, round(sum(weight), 4) AS weight
+FROM case_weights GROUP BY space"""
+    sql["index_upkeep"] = f"""WITH {LABELLED}, {HELD_OUT}, {DOC_PAIRS}, {kept}, {cases_cte('kept')}
+SELECT space, count(*) AS n, count(DISTINCT customer_tweet_id) AS cases, count(DISTINCT term) AS terms, round(sum(weight), 4) AS weight
 FROM case_weights GROUP BY space"""
     sql["respond"] = f"""WITH {MESSAGES}, {pairs_cte()}, {cases_cte()}, {ASKED_TURNS}, {ranked_cte()},
 scored AS (

@@ -29,6 +29,7 @@ from replyloom.operators import (
     sampling,
     tfidf,
     threads,
+    upkeep,
 )
 from replyloom.plans import inputs
 from replyloom.plans.inputs import LANGUAGE_RULES, LANGUAGES, table
@@ -809,6 +810,22 @@ def save_load_index(spark, sf):
     )
 
 
+@query("index_upkeep")
+def index_upkeep(spark, sf):
+    """All documents as cases, in two batches, with held-out documents barred in between."""
+    cases = inputs.document_pairs(spark, sf)
+    first = F.pmod(F.xxhash64("customer_tweet_id"), F.lit(2)) == 0
+    ledger = upkeep.open_ledger(cases.filter(first))
+    ledger = upkeep.bar_cases(ledger, inputs.held_out(spark, sf))
+    ledger = upkeep.add_cases(ledger, cases.filter(~first))
+    return upkeep.index_of(ledger).postings.groupBy("space").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("customer_tweet_id").alias("cases"),
+        F.count_distinct("term").alias("terms"),
+        F.round(F.sum("weight"), 4).alias("weight"),
+    )
+
+
 # -- model, policy, triage ---------------------------------------------------
 
 
