@@ -211,6 +211,8 @@ def judge_table(
     external judge is asked once per content, however often the results are
     read.  A missing, repeated or unasked answer raises.
     """
+    # Read many times below; what a system says must not be worked out anew each time.
+    predictions = stored(predictions, "judged-predictions")
     if check:
         enforce(judging_checks(predictions, golden), "Judging input")
     if cache is None:

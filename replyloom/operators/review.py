@@ -27,6 +27,7 @@ from replyloom.operators.checks import (
 from replyloom.operators.joins import salted_join
 from replyloom.operators.judging import PAIR, evidence_json, keyed_content
 from replyloom.operators.sampling import dedupe_first
+from replyloom.session import stored
 
 CONTENT = ("text", "draft_reply", "evidence_json")
 ANNOTATIONS = (*RUBRIC_FIELDS, "annotator", "reviewed")
@@ -98,6 +99,8 @@ def prepare_worksheet(
 ) -> DataFrame:
     """A blind worksheet; annotations of identical existing rows are carried over."""
     require_columns(sample, [*PAIR, "model", "rubric_version", "cache_key"], "Judge sample")
+    # Read many times below: neither the systems nor the content keys are worked out anew each time.
+    sample, predictions = stored(sample, "judged-sample"), stored(predictions, "judged-predictions")
     enforce(sample_checks(sample, predictions, golden), "Judge sample")
     # Every stored prediction must be readable, not only the judged ones.
     require(predictions, {"malformed prediction": evidence_json("prediction_json").isNull()}, "Predictions")
