@@ -39,6 +39,8 @@ SCORE_COLUMNS = (*PAIR, "model", "rubric_version", "cache_key", *RUBRIC_FIELDS,
 ANSWER_SCHEMA = f"cache_key string, {', '.join(f'{f} int' for f in RUBRIC_FIELDS)}, rationale string"
 # Keys that a task asks about, and so what a failure can cost.
 ASK_TOGETHER = 64
+# Tasks that a run makes at most: beyond, a task asks about more keys, so that starting tasks costs no more than asking.
+ASK_TASKS = 2_000
 # A scorer gets frames with cache_key, customer_text, draft_reply and evidence_json
 # and returns cache_key, the five scores and a rationale.
 Scorer = Callable[[pd.DataFrame], pd.DataFrame]
@@ -139,9 +141,9 @@ def logged_answers(spark: SparkSession, log: str) -> DataFrame:
 def ask_and_log(content: DataFrame, scorer: Scorer, log: str, together: int = ASK_TOGETHER) -> DataFrame:
     """Answers for ``content`` from the log; keys that it lacks are asked first.
 
-    About ``together`` keys make a task, and a task's answers are in the log for
-    good when it ends, whatever becomes of the others: should the run fail, the
-    next asks only what is left.  A key is part of the log's name space already:
+    About ``together`` keys make a task, or one in ``ASK_TASKS`` of them if that is
+    more, and a task's answers are in the log for good when it ends, whatever
+    becomes of the others: should the run fail, the next asks only what is left.  A key is part of the log's name space already:
     it covers model, rubric and content.
     """
     spark = content.sparkSession
@@ -149,7 +151,7 @@ def ask_and_log(content: DataFrame, scorer: Scorer, log: str, together: int = AS
         asked = stored(content.join(logged_answers(spark, log), "cache_key", "left_anti"), "asked-content")
         n = asked.count()
         if n:
-            slices = asked.repartition(-(-n // together), "cache_key")
+            slices = asked.repartition(min(-(-n // together), ASK_TASKS), "cache_key")
             # Committed files of single tasks stay when the job fails.
             score_content(slices, scorer).write.mode("append").option(
                 "mapreduce.fileoutputcommitter.algorithm.version", "2"
